@@ -88,7 +88,7 @@ CTE = {
     "ev": """ev AS (
   SELECT event_id, ts, user_id, event_type, props,
          CASE WHEN LAG(ts) OVER w IS NULL
-                OR epoch_us(ts) - epoch_us(LAG(ts) OVER w) > 6 * 3600 * 1000000 THEN 1 ELSE 0 END AS is_start
+                OR epoch_us(ts) - epoch_us(LAG(ts) OVER w) > CAST(21600000000 AS BIGINT) THEN 1 ELSE 0 END AS is_start
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))""",
     "evs": """evs AS (
   SELECT *, SUM(is_start) OVER (PARTITION BY user_id ORDER BY ts, event_id
