@@ -22,13 +22,14 @@ from pyspark.sql import functions as F
 BUCKETS = 4096
 
 
-def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | tuple = (),
+def values_at_ranks(df: DataFrame, value: str | Column, ranks: DataFrame, by: list[str] | tuple = (),
                     buckets: int = BUCKETS) -> DataFrame:
-    """Rows (by..., p, q): the exact linear-interpolation quantile q of `value` for each p."""
+    """Rows (by..., _k, _v): the value at 0-based rank _k (ascending) of `value` within
+    each group, for the (by..., _k) rows of `ranks`. Ranks outside [0, n) give no row."""
     by = list(by)
     v = (value if isinstance(value, Column) else F.col(value)).cast("double")
     base = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    stats = base.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     span = F.col("_hi") - F.col("_lo")
     bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
                                       F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
@@ -38,13 +39,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by:
     w = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
     cum = hist.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
               .withColumn("_start", F.col("_end") - F.col("_c"))
-    pexpr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
-    targets = stats.select(*by, "_n", pexpr) \
-        .withColumn("_pos", F.col("p") * (F.col("_n") - 1)) \
-        .withColumn("_klo", F.floor("_pos").cast("long")) \
-        .withColumn("_khi", F.ceil("_pos").cast("long")) \
-        .withColumn("_frac", F.col("_pos") - F.col("_klo"))
-    ranks = targets.select(*by, F.explode(F.array("_klo", "_khi")).alias("_k")).distinct()
+    ranks = ranks.select(*by, "_k").distinct()
     rank_bucket = ranks.join(cum, by, "inner") if by else ranks.crossJoin(cum)
     rank_bucket = rank_bucket.filter((F.col("_start") <= F.col("_k")) & (F.col("_k") < F.col("_end"))) \
                              .select(*by, "_k", "_b", F.col("_start").alias("_bstart"))
@@ -54,9 +49,26 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by:
     wv = Window.partitionBy(*by, "_b").orderBy("_v")
     vals = vals.withColumn("_vend", F.col("_bstart") + F.sum("_vc").over(wv.rowsBetween(Window.unboundedPreceding, 0))) \
                .withColumn("_vstart", F.col("_vend") - F.col("_vc"))
-    at = (rank_bucket.join(vals, by + ["_b"])
-                     .filter((F.col("_vstart") <= F.col("_k")) & (F.col("_k") < F.col("_vend")))
-                     .select(*by, "_k", "_v"))
+    return (rank_bucket.join(vals, by + ["_b"])
+                       .filter((F.col("_vstart") <= F.col("_k")) & (F.col("_k") < F.col("_vend")))
+                       .select(*by, "_k", "_v"))
+
+
+def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | tuple = (),
+                    buckets: int = BUCKETS) -> DataFrame:
+    """Rows (by..., p, q): the exact linear-interpolation quantile q of `value` for each p."""
+    by = list(by)
+    v = (value if isinstance(value, Column) else F.col(value)).cast("double")
+    counts = (df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+                .groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
+    pexpr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
+    targets = counts.select(*by, "_n", pexpr) \
+        .withColumn("_pos", F.col("p") * (F.col("_n") - 1)) \
+        .withColumn("_klo", F.floor("_pos").cast("long")) \
+        .withColumn("_khi", F.ceil("_pos").cast("long")) \
+        .withColumn("_frac", F.col("_pos") - F.col("_klo"))
+    ranks = targets.select(*by, F.explode(F.array("_klo", "_khi")).alias("_k"))
+    at = values_at_ranks(df, value, ranks, by, buckets)
     lo = at.select(*by, F.col("_k").alias("_klo"), F.col("_v").alias("_vlo"))
     hi = at.select(*by, F.col("_k").alias("_khi"), F.col("_v").alias("_vhi"))
     out = targets.join(lo, by + ["_klo"]).join(hi, by + ["_khi"])

@@ -1,3 +1,165 @@
-"""Registered queries (to be filled)."""
+"""Registered queries: what-if transforms (J1-J8), with oracle SQL."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from kpilens.operators import whatif as J
+from kpilens.plans.registry import kpi, periods, register
+from kpilens.plans.sql_base import ts, with_
 
 ORACLE: dict[str, str] = {}
+
+SURGE_SOURCE = "BUILDING"
+SURGE_MULTIPLIER = 3.0
+FLIP_RATE = 0.8
+
+
+def purchase_items(spark, d):
+    """Purchase events stand for sold items carrying (user, time)."""
+    e = kpi(spark, d).star.events
+    return e.filter(F.col("event_type") == "purchase").select(F.col("event_id").alias("item_id"), "user_id", "ts")
+
+
+def purchase_sessions(spark, d):
+    return kpi(spark, d).sessions.filter("purchased").select("session_id", "user_id", "started_at")
+
+
+@register("orders_of_source")
+def orders_of_source(spark, d):
+    """Last month's orders of users acquired through one source."""
+    k, p = kpi(spark, d), periods(spark, d)
+    return J.orders_of_source(k.star, p["last_month"][0], SURGE_SOURCE).select("order_id", "user_id", "status",
+                                                                                "created_at")
+
+
+ORACLE["orders_of_source"] = with_("o", "u", "per") + f"""
+SELECT order_id, user_id, status, {ts('created_at')} AS created_at FROM o
+WHERE strftime(created_at, '%Y-%m') = (SELECT month FROM per WHERE cur1)
+  AND user_id IN (SELECT id FROM u WHERE traffic_source = '{SURGE_SOURCE}')"""
+
+
+def _candidates(spark, d):
+    k, p = kpi(spark, d), periods(spark, d)
+    return J.orders_all_from_segment(k.fact, p["previous_month"] + p["last_month"], "dist_center")
+
+
+@register("orders_all_from_segment")
+def orders_all_from_segment(spark, d):
+    """Orders of the last two months served entirely by one centre (the centre with
+    the most such orders), not already lost."""
+    return _candidates(spark, d).select("order_id", "month", "segment")
+
+
+CAND_SQL = """
+cand0 AS (SELECT order_id, month, MIN(dist_center) AS segment FROM fact JOIN per USING (month)
+          WHERE (per.cur1 OR per.prev1) AND NOT lost GROUP BY order_id, month HAVING COUNT(DISTINCT dist_center) = 1),
+top AS (SELECT segment FROM cand0 GROUP BY segment ORDER BY COUNT(*) DESC, segment LIMIT 1),
+cand AS (SELECT * FROM cand0 WHERE segment = (SELECT segment FROM top))"""
+
+ORACLE["orders_all_from_segment"] = with_("fact", "per", extra=CAND_SQL) + "SELECT order_id, month, segment FROM cand"
+
+
+@register("sample_exact")
+def sample_exact(spark, d):
+    """Exactly round(0.8 n) of those orders per month, md5 order."""
+    return J.sample_exact(_candidates(spark, d), "order_id", FLIP_RATE, by=["month"]).select("order_id", "month")
+
+
+SAMPLE_SQL = CAND_SQL + f""",
+hashed AS (SELECT *, CAST(('0x' || substr(md5(CAST(order_id AS VARCHAR)), 1, 13)) AS BIGINT) AS h,
+                  COUNT(*) OVER (PARTITION BY month) AS n FROM cand),
+picked AS (SELECT order_id, month FROM (
+             SELECT *, ROW_NUMBER() OVER (PARTITION BY month ORDER BY h, order_id) AS r FROM hashed) t
+           WHERE r <= round_even({FLIP_RATE} * n, 0))"""
+
+ORACLE["sample_exact"] = with_("fact", "per", extra=SAMPLE_SQL) + "SELECT order_id, month FROM picked"
+
+
+def flip_edit(spark, d):
+    k = kpi(spark, d)
+    picked = J.sample_exact(_candidates(spark, d), "order_id", FLIP_RATE, by=["month"])
+    return J.flip_to_returned(k.star, picked)
+
+
+@register("what_if_flip")
+def what_if_flip(spark, d):
+    """The picked orders turned Returned: the report of the edit."""
+    return flip_edit(spark, d)[1]
+
+
+ORACLE["what_if_flip"] = with_("fact", "per", extra=SAMPLE_SQL) + """
+SELECT (SELECT COUNT(*) FROM picked) AS orders,
+       (SELECT COUNT(*) FROM picked JOIN o USING (order_id) WHERE o.status IN ('Cancelled', 'Returned')) AS already_lost,
+       (SELECT COUNT(*) FROM oi WHERE order_id IN (SELECT order_id FROM picked)) AS items,
+       (SELECT ROUND(CAST(SUM(oi.sale_price) AS DOUBLE), 6) FROM oi JOIN o USING (order_id)
+         WHERE oi.order_id IN (SELECT order_id FROM picked) AND o.status NOT IN ('Cancelled', 'Returned'))
+           AS revenue_moved_out_of_net"""
+
+
+@register("what_if_drop")
+def what_if_drop(spark, d):
+    """Last month's orders of one source removed with their items."""
+    k, p = kpi(spark, d), periods(spark, d)
+    picked = J.orders_of_source(k.star, p["last_month"][0], SURGE_SOURCE)
+    return J.drop_orders(k.star, picked)[1]
+
+
+ORACLE["what_if_drop"] = with_("o", "oi", "u", "per", extra=f"""
+dropped AS (SELECT order_id FROM o WHERE strftime(created_at, '%Y-%m') = (SELECT month FROM per WHERE cur1)
+              AND user_id IN (SELECT id FROM u WHERE traffic_source = '{SURGE_SOURCE}'))""") + """
+SELECT (SELECT COUNT(*) FROM o) AS orders_before,
+       (SELECT COUNT(*) FROM o WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS orders_after,
+       (SELECT COUNT(*) FROM oi) AS items_before,
+       (SELECT COUNT(*) FROM oi WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS items_after"""
+
+
+@register("nearest_session")
+def nearest_session(spark, d):
+    """J6 (plain): each purchase's nearest purchase session of the same user in [-3 d, +1 d]."""
+    return J.nearest_session(purchase_items(spark, d), purchase_sessions(spark, d))
+
+
+ORACLE["nearest_session"] = with_("sess", extra="""
+it AS (SELECT event_id AS item_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+c AS (SELECT it.item_id, it.user_id, s.session_id, s.started_at,
+             ABS(epoch_us(s.started_at) - epoch_us(it.ts)) AS abs_us
+      FROM it JOIN sess s ON s.user_id = it.user_id
+      WHERE s.purchased AND epoch_us(s.started_at) - epoch_us(it.ts) BETWEEN -259200000000 AND 86400000000)""") + """
+SELECT item_id, user_id, session_id, abs_us FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY item_id ORDER BY abs_us, started_at, session_id) AS r FROM c) t
+WHERE r = 1"""
+
+
+@register("nearest_session_1to1")
+def nearest_session_1to1(spark, d):
+    """J6 (one-to-one): greedy in time order per user; sequential logic, no SQL twin."""
+    return J.nearest_session_1to1(purchase_items(spark, d), purchase_sessions(spark, d))
+
+
+def surge_edit(spark, d):
+    k, p = kpi(spark, d), periods(spark, d)
+    return J.surge(k.star, p["last_month"][0], SURGE_SOURCE, SURGE_MULTIPLIER, new_users=True)
+
+
+@register("what_if_surge")
+def what_if_surge(spark, d):
+    """Last month's orders of one source tripled with new keys and new users."""
+    return surge_edit(spark, d)[1]
+
+
+SURGE_SQL = f"""
+pool AS (SELECT * FROM o WHERE strftime(created_at, '%Y-%m') = (SELECT month FROM per WHERE cur1)
+           AND user_id IN (SELECT id FROM u WHERE traffic_source = '{SURGE_SOURCE}')),
+b AS (SELECT MIN(order_id) AS mn, MAX(order_id) AS pmax FROM pool),
+mx AS (SELECT (SELECT MAX(order_id) FROM o) AS omax, (SELECT MAX(id) FROM u) AS umax),
+new_orders AS (
+  SELECT mx.omax + (c.copy - 1) * (b.pmax - b.mn + 1) + (pool.order_id - b.mn + 1) AS order_id,
+         mx.umax + (c.copy - 1) * (b.pmax - b.mn + 1) + (pool.order_id - b.mn + 1) AS user_id,
+         pool.status, pool.created_at, pool.total_price, pool.order_id AS source_order_id,
+         pool.user_id AS source_user_id
+  FROM pool CROSS JOIN b CROSS JOIN mx CROSS JOIN (SELECT UNNEST(generate_series(1, {int(SURGE_MULTIPLIER - 1)})) AS copy) c)"""
+
+ORACLE["what_if_surge"] = with_("o", "u", "per", extra=SURGE_SQL) + f"""
+SELECT order_id, user_id, status, {ts('created_at')} AS created_at, ROUND(total_price, 6) AS total_price,
+       source_order_id, source_user_id FROM new_orders"""
