@@ -146,3 +146,33 @@ def r6(expr: str) -> str:
 
 def ts(expr: str) -> str:
     return f"strftime({expr}, '%Y-%m-%d %H:%M:%S')"
+
+
+FAMILY = ("o", "oi", "p", "u", "dc", "fo", "fact", "mcore", "monthly", "months", "per", "ords", "leak",
+          "seg", "c1", "c2", "contrib", "guard", "drv")
+
+
+def rename(sql: str, sfx: str, names=FAMILY) -> str:
+    """The same CTEs under suffixed names (o -> o_s, ...), so that two data sets (a base and
+    an edited copy) can live in one query. Table aliases equal CTE names, so a word-boundary
+    rename is consistent."""
+    import re
+    pat = re.compile(r"\b(" + "|".join(sorted(names, key=len, reverse=True)) + r")\b(?!')")
+    return pat.sub(lambda m: m.group(1) + sfx, sql)
+
+
+def family(*names: str, sfx: str, replace: dict[str, str] | None = None) -> list[str]:
+    """CTE texts for `names` (with dependencies) renamed with `sfx`; `replace` swaps the body
+    of some CTEs (e.g. the edited orders) before renaming."""
+    order: list[str] = []
+
+    def add(n: str) -> None:
+        for d in DEPS.get(n, ()):
+            add(d)
+        if n not in order:
+            order.append(n)
+
+    for n in names:
+        add(n)
+    replace = replace or {}
+    return [rename(replace.get(n, CTE[n]), sfx) for n in order]
