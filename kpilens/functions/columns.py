@@ -74,3 +74,11 @@ def lift_parts(share_of_change: Column, share_of_base: Column) -> tuple[Column,
 
 def pct_change(cur: Column, prev: Column) -> Column:
     return F.when(prev != 0, (cur - prev) / prev)
+
+
+def fact_months(months: list[str] | str) -> Column:
+    """Period filter on the fact: the order-time range (pushed into the orders parquet scan
+    when the fact is built from the source tables) AND the month key (prunes partitions
+    when the fact is read from its month-partitioned materialisation). Both say the same."""
+    ms = [months] if isinstance(months, str) else list(months)
+    return month_range("order_created_at", ms) & F.col("month").isin(*ms)

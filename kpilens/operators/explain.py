@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from kpilens.config import (DEFAULT_RULES, DIMENSIONS, LEAKAGE_HISTORY, LEAKAGE_SIGMA, SEGMENT_RATIO,
                             Rules, check_dimension, check_measure)
-from kpilens.functions.columns import lift_parts, money, month_range, ratio
+from kpilens.functions.columns import fact_months, lift_parts, money, ratio
 from kpilens.operators.metrics import period_totals
 
 DIM_ORDER = {d: i for i, d in enumerate(DIMENSIONS)}
@@ -93,11 +93,11 @@ def segment_periods(fact: DataFrame, prev: list[str], cur: list[str], dims=DIMEN
     col = check_measure(measure)
     for d in dims:
         check_dimension(d)
-    in_prev = month_range("order_created_at", prev)
-    in_cur = month_range("order_created_at", cur)
+    in_prev = F.col("month").isin(*prev)
+    in_cur = F.col("month").isin(*cur)
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("segment"))
                       for d in dims])
-    rows = (fact.filter(in_prev | in_cur)
+    rows = (fact.filter(fact_months(list(prev) + list(cur)))
                 .select(F.inline(pairs), in_prev.alias("in_prev"), in_cur.alias("in_cur"), F.col(col).alias("v")))
     zero = F.lit(0).cast("decimal(18,2)")
     return (rows.groupBy("dimension", "segment")
@@ -168,11 +168,24 @@ def drivers_from(contrib: DataFrame, guard: DataFrame, rules: Rules = DEFAULT_RU
                     "is_new_segment", F.row_number().over(order).alias("driver_rank"))
 
 
-def find_drivers(fact: DataFrame, monthly: DataFrame, prev: list[str], cur: list[str],
-                 dims=DIMENSIONS, measure: str = "revenue", rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """F8 / F9 (R11)."""
-    contrib = contribution_all(fact, prev, cur, measure, dims)
-    return drivers_from(contrib, total_change_guard(monthly, prev, cur, measure, rules), rules)
+def guard_from_segments(seg: DataFrame, dim: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """The R11 guard from the segment aggregate itself: the segments of one dimension
+    partition the rows (NULLs are '(unknown)'), so their sums are the period totals.
+    Saves a second pass over the fact."""
+    t = (seg.filter(F.col("dimension") == dim)
+            .agg(money(F.sum("prev")).alias("total_prev"), money(F.sum("cur")).alias("total_cur")))
+    change = F.when(F.col("total_prev") != 0,
+                    F.abs(F.col("total_cur") - F.col("total_prev")) / F.col("total_prev"))
+    return t.select("total_prev", "total_cur", change.alias("total_change"),
+                    F.coalesce(change >= rules.min_total_change, F.lit(False)).alias("look_for_drivers"))
+
+
+def find_drivers(fact: DataFrame, prev: list[str], cur: list[str], dims=DIMENSIONS, measure: str = "revenue",
+                 rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """F8 / F9 (R11): one aggregate over the fact feeds both the contributions and the guard
+    (the plan reuses its exchange)."""
+    seg = segment_periods(fact, prev, cur, dims, measure)
+    return drivers_from(contribution_from(seg, measure), guard_from_segments(seg, dims[0], rules), rules)
 
 
 # ---------------------------------------------------------------- F11 / F12

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS, ORDER_STATUSES, SESSION_DIMENSIONS, UNKNOWN, check_dimension
-from kpilens.functions.columns import money, month_range, ratio
+from kpilens.functions.columns import fact_months, money, month_range, ratio
 
 
 def _rate(c: str):
@@ -55,7 +55,7 @@ def order_rows(fact: DataFrame) -> DataFrame:
 
 def leakage(fact: DataFrame, month: str) -> DataFrame:
     """G5 (R21): share of ORDERS cancelled / returned; NULL status is out of the denominator."""
-    o = order_rows(fact.filter(month_range("order_created_at", month))).filter(F.col("order_status").isNotNull())
+    o = order_rows(fact.filter(fact_months(month))).filter(F.col("order_status").isNotNull())
     return o.agg(F.avg((F.col("order_status") == "Cancelled").cast("int")).alias("cancelled"),
                  F.avg((F.col("order_status") == "Returned").cast("int")).alias("returned"))
 
@@ -82,7 +82,7 @@ def status_share_by_month(fact: DataFrame, months_before: str | None = None) ->
 def leakage_by_dim(fact: DataFrame, month: str | list[str], by: str) -> DataFrame:
     """G6 (R21): per segment, revenue and the share of REVENUE in cancelled / returned orders."""
     check_dimension(by, DIMENSIONS)
-    f = fact.filter(month_range("order_created_at", month))
+    f = fact.filter(fact_months(month))
     zero = F.lit(0).cast("decimal(18,2)")
     g = f.groupBy(F.col(by).alias("segment")).agg(
         F.sum("sale_price").alias("rev"),
@@ -94,7 +94,7 @@ def leakage_by_dim(fact: DataFrame, month: str | list[str], by: str) -> DataFram
 
 def item_return_rate(fact: DataFrame, months: list[str], by: str = "dist_center") -> DataFrame:
     """Items and % of ITEMS in returned orders per segment, months pooled."""
-    f = fact.filter(month_range("order_created_at", months))
+    f = fact.filter(fact_months(months))
     return f.groupBy(F.col(by).alias("segment")).agg(
         F.count(F.lit(1)).alias("items"),
         (100 * F.avg((F.col("order_status") == "Returned").cast("int"))).alias("returned_pct"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS, RETURNED_PLANT_MIN, RETURNED_PLANT_RATIO
-from kpilens.functions.columns import money, month_range, ratio
+from kpilens.functions.columns import fact_months, money, month_range, ratio
 
 
 def close(a: Column, b: Column, rel: float = 1e-9, abs_tol: float = 1e-6) -> Column:
@@ -39,7 +39,7 @@ def recon_monthly(monthly: DataFrame, monthly_sql: DataFrame) -> DataFrame:
 def segment_revenue(fact: DataFrame, months: list[str], dims) -> DataFrame:
     """(dimension, month, segment, value) revenue from the fact for several dimensions."""
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("segment")) for d in dims])
-    return (fact.filter(month_range("order_created_at", months))
+    return (fact.filter(fact_months(months))
                 .select("month", F.inline(pairs), "sale_price")
                 .groupBy("dimension", "month", "segment").agg(money(F.sum("sale_price")).alias("value")))
 
@@ -47,7 +47,7 @@ def segment_revenue(fact: DataFrame, months: list[str], dims) -> DataFrame:
 def segments_sum(fact: DataFrame, monthly: DataFrame, months: list[str], dims=DIMENSIONS) -> DataFrame:
     """I4: per dimension and month the segments add up to the month's revenue."""
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).alias("segment")) for d in dims])
-    seg = (fact.filter(month_range("order_created_at", months)).select("month", F.inline(pairs), "sale_price")
+    seg = (fact.filter(fact_months(months)).select("month", F.inline(pairs), "sale_price")
                .groupBy("dimension", "month", "segment").agg(F.sum("sale_price").alias("v"))
                .groupBy("dimension", "month").agg(money(F.sum("v")).alias("segments_total")))
     return (seg.join(monthly.select("month", "revenue"), "month")
@@ -87,7 +87,7 @@ def driver_diff(base: DataFrame, scen: DataFrame) -> DataFrame:
 def level_margin(fact: DataFrame, months: list[str], segment: DataFrame, dim: str = "dist_center") -> DataFrame:
     """The planted segment's returned share of revenue is >= 0.30 and >= 3 x every other
     segment's, in each planted month. `segment` is a one-row frame holding the segment."""
-    g = (fact.filter(month_range("order_created_at", months))
+    g = (fact.filter(fact_months(months))
              .groupBy("month", F.col(dim).alias("segment"))
              .agg(ratio(F.sum(F.when(F.col("order_status") == "Returned", F.col("sale_price"))
                               .otherwise(F.lit(0).cast("decimal(18,2)"))), F.sum("sale_price")).alias("returned")))

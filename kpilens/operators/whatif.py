@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpilens.config import LOST_STATUSES
-from kpilens.functions.columns import money, month_range
+from kpilens.functions.columns import fact_months, money, month_range
 from kpilens.functions.quantiles import values_at_ranks
 from kpilens.operators.sessions import split_by_gap
 from kpilens.sources.tables import Star
@@ -67,7 +67,7 @@ def orders_all_from_segment(fact: DataFrame, month: str | list[str], dim: str =
     """Orders of a period, not already lost, whose items ALL come from one segment
     (relational division: count of items in the segment = count of items). Without a
     segment, the segment with the most such orders (ties: name) is taken."""
-    f = fact.filter(month_range("order_created_at", month) & ~F.col("lost"))
+    f = fact.filter(fact_months(month) & ~F.col("lost"))
     per = f.groupBy("order_id", "month").agg(F.min(dim).alias("segment"), F.countDistinct(dim).alias("_k"))
     cand = per.filter(F.col("_k") == 1).drop("_k")
     if segment is not None:

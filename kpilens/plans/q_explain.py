@@ -190,7 +190,7 @@ FROM drv"""
 def _drivers_query(pk: str, ck: str, measure: str, doc: str):
     def q(spark, d):
         k, p = kpi(spark, d), periods(spark, d)
-        return X.find_drivers(k.fact, k.monthly, p[pk], p[ck], DIMENSIONS, measure)
+        return X.find_drivers(k.fact, p[pk], p[ck], DIMENSIONS, measure)
     q.__doc__ = doc
     return q
 

@@ -65,8 +65,8 @@ def _truth(spark, d) -> DataFrame:
     item = E.trap_item_month(k.star, last[0]).select(cents("revenue").alias("item_c"))
     p3 = E.period_totals(m, last3).select(F.col("revenue").alias("rev3"), F.col("aov").alias("aov3"))
     mean_aov = m.filter(F.col("month").isin(last3)).agg(F.avg("aov").alias("mean_aov3"))
-    drv = (X.find_drivers(k.fact, m, prev, last).select("dimension", "segment")
-           .unionByName(X.find_drivers(k.fact, m, prev, last, DIMENSIONS, "net_revenue").select("dimension", "segment")))
+    drv = (X.find_drivers(k.fact, prev, last).select("dimension", "segment")
+           .unionByName(X.find_drivers(k.fact, prev, last, DIMENSIONS, "net_revenue").select("dimension", "segment")))
     tol = drv.agg(F.array_sort(F.collect_set(F.struct("dimension", "segment"))).alias("tolerated"))
     return (rev.crossJoin(dec).crossJoin(z).crossJoin(fan).crossJoin(item).crossJoin(p3).crossJoin(mean_aov)
                .crossJoin(tol)

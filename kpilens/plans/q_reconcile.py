@@ -316,8 +316,8 @@ def driver_diff(spark, d):
     k, p = kpi(spark, d), periods(spark, d)
     ks, _ = _surge_kpi(spark, d)
     prev, cur = p["previous_month"], p["last_month"]
-    base = X.find_drivers(k.fact, k.monthly, prev, cur)
-    scen = X.find_drivers(ks.fact, ks.monthly, prev, cur)
+    base = X.find_drivers(k.fact, prev, cur)
+    scen = X.find_drivers(ks.fact, prev, cur)
     return I.driver_diff(base, scen)
 
 

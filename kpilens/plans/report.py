@@ -41,11 +41,11 @@ def change_report(spark: SparkSession, sf_dir: str, thorough: bool = False) -> D
         F.lit(last[0]).alias("period"), F.lit(prev[0]).alias("previous"), F.lit("revenue").alias("measure"),
         F.col("revenue_cur").alias("value"), F.col("revenue_prev").alias("value_previous"),
         F.col("delta_pct").alias("change_pct"), "zscore", "unusual", "volume_share", "aov_share")
-    rows = _driver_text(X.find_drivers(k.fact, k.monthly, prev, last, DIMENSIONS, "revenue"), 0, "driver_rank")
+    rows = _driver_text(X.find_drivers(k.fact, prev, last, DIMENSIONS, "revenue"), 0, "driver_rank")
     if not thorough:
         return head.crossJoin(_agg_text(rows))
     rows = rows.unionByName(
-        _driver_text(X.find_drivers(k.fact, k.monthly, prev, last, DIMENSIONS, "net_revenue"), 1, "driver_rank"))
+        _driver_text(X.find_drivers(k.fact, prev, last, DIMENSIONS, "net_revenue"), 1, "driver_rank"))
     alert = X.leakage_alert(k.leakage_monthly()).select(
         F.col("returned_share"), F.col("hist_mean").alias("returned_hist_mean"),
         F.col("hist_sd").alias("returned_hist_sd"), F.col("alert").alias("returned_alert"))
@@ -81,7 +81,7 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
                                  r("aov_share", 4).alias("aov_share")).alias(name))
 
     def drivers(a, b, measure, name):
-        dr = X.find_drivers(k.fact, k.monthly, a, b, DIMENSIONS, measure)
+        dr = X.find_drivers(k.fact, a, b, DIMENSIONS, measure)
         s = F.struct("driver_rank", "dimension", "segment", "measure", "delta", "share_of_change",
                      "share_of_base", "lift", "is_new_segment")
         return dr.agg(F.array_sort(F.collect_list(s)).alias(name))

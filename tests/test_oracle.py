@@ -67,3 +67,20 @@ def test_contracts_hold(spark, name):
 def test_entry_smoke(spark):
     rows = se.entry(spark).collect()
     assert len(rows) == 1 and rows[0]["period"] == "2001-07"
+
+
+def test_materialized_fact_gives_the_same_answers(spark):
+    from kpilens.plans.kpi import KPI
+    from kpilens.plans.registry import _KPI, finish
+    from kpilens.operators import explain as X
+    base = KPI(spark, SF_SMALL)
+    mat = KPI(spark, SF_SMALL).materialize()
+    p = base.default_periods()
+    for make in (lambda k: k.monthly,
+                 lambda k: X.contribution_all(k.fact, p["previous_3_months"], p["last_3_months"]),
+                 lambda k: X.find_drivers(k.fact, p["previous_3_months"], p["last_3_months"]),
+                 lambda k: k.leakage(p["last_month"][0], "dist_center")):
+        a = sorted(finish(make(base)).collect())
+        b = sorted(finish(make(mat)).collect())
+        assert a == b
+    assert _KPI is not None
