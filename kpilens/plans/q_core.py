@@ -370,3 +370,27 @@ FROM oi GROUP BY 1 ORDER BY 1 DESC LIMIT 8"""
 
 
 _ = (Window, X, TODAY_MONTH)
+
+
+@register("synonym_lookup")
+def synonym_lookup(spark, d):
+    """The KPI terms (and the rule each maps to) that every answer mentions
+    (case-insensitive containment; the term list is a projection constant, not a join)."""
+    from kpilens.config import SYNONYMS
+    from kpilens.plans.q_grading import answers
+    terms = F.array(*[F.struct(F.lit(t).alias("term"), F.lit(m).alias("meaning")) for t, m in SYNONYMS])
+    hit = F.filter(terms, lambda s: F.instr(F.lower(F.col("output")), s["term"]) > 0)
+    return answers(spark, d).select("conv_id", "turn", F.inline(hit))
+
+
+def _syn_sql() -> str:
+    from kpilens.config import SYNONYMS
+    from kpilens.plans.q_grading import BASE
+    lst = ", ".join(f"{{'term': '{t}', 'meaning': '{m}'}}" for t, m in SYNONYMS)
+    return BASE + f"""
+SELECT conv_id, turn, s.term, s.meaning FROM (
+  SELECT conv_id, turn, UNNEST(list_filter([{lst}], lambda x: instr(lower(output), x.term) > 0)) AS s
+  FROM ans) t"""
+
+
+ORACLE["synonym_lookup"] = _syn_sql()

@@ -147,3 +147,19 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
                             defaults.alias("defaults"), "monthly", "last_month", "last_3_months",
                             "known_wrong_answers").alias("doc")))
     return doc.select(F.lit(last[0]).alias("last_month"), F.to_json("doc").alias("truth_json"))
+
+
+TRUTH_SCHEMA = ("last_month string, truth_json string")
+
+
+def read_truth_document(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
+    """A10: read a frozen truth document back (one JSON document per file, explicit schema:
+    no inference pass over the data)."""
+    r = spark.read.option("multiLine", True)
+    return r.schema(schema).json(path) if schema else r.json(path)
+
+
+def write_truth_document(doc: DataFrame, path: str) -> None:
+    """The document column as text files, one JSON document per line (coalesced to
+    one file: the document is one row)."""
+    doc.select("truth_json").coalesce(1).write.mode("overwrite").text(path)
