@@ -87,10 +87,12 @@ def unusual_months(monthly: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFram
 
 # ---------------------------------------------------------------- F5-F10
 def segment_periods(fact: DataFrame, prev: list[str], cur: list[str], dims=DIMENSIONS,
-                    measure: str = "revenue") -> DataFrame:
-    """One scan, one aggregate: (dimension, segment, prev, cur) for every dimension.
-    The period filter is a timestamp range, so it reaches the orders parquet scan."""
-    col = check_measure(measure)
+                    measure: str | tuple = "revenue") -> DataFrame:
+    """One scan, one aggregate: (measure, dimension, segment, prev, cur) for every
+    dimension and every requested measure. The period filter is a timestamp range (and
+    a month-key filter), so it reaches the orders parquet scan or prunes partitions."""
+    measures = (measure,) if isinstance(measure, str) else tuple(measure)
+    cols = {m: check_measure(m) for m in measures}
     for d in dims:
         check_dimension(d)
     in_prev = F.col("month").isin(*prev)
@@ -98,26 +100,32 @@ def segment_periods(fact: DataFrame, prev: list[str], cur: list[str], dims=DIMEN
     pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("segment"))
                       for d in dims])
     rows = (fact.filter(fact_months(list(prev) + list(cur)))
-                .select(F.inline(pairs), in_prev.alias("in_prev"), in_cur.alias("in_cur"), F.col(col).alias("v")))
+                .select(F.inline(pairs), in_prev.alias("in_prev"), in_cur.alias("in_cur"),
+                        *[F.col(c).alias(f"v_{m}") for m, c in cols.items()]))
     zero = F.lit(0).cast("decimal(18,2)")
-    return (rows.groupBy("dimension", "segment")
-                .agg(F.sum(F.when(F.col("in_prev"), F.col("v")).otherwise(zero)).alias("prev"),
-                     F.sum(F.when(F.col("in_cur"), F.col("v")).otherwise(zero)).alias("cur")))
+    sums = []
+    for m in measures:
+        sums += [F.sum(F.when(F.col("in_prev"), F.col(f"v_{m}")).otherwise(zero)).alias(f"p_{m}"),
+                 F.sum(F.when(F.col("in_cur"), F.col(f"v_{m}")).otherwise(zero)).alias(f"c_{m}")]
+    agg = rows.groupBy("dimension", "segment").agg(*sums)
+    per_measure = F.inline(F.array(*[F.struct(F.lit(m).alias("measure"), F.col(f"p_{m}").alias("prev"),
+                                              F.col(f"c_{m}").alias("cur")) for m in measures]))
+    return agg.select("dimension", "segment", per_measure)
 
 
-def contribution_from(seg: DataFrame, measure: str = "revenue") -> DataFrame:
+def contribution_from(seg: DataFrame) -> DataFrame:
     """Shares and lift per segment; rank by |delta| desc (segment breaks ties)."""
-    per_dim = Window.partitionBy("dimension")          # segment grain
-    t = seg.select("dimension", "segment", "prev", "cur", (F.col("cur") - F.col("prev")).alias("delta"))
+    per_dim = Window.partitionBy("measure", "dimension")          # segment grain
+    t = seg.select("measure", "dimension", "segment", "prev", "cur", (F.col("cur") - F.col("prev")).alias("delta"))
     # totals are exact DECIMAL sums; each share is then a single double division
     tot_delta, tot_prev = F.sum("delta").over(per_dim), F.sum("prev").over(per_dim)
-    t = t.select("dimension", "segment", money("prev").alias("prev"), money("cur").alias("cur"),
+    t = t.select("measure", "dimension", "segment", money("prev").alias("prev"), money("cur").alias("cur"),
                  money("delta").alias("delta"),
                  F.when(tot_delta != 0, ratio("delta", tot_delta)).alias("share_of_change"),
                  F.when(tot_prev != 0, ratio("prev", tot_prev)).alias("share_of_base"))
     lift, is_new = lift_parts(F.col("share_of_change"), F.col("share_of_base"))
-    rank = F.row_number().over(Window.partitionBy("dimension").orderBy(F.abs("delta").desc(), "segment"))
-    return t.select("dimension", "segment", F.lit(measure).alias("measure"), "prev", "cur", "delta",
+    rank = F.row_number().over(Window.partitionBy("measure", "dimension").orderBy(F.abs("delta").desc(), "segment"))
+    return t.select("dimension", "segment", "measure", "prev", "cur", "delta",
                     "share_of_change", "share_of_base", lift.alias("lift"), is_new.alias("is_new_segment"),
                     rank.alias("rank"))
 
@@ -126,13 +134,13 @@ def contribution(fact: DataFrame, dim: str, prev: list[str], cur: list[str],
                  measure: str = "revenue") -> DataFrame:
     """One dimension."""
     check_dimension(dim)
-    return contribution_from(segment_periods(fact, prev, cur, (dim,), measure), measure)
+    return contribution_from(segment_periods(fact, prev, cur, (dim,), measure))
 
 
 def contribution_all(fact: DataFrame, prev: list[str], cur: list[str], measure: str = "revenue",
                      dims=DIMENSIONS) -> DataFrame:
     """every dimension from one scan."""
-    return contribution_from(segment_periods(fact, prev, cur, dims, measure), measure)
+    return contribution_from(segment_periods(fact, prev, cur, dims, measure))
 
 
 def contribution_top(contrib: DataFrame, top: int = 5) -> DataFrame:
@@ -149,43 +157,45 @@ def total_change_guard(monthly: DataFrame, prev: list[str], cur: list[str], meas
     j = a.crossJoin(b)
     change = F.when(F.col("total_prev") != 0,
                     F.abs(F.col("total_cur") - F.col("total_prev")) / F.col("total_prev"))
-    return j.select("total_prev", "total_cur", change.alias("total_change"),
+    return j.select(F.lit(measure).alias("measure"), "total_prev", "total_cur", change.alias("total_change"),
                     F.coalesce(change >= rules.min_total_change, F.lit(False)).alias("look_for_drivers"))
 
 
 def drivers_from(contrib: DataFrame, guard: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """F8 rule on a contribution frame: |share| >= 0.15 AND |lift - 1| >= 0.5 (an
-    infinite lift passes, an undefined one never does), only when the guard allows.
-    Order: |share| desc, ties in dimension order, then contribution rank."""
+    infinite lift passes, an undefined one never does), only when the measure's guard
+    allows. Order per measure: |share| desc, ties in dimension order, then rank."""
     dim_pos = F.create_map(*[x for d, i in DIM_ORDER.items() for x in (F.lit(d), F.lit(i))])
     hit = ((F.abs("share_of_change") >= rules.min_share)
            & (F.col("is_new_segment") | (F.abs(F.col("lift") - 1) >= rules.min_lift_gap)))
-    d = (contrib.crossJoin(guard.select("look_for_drivers"))      # one-row guard
+    d = (contrib.join(F.broadcast(guard.select("measure", "look_for_drivers")), "measure")   # one row per measure
                 .filter(F.col("look_for_drivers") & F.coalesce(hit, F.lit(False)))
                 .drop("look_for_drivers"))
-    order = Window.orderBy(F.abs("share_of_change").desc(), dim_pos[F.col("dimension")], F.col("rank"))
+    order = Window.partitionBy("measure").orderBy(F.abs("share_of_change").desc(), dim_pos[F.col("dimension")],
+                                                  F.col("rank"))
     return d.select("dimension", "segment", "measure", "delta", "share_of_change", "share_of_base", "lift",
                     "is_new_segment", F.row_number().over(order).alias("driver_rank"))
 
 
 def guard_from_segments(seg: DataFrame, dim: str, rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """The R11 guard from the segment aggregate itself: the segments of one dimension
-    partition the rows (NULLs are '(unknown)'), so their sums are the period totals.
-    Saves a second pass over the fact."""
-    t = (seg.filter(F.col("dimension") == dim)
+    """The R11 guard from the segment aggregate itself, per measure: the segments of one
+    dimension partition the rows (NULLs are '(unknown)'), so their sums are the period
+    totals. Saves a second pass over the fact."""
+    t = (seg.filter(F.col("dimension") == dim).groupBy("measure")
             .agg(money(F.sum("prev")).alias("total_prev"), money(F.sum("cur")).alias("total_cur")))
     change = F.when(F.col("total_prev") != 0,
                     F.abs(F.col("total_cur") - F.col("total_prev")) / F.col("total_prev"))
-    return t.select("total_prev", "total_cur", change.alias("total_change"),
+    return t.select("measure", "total_prev", "total_cur", change.alias("total_change"),
                     F.coalesce(change >= rules.min_total_change, F.lit(False)).alias("look_for_drivers"))
 
 
-def find_drivers(fact: DataFrame, prev: list[str], cur: list[str], dims=DIMENSIONS, measure: str = "revenue",
-                 rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """F8 / F9 (R11): one aggregate over the fact feeds both the contributions and the guard
-    (the plan reuses its exchange)."""
+def find_drivers(fact: DataFrame, prev: list[str], cur: list[str], dims=DIMENSIONS,
+                 measure: str | tuple = "revenue", rules: Rules = DEFAULT_RULES) -> DataFrame:
+    """F8 / F9 (R11): one aggregate over the fact feeds the contributions and the guard
+    (the plan reuses its exchange); several measures come from the same aggregate, with
+    driver_rank counted within each measure."""
     seg = segment_periods(fact, prev, cur, dims, measure)
-    return drivers_from(contribution_from(seg, measure), guard_from_segments(seg, dims[0], rules), rules)
+    return drivers_from(contribution_from(seg), guard_from_segments(seg, dims[0], rules), rules)
 
 
 # ---------------------------------------------------------------- F11 / F12

@@ -58,18 +58,21 @@ def _truth(spark, d) -> DataFrame:
     last, prev, last3 = p["last_month"], p["previous_month"], p["last_3_months"]
     m = k.monthly
     cents = lambda c: F.round(F.col(c) * 100).cast("long")
-    rev = m.filter(F.col("month") == last[0]).select(cents("revenue").alias("rev_c"))
-    dec = X.decompose(m, prev, last).select(F.col("delta_pct").alias("chg"))
+    inm = lambda ms: F.col("month").isin(*ms)
+    scal = m.agg(F.max(F.when(inm(last), cents("revenue"))).alias("rev_c"),
+                 F.sum(F.when(inm(prev), F.col("revenue"))).alias("_a"),
+                 F.sum(F.when(inm(last), F.col("revenue"))).alias("_b"),
+                 F.sum(F.when(inm(last3), F.col("revenue"))).alias("rev3"),
+                 F.sum(F.when(inm(last3), F.col("orders"))).alias("_o3"),
+                 F.avg(F.when(inm(last3), F.col("aov"))).alias("mean_aov3"))      # one pass over the months
+    scal = scal.select("rev_c", ((F.col("_b") - F.col("_a")) / F.col("_a")).alias("chg"), "rev3",
+                       (F.col("rev3") / F.col("_o3")).alias("aov3"), "mean_aov3")
     z = X.zscore_window(m, last, last[0]).select(F.col("unusual").alias("truth_unusual"))
     fan = E.trap_fanout(k.star, last[0]).select(cents("revenue").alias("fan_c"))
     item = E.trap_item_month(k.star, last[0]).select(cents("revenue").alias("item_c"))
-    p3 = E.period_totals(m, last3).select(F.col("revenue").alias("rev3"), F.col("aov").alias("aov3"))
-    mean_aov = m.filter(F.col("month").isin(last3)).agg(F.avg("aov").alias("mean_aov3"))
-    drv = (X.find_drivers(k.fact, prev, last).select("dimension", "segment")
-           .unionByName(X.find_drivers(k.fact, prev, last, DIMENSIONS, "net_revenue").select("dimension", "segment")))
+    drv = X.find_drivers(k.fact, prev, last, DIMENSIONS, ("revenue", "net_revenue")).select("dimension", "segment")
     tol = drv.agg(F.array_sort(F.collect_set(F.struct("dimension", "segment"))).alias("tolerated"))
-    return (rev.crossJoin(dec).crossJoin(z).crossJoin(fan).crossJoin(item).crossJoin(p3).crossJoin(mean_aov)
-               .crossJoin(tol)
+    return (scal.crossJoin(z).crossJoin(fan).crossJoin(item).crossJoin(tol)
                .select("*", F.lit(last[0]).alias("last_month"), F.array(*[F.lit(x) for x in last3]).alias("period3")))
 
 

@@ -170,7 +170,8 @@ def identities(spark, d):
     out = out.unionByName(I.identity_rows([("returned_share_times_revenue:dist_center", F.col("lr"), F.col("rr")),
                                            ("cancelled_share_times_revenue:dist_center", F.col("lc"), F.col("rc"))],
                                           lk.crossJoin(f)))
-    tot = k.monthly.agg(F.sum("revenue").alias("ms")).crossJoin(E.total_before_today(k.star, k.rules))
+    complete = k.fact.filter(F.col("month") < k.rules.today_month)
+    tot = complete.agg(F.sum("sale_price").cast("double").alias("ms")).crossJoin(E.total_before_today(k.star, k.rules))
     out = out.unionByName(I.identity_rows([("months_sum_to_total", F.col("ms"), F.col("revenue"))], tot))
     pt = E.period_totals(k.monthly, last3).crossJoin(
         k.monthly.filter(F.col("month").isin(last3)).agg(F.avg("aov").alias("mean_aov")))
@@ -211,7 +212,7 @@ lks AS (SELECT SUM(ret * CAST(rev AS DOUBLE)) AS lr, SUM(can * CAST(rev AS DOUBL
                (SELECT CAST(SUM(sale_price) AS DOUBLE) FROM fact JOIN per USING (month) WHERE per.cur1 AND order_status = 'Returned') AS rr,
                (SELECT CAST(SUM(sale_price) AS DOUBLE) FROM fact JOIN per USING (month) WHERE per.cur1 AND order_status = 'Cancelled') AS rc
         FROM lk),
-tot AS (SELECT (SELECT SUM(revenue) FROM monthly) AS ms,
+tot AS (SELECT (SELECT CAST(SUM(revenue_d) AS DOUBLE) FROM mcore) AS ms,
                (SELECT CAST(SUM(oi.sale_price) AS DOUBLE) FROM oi JOIN o ON o.order_id = oi.order_id
                  WHERE o.created_at < TIMESTAMP '2001-08-01 00:00:00') AS t),
 pt AS (SELECT SUM(revenue) / SUM(orders) AS aov, SUM(revenue) AS revenue, SUM(orders) AS orders, AVG(aov) AS mean_aov

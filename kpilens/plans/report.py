@@ -41,11 +41,13 @@ def change_report(spark: SparkSession, sf_dir: str, thorough: bool = False) -> D
         F.lit(last[0]).alias("period"), F.lit(prev[0]).alias("previous"), F.lit("revenue").alias("measure"),
         F.col("revenue_cur").alias("value"), F.col("revenue_prev").alias("value_previous"),
         F.col("delta_pct").alias("change_pct"), "zscore", "unusual", "volume_share", "aov_share")
-    rows = _driver_text(X.find_drivers(k.fact, prev, last, DIMENSIONS, "revenue"), 0, "driver_rank")
     if not thorough:
+        rows = _driver_text(X.find_drivers(k.fact, prev, last, DIMENSIONS, "revenue"), 0, "driver_rank")
         return head.crossJoin(_agg_text(rows))
-    rows = rows.unionByName(
-        _driver_text(X.find_drivers(k.fact, prev, last, DIMENSIONS, "net_revenue"), 1, "driver_rank"))
+    both = X.find_drivers(k.fact, prev, last, DIMENSIONS, ("revenue", "net_revenue"))     # one pass, two measures
+    rows = _driver_text(both.withColumn("driver_rank", F.col("driver_rank")
+                                        + F.when(F.col("measure") == "net_revenue", F.lit(1_000_000_000))
+                                           .otherwise(F.lit(0))), 0, "driver_rank")
     alert = X.leakage_alert(k.leakage_monthly()).select(
         F.col("returned_share"), F.col("hist_mean").alias("returned_hist_mean"),
         F.col("hist_sd").alias("returned_hist_sd"), F.col("alert").alias("returned_alert"))
@@ -80,11 +82,13 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
                                  r("volume_share", 4).alias("volume_share"),
                                  r("aov_share", 4).alias("aov_share")).alias(name))
 
-    def drivers(a, b, measure, name):
-        dr = X.find_drivers(k.fact, a, b, DIMENSIONS, measure)
+    def drivers(a, b, name):
+        dr = X.find_drivers(k.fact, a, b, DIMENSIONS, ("revenue", "net_revenue"))
         s = F.struct("driver_rank", "dimension", "segment", "measure", "delta", "share_of_change",
                      "share_of_base", "lift", "is_new_segment")
-        return dr.agg(F.array_sort(F.collect_list(s)).alias(name))
+        gross = F.array_sort(F.collect_list(F.when(F.col("measure") == "revenue", s)))
+        net = F.array_sort(F.collect_list(F.when(F.col("measure") == "net_revenue", s)))
+        return dr.agg(gross.alias(name), net.alias("net_" + name))
 
     def top5(a, b, name):
         c = X.contribution_top(X.contribution_all(k.fact, a, b), 5)
@@ -120,14 +124,12 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
              .crossJoin(k.monthly.filter(F.col("month").isin(last3))
                         .agg(r(F.avg("aov"), 2).alias("aov_last_3_months_as_mean_of_monthly"))))
     lm = (headline(last).crossJoin(decomp(prev1, last, "vs_previous_month")).crossJoin(z1)
-          .crossJoin(drivers(prev1, last, "revenue", "drivers"))
-          .crossJoin(drivers(prev1, last, "net_revenue", "net_drivers"))
+          .crossJoin(drivers(prev1, last, "drivers"))
           .crossJoin(top5(prev1, last, "contribution_top5")).crossJoin(leak).crossJoin(by_dc))
     if funnel_src is not None:
         lm = lm.crossJoin(funnel_src)
     l3 = (headline(last3).crossJoin(decomp(prev3, last3, "vs_previous_3_months")).crossJoin(z3)
-          .crossJoin(drivers(prev3, last3, "revenue", "drivers"))
-          .crossJoin(drivers(prev3, last3, "net_revenue", "net_drivers"))
+          .crossJoin(drivers(prev3, last3, "drivers"))
           .crossJoin(top5(prev3, last3, "contribution_top5")))
     meta = F.struct(F.lit(k.rules.today).alias("today"),
                     F.struct(F.lit(k.rules.unusual_z).alias("unusual_z"),
