@@ -15,6 +15,7 @@ def get_spark(app: str = "kpilens", cpus: int | str = "*", shuffle_partitions: i
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
          .config("spark.sql.session.timeZone", "UTC")
+         .config("spark.sql.autoBroadcastJoinThreshold", str(1 << 20))
          .config("spark.sql.execution.arrow.pyspark.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
