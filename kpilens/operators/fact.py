@@ -27,7 +27,9 @@ def orders_in_scope(star: Star, scope: str = "with_items") -> DataFrame:
         return o
     if scope != "with_items":
         raise ValueError(f"unknown scope {scope!r}; available: with_items, all_orders")
-    return o.join(star.order_items.select("order_id"), "order_id", "left_semi")
+    # distinct first: the partial aggregate dedupes an order's items map-side, so the
+    # semi join shuffles one key per order and partition instead of one per item
+    return o.join(star.order_items.select("order_id").distinct(), "order_id", "left_semi")
 
 
 def first_orders(star: Star, scope: str = "with_items") -> DataFrame:

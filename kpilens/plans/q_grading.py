@@ -65,8 +65,8 @@ def _truth(spark, d) -> DataFrame:
                  F.sum(F.when(inm(last3), F.col("revenue"))).alias("rev3"),
                  F.sum(F.when(inm(last3), F.col("orders"))).alias("_o3"),
                  F.avg(F.when(inm(last3), F.col("aov"))).alias("mean_aov3"))      # one pass over the months
-    scal = scal.select("rev_c", ((F.col("_b") - F.col("_a")) / F.col("_a")).alias("chg"), "rev3",
-                       (F.col("rev3") / F.col("_o3")).alias("aov3"), "mean_aov3")
+    scal = scal.select("rev_c", F.try_divide(F.col("_b") - F.col("_a"), F.col("_a")).alias("chg"), "rev3",
+                       F.try_divide(F.col("rev3"), F.col("_o3").cast("double")).alias("aov3"), "mean_aov3")
     z = X.zscore_window(m, last, last[0]).select(F.col("unusual").alias("truth_unusual"))
     fan = E.trap_fanout(k.star, last[0]).select(cents("revenue").alias("fan_c"))
     item = E.trap_item_month(k.star, last[0]).select(cents("revenue").alias("item_c"))

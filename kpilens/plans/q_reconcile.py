@@ -176,7 +176,7 @@ def identities(spark, d):
     pt = E.period_totals(k.monthly, last3).crossJoin(
         k.monthly.filter(F.col("month").isin(last3)).agg(F.avg("aov").alias("mean_aov")))
     out = out.unionByName(I.identity_rows([("aov_is_ratio_of_totals", F.col("aov"),
-                                            F.col("revenue") / F.col("orders"))], pt))
+                                            F.try_divide(F.col("revenue"), F.col("orders").cast("double")))], pt))
     out = out.unionByName(I.identity_rows([("aov_is_not_mean_of_monthly", F.col("aov"), F.col("mean_aov"))], pt,
                                           negate=True))
     return out
