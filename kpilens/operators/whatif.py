@@ -18,6 +18,7 @@ from kpilens.config import LOST_STATUSES
 from kpilens.functions.columns import fact_months, money, month_range
 from kpilens.functions.quantiles import values_at_ranks
 from kpilens.operators.sessions import split_by_gap
+from kpilens.session import ensure_checkpoint_dir
 from kpilens.sources.tables import Star
 
 DAY = 86400
@@ -86,6 +87,7 @@ def sample_exact(df: DataFrame, key: str, rate: float, by: list[str] | tuple = (
     times, so it is checkpointed once (reliable storage: the lineage is cut, and a lost
     executor does not force the upstream joins to run again)."""
     by = list(by)
+    ensure_checkpoint_dir(df.sparkSession)
     h = df.withColumn("_h", key_hash(key)).checkpoint(eager=True)
     n = h.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
     k = n.withColumn("_take", F.bround(F.lit(float(rate)) * F.col("_n"), 0).cast("long"))

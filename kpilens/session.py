@@ -29,11 +29,13 @@ def get_spark(app: str = "kpilens", cpus: int | str = "*", shuffle_partitions: i
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared `spark.checkpoint.dir`; set a scratch one only when unset
-    (local tests). Never a machine-local folder on a real cluster."""
+    """The folder for checkpoints: the one already active on the context, else the
+    cluster's shared `spark.checkpoint.dir` from the session, else (local tests only,
+    when nothing is set) a scratch folder."""
     sc = spark.sparkContext
-    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not d:
-        d = tempfile.mkdtemp(prefix="kpilens-ckpt-")
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kpilens-ckpt-")
     sc.setCheckpointDir(d)
-    return d
+    return sc.getCheckpointDir() or d
