@@ -1,17 +1,21 @@
-"""Exact quantiles (linear interpolation, as pandas / SQL `quantile_cont`) without
-collecting a group's values in one task.
+"""Exact quantiles (linear interpolation, as pandas / SQL `quantile_cont`) and exact rank
+selection, without collecting a group's values in one task.
 
 `percentile` keeps every value of a group in one aggregation buffer, and a
 global quantile is one group: at scale that is the whole column in one task.
-Instead, per group:
-  1. count, min, max                                    (partial aggregate)
-  2. histogram over B equal-width buckets               (partial aggregate)
-  3. cumulative counts over the B bucket rows           (bucket grain)
-  4. for each wanted rank, the bucket that holds it     (small join)
-  5. distinct values with counts inside those buckets   (partial aggregate, few buckets)
-  6. cumulative counts inside them -> the values at the ranks, then interpolate.
-A hot value lands in one bucket and in one (value, count) row, so nothing grows
-with the number of rows except the partial aggregates.
+Instead, for every wanted rank k of a group:
+  1. per group: count, min, max                                   (partial aggregate)
+  2. `levels` times: a histogram of the values inside the current range
+     [lo, hi] over B equal-width buckets, with each bucket's count, min and max
+     (partial aggregate); cumulative counts over the B bucket rows locate the
+     bucket that holds rank k; its [min, max] becomes the next range and the
+     count below it the next offset. Bucket numbers are monotonic in the value,
+     so [min, max] of a bucket holds exactly that bucket's values.
+  3. distinct values with counts inside the final range (partial aggregate) and a
+     cumulative count over them -> the value at rank k.
+After two levels a range holds about n / B^2 of the values (n / 16.7e6 with
+B = 4096), and a hot value is one (value, count) row; the wanted ranks are few
+(bounded by groups x probabilities), so their table is broadcast.
 """
 
 from __future__ import annotations
@@ -20,38 +24,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
+LEVELS = 2
+
+
+def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
+    v = (value if isinstance(value, Column) else F.col(value)).cast("double")
+    return df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
 def values_at_ranks(df: DataFrame, value: str | Column, ranks: DataFrame, by: list[str] | tuple = (),
-                    buckets: int = BUCKETS) -> DataFrame:
+                    buckets: int = BUCKETS, levels: int = LEVELS) -> DataFrame:
     """Rows (by..., _k, _v): the value at 0-based rank _k (ascending) of `value` within
     each group, for the (by..., _k) rows of `ranks`. Ranks outside [0, n) give no row."""
     by = list(by)
-    v = (value if isinstance(value, Column) else F.col(value)).cast("double")
-    base = df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-    stats = base.groupBy(*by).agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    span = F.col("_hi") - F.col("_lo")
-    bucket = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
-                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
-    keyed = (base.join(F.broadcast(stats), by, "inner") if by else base.crossJoin(F.broadcast(stats)))
-    keyed = keyed.withColumn("_b", bucket)
-    hist = keyed.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_c"))
-    w = Window.partitionBy(*by).orderBy("_b") if by else Window.orderBy("_b")
-    cum = hist.withColumn("_end", F.sum("_c").over(w.rowsBetween(Window.unboundedPreceding, 0))) \
-              .withColumn("_start", F.col("_end") - F.col("_c"))
-    ranks = ranks.select(*by, "_k").distinct()
-    rank_bucket = ranks.join(cum, by, "inner") if by else ranks.crossJoin(cum)
-    rank_bucket = rank_bucket.filter((F.col("_start") <= F.col("_k")) & (F.col("_k") < F.col("_end"))) \
-                             .select(*by, "_k", "_b", F.col("_start").alias("_bstart"))
-    need = rank_bucket.select(*by, "_b", "_bstart").distinct()
-    vals = (keyed.join(F.broadcast(need), by + ["_b"])
-                 .groupBy(*by, "_b", "_bstart", "_v").agg(F.count(F.lit(1)).alias("_vc")))
-    wv = Window.partitionBy(*by, "_b").orderBy("_v")
-    vals = vals.withColumn("_vend", F.col("_bstart") + F.sum("_vc").over(wv.rowsBetween(Window.unboundedPreceding, 0))) \
+    base = _values(df, value, by)
+    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    t = ranks.select(*by, "_k").distinct()
+    t = (t.join(stats, by) if by else t.crossJoin(stats))            # stats: one row per group
+    t = t.filter((F.col("_k") >= 0) & (F.col("_k") < F.col("_n"))).select(*by, "_k", "_lo", "_hi",
+                                                                         F.lit(0).cast("long").alias("_off"))
+    keys = by + ["_k"]
+    rkey = by + ["_lo", "_hi", "_off"]              # ranges shared by several ranks are scanned once
+    for _ in range(levels):
+        rng = t.select(*rkey).distinct()            # at most groups x ranks rows: broadcast
+        j = base.join(F.broadcast(rng), by) if by else base.crossJoin(F.broadcast(rng))
+        span = F.col("_hi") - F.col("_lo")
+        b = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
+                                     F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
+        hist = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))).withColumn("_b", b)
+                 .groupBy(*rkey, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
+                                           F.max("_v").alias("_bmax")))
+        w = Window.partitionBy(*rkey).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)   # <= B rows
+        cum = hist.withColumn("_end", F.col("_off") + F.sum("_c").over(w)) \
+                  .withColumn("_start", F.col("_end") - F.col("_c"))
+        t = (t.join(cum, rkey)
+              .filter((F.col("_start") <= F.col("_k")) & (F.col("_k") < F.col("_end")))
+              .select(*keys, F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
+                      F.col("_start").alias("_off")))
+    rng = t.select(*rkey).distinct()
+    j = base.join(F.broadcast(rng), by) if by else base.crossJoin(F.broadcast(rng))
+    vals = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+             .groupBy(*rkey, "_v").agg(F.count(F.lit(1)).alias("_vc")))
+    wv = Window.partitionBy(*rkey).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)   # final range only
+    vals = vals.withColumn("_vend", F.col("_off") + F.sum("_vc").over(wv)) \
                .withColumn("_vstart", F.col("_vend") - F.col("_vc"))
-    return (rank_bucket.join(vals, by + ["_b"])
-                       .filter((F.col("_vstart") <= F.col("_k")) & (F.col("_k") < F.col("_vend")))
-                       .select(*by, "_k", "_v"))
+    return (t.join(vals, rkey)
+             .filter((F.col("_vstart") <= F.col("_k")) & (F.col("_k") < F.col("_vend")))
+             .select(*by, "_k", "_v"))
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | tuple = (),

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from kpilens.config import ANON_USER_MODULO, SESSION_GAP_HOURS
 
-BUCKET_SECONDS = 3600
+BUCKET_SECONDS = 900
 
 
 def _micros(ts: Column) -> Column:
