@@ -13,8 +13,9 @@ Instead, for every wanted rank k of a group:
      so [min, max] of a bucket holds exactly that bucket's values.
   3. distinct values with counts inside the final range (partial aggregate) and a
      cumulative count over them -> the value at rank k.
-After two levels a range holds about n / B^2 of the values (n / 16.7e6 with
-B = 4096), and a hot value is one (value, count) row; the wanted ranks are few
+Each level divides a range by about B (4096); the number of levels is chosen from
+the row count so that the final range holds at most ~200,000 values, and a hot
+value is one (value, count) row; the wanted ranks are few
 (bounded by groups x probabilities), so their table is broadcast.
 """
 
@@ -24,7 +25,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 BUCKETS = 4096
-LEVELS = 2
+FINAL_RANGE_ROWS = 200_000        # aim: at most this many values left in the final range
+
+
+def levels_for(n: int, buckets: int = BUCKETS) -> int:
+    """Histogram levels so that a uniform spread leaves <= FINAL_RANGE_ROWS values per range."""
+    lv = 1
+    while n / (buckets ** lv) > FINAL_RANGE_ROWS:
+        lv += 1
+    return lv
 
 
 def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
@@ -33,11 +42,15 @@ def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
 
 
 def values_at_ranks(df: DataFrame, value: str | Column, ranks: DataFrame, by: list[str] | tuple = (),
-                    buckets: int = BUCKETS, levels: int = LEVELS) -> DataFrame:
+                    buckets: int = BUCKETS, levels: int | None = None) -> DataFrame:
     """Rows (by..., _k, _v): the value at 0-based rank _k (ascending) of `value` within
-    each group, for the (by..., _k) rows of `ranks`. Ranks outside [0, n) give no row."""
+    each group, for the (by..., _k) rows of `ranks`. Ranks outside [0, n) give no row.
+    `levels=None` picks the number of histogram levels from the row count (one scalar
+    count: 1 level up to ~0.8e9 values, 2 up to ~3e12)."""
     by = list(by)
     base = _values(df, value, by)
+    if levels is None:
+        levels = levels_for(base.count(), buckets)
     stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
     t = ranks.select(*by, "_k").distinct()
     t = (t.join(stats, by) if by else t.crossJoin(stats))            # stats: one row per group
@@ -74,7 +87,7 @@ def values_at_ranks(df: DataFrame, value: str | Column, ranks: DataFrame, by: li
 
 
 def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | tuple = (),
-                    buckets: int = BUCKETS) -> DataFrame:
+                    buckets: int = BUCKETS, levels: int | None = None) -> DataFrame:
     """Rows (by..., p, q): the exact linear-interpolation quantile q of `value` for each p."""
     by = list(by)
     v = (value if isinstance(value, Column) else F.col(value)).cast("double")
@@ -87,7 +100,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by:
         .withColumn("_khi", F.ceil("_pos").cast("long")) \
         .withColumn("_frac", F.col("_pos") - F.col("_klo"))
     ranks = targets.select(*by, F.explode(F.array("_klo", "_khi")).alias("_k"))
-    at = values_at_ranks(df, value, ranks, by, buckets)
+    at = values_at_ranks(df, value, ranks, by, buckets, levels)
     lo = at.select(*by, F.col("_k").alias("_klo"), F.col("_v").alias("_vlo"))
     hi = at.select(*by, F.col("_k").alias("_khi"), F.col("_v").alias("_vhi"))
     out = targets.join(lo, by + ["_klo"]).join(hi, by + ["_khi"])
