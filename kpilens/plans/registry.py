@@ -31,12 +31,15 @@ def kpi(spark: SparkSession, sf_dir: str) -> KPI:
 
 
 def finish(df: DataFrame) -> DataFrame:
-    """Round doubles to 6 digits and report decimals as doubles, timestamps as text."""
+    """Round doubles to 6 digits, report decimals as doubles, integers as BIGINT and
+    timestamps as text, so both engines return the same types."""
     out = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
             c = F.round(c.cast("double"), RATIO_DIGITS)
+        elif isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
+            c = c.cast("long")
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
             c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
         out.append(c.alias(f.name))

@@ -176,3 +176,25 @@ def family(*names: str, sfx: str, replace: dict[str, str] | None = None) -> list
         add(n)
     replace = replace or {}
     return [rename(replace.get(n, CTE[n]), sfx) for n in order]
+
+
+# DuckDB sums integers into HUGEINT (and keeps some INTEGER); every integral result is BIGINT.
+BIGINT_COLUMNS = {
+    "period_totals": ("orders", "items"), "table_manifest": ("checksum",),
+    "funnel_two_period": ("sessions_prev", "sessions_cur"),
+    "brand_pareto": ("brands_for_50pct", "brands_for_80pct"), "single_sale_brands": ("single_sale_brands",),
+    "price_checks": ("sale_price_nonpos", "cost_nonpos", "cost_above_price"),
+    "status_consistency": ("violations",), "gap_profile": ("negative",),
+    "after_cutoff": ("shipped", "delivered", "returned"), "purchase_rate_by_period": ("non_purchase_sessions",),
+    "child_parent_agree": ("mismatches",), "failure_clusters": ("failed_cases",),
+    "schema_columns": ("position",), "snapshot_items": ("line_number",),
+}
+
+
+def typed(key: str, sql: str) -> str:
+    """The oracle query with its count columns cast to BIGINT."""
+    cols = BIGINT_COLUMNS.get(key)
+    if not cols:
+        return sql
+    rep = ", ".join(f"CAST({c} AS BIGINT) AS {c}" for c in cols)
+    return f"SELECT * REPLACE ({rep}) FROM (\n{sql}\n) typed_result"
