@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS, ORDER_STATUSES, SESSION_DIMENSIONS, UNKNOWN, check_dimension
-from kpilens.functions.columns import fact_months, money, month_range, ratio
+from kpilens.functions.columns import fact_months, money, ratio
 
 
 def _rate(c: str):

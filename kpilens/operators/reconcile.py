@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS, RETURNED_PLANT_MIN, RETURNED_PLANT_RATIO
-from kpilens.functions.columns import fact_months, money, month_range, ratio
+from kpilens.functions.columns import fact_months, money, ratio
 
 
 def close(a: Column, b: Column, rel: float = 1e-9, abs_tol: float = 1e-6) -> Column:

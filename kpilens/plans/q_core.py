@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kpilens.config import UNKNOWN
 from kpilens.functions.columns import money, month_range
-from kpilens.operators import explain as X
 from kpilens.operators import metrics as E
 from kpilens.operators.fact import customer_type
 from kpilens.plans.registry import kpi, periods, register
-from kpilens.plans.sql_base import TODAY, TODAY_MONTH, r6, ts, with_
+from kpilens.plans.sql_base import TODAY, r6, ts, with_
 
 ORACLE: dict[str, str] = {}
 
@@ -369,8 +367,6 @@ SELECT strftime(created_at, '%Y-%m') AS month, COUNT(*) AS items, ROUND(CAST(SUM
 FROM oi GROUP BY 1 ORDER BY 1 DESC LIMIT 8"""
 
 
-_ = (Window, X, TODAY_MONTH)
-
 
 @register("synonym_lookup")
 def synonym_lookup(spark, d):

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from kpilens.config import DIMENSIONS
 from kpilens.operators import explain as X
 from kpilens.operators import funnel as G
@@ -244,8 +242,6 @@ SELECT a.segment, ROUND(a.returned, 6) AS returned,
            AS flagged
 FROM lk a"""
 
-_ = F
-
 
 # ---------------------------------------------------------------- F13 / F14
 @register("change_report")

@@ -15,7 +15,7 @@ from kpilens.plans import q_whatif as W
 from kpilens.plans.kpi import KPI
 from kpilens.plans.q_explain import drivers_ctes
 from kpilens.plans.registry import kpi, periods, register
-from kpilens.plans.sql_base import CTE, family, rename, with_
+from kpilens.plans.sql_base import family, rename, with_
 
 ORACLE: dict[str, str] = {}
 MEASURES4 = ("revenue", "net_revenue", "orders", "items")
@@ -358,8 +358,6 @@ FROM g JOIN pl ON pl.segment = g.segment
 LEFT JOIN (SELECT g2.month, MAX(g2.returned) AS others_max FROM g g2 WHERE g2.segment NOT IN (SELECT segment FROM pl)
            GROUP BY 1) o ON o.month = g.month"""
 
-_ = (CTE, DIMENSIONS)
-
 
 # ---------------------------------------------------------------- J8 (control)
 @register("what_if_control")

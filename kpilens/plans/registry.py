@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kpilens.config import DIMENSIONS, RATIO_DIGITS
+from kpilens.config import RATIO_DIGITS
 from kpilens.plans.kpi import KPI
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -67,4 +67,4 @@ def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
-__all__ = ["queries", "register", "kpi", "periods", "finish", "DIMENSIONS"]
+__all__ = ["queries", "register", "kpi", "periods", "finish"]

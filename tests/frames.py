@@ -5,7 +5,6 @@ from __future__ import annotations
 from datetime import datetime
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 FACT_SCHEMA = ("order_id long, user_id long, sale_price decimal(18,2), month string, "
                "order_created_at timestamp_ntz, order_status string, cost decimal(18,2), category string, "
@@ -42,5 +41,3 @@ class FakeStar:
 def col_list(df, c):
     return [r[c] for r in df.collect()]
 
-
-_ = F

@@ -7,9 +7,7 @@ import statistics
 from datetime import datetime, timedelta
 
 import numpy as np
-import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from kpilens.functions.quantiles import exact_quantiles
 from kpilens.operators.explain import leave_one_out_median
@@ -106,8 +104,6 @@ def test_leave_one_out_median(spark):
         assert got[s] == pytest.approx(statistics.median([v for k, v in vals.items() if k != s]))
 
 
-_ = (pd, F)
-
 
 def test_exact_quantiles_refine_over_levels(spark):
     rng = random.Random(5)
