@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from kpilens.config import (DEFAULT_RULES, DIMENSIONS, LEAKAGE_HISTORY, LEAKAGE_SIGMA, SEGMENT_RATIO,
                             Rules, check_dimension, check_measure)
 from kpilens.functions.columns import fact_months, lift_parts, money, ratio
-from kpilens.operators.metrics import period_totals
 
 DIM_ORDER = {d: i for i, d in enumerate(DIMENSIONS)}
 
@@ -22,14 +21,18 @@ DIM_ORDER = {d: i for i, d in enumerate(DIMENSIONS)}
 # ---------------------------------------------------------------- F1
 def decompose(monthly: DataFrame, prev: list[str], cur: list[str]) -> DataFrame:
     """Volume effect = d_orders * aov_prev; aov effect = orders_cur * d_aov; they sum
-    to the revenue change exactly. Two one-row totals combined by a one-row cross product."""
-    a = period_totals(monthly, prev).select(*[F.col(c).alias(f"a_{c}") for c in ("revenue", "orders", "aov")])
-    b = period_totals(monthly, cur).select(*[F.col(c).alias(f"b_{c}") for c in ("revenue", "orders", "aov")])
-    j = a.crossJoin(b)      # 1 x 1 rows
+    to the revenue change exactly. Both periods' totals come from one conditional
+    aggregate over the month rows (no join)."""
+    in_a, in_b = F.col("month").isin(*prev), F.col("month").isin(*cur)
+    t = monthly.agg(F.sum(F.when(in_a, F.col("revenue"))).alias("a_revenue"),
+                    F.sum(F.when(in_a, F.col("orders"))).alias("a_orders"),
+                    F.sum(F.when(in_b, F.col("revenue"))).alias("b_revenue"),
+                    F.sum(F.when(in_b, F.col("orders"))).alias("b_orders"))
+    a_aov, b_aov = ratio("a_revenue", "a_orders"), ratio("b_revenue", "b_orders")
     delta = F.col("b_revenue") - F.col("a_revenue")
-    vol = (F.col("b_orders") - F.col("a_orders")) * F.col("a_aov")
-    aov = F.col("b_orders") * (F.col("b_aov") - F.col("a_aov"))
-    return j.select(F.lit(",".join(prev)).alias("prev"), F.lit(",".join(cur)).alias("cur"),
+    vol = (F.col("b_orders") - F.col("a_orders")) * a_aov
+    aov = F.col("b_orders") * (b_aov - a_aov)
+    return t.select(F.lit(",".join(prev)).alias("prev"), F.lit(",".join(cur)).alias("cur"),
                     F.col("a_revenue").alias("revenue_prev"), F.col("b_revenue").alias("revenue_cur"),
                     delta.alias("delta"), ratio(delta, "a_revenue").alias("delta_pct"),
                     vol.alias("volume_effect"), aov.alias("aov_effect"),
@@ -64,15 +67,18 @@ def zscore_table(monthly: DataFrame, rules: Rules = DEFAULT_RULES) -> DataFrame:
 def zscore_window(monthly: DataFrame, months: list[str], before: str | None = None,
                   rules: Rules = DEFAULT_RULES) -> DataFrame:
     """every month of `months` judged against ONE baseline, the `lookback` rows before
-    `before` (default: the window's first month)."""
+    `before` (default: the window's first month). Month grain: the baseline statistics
+    are windows over all month rows (tens of rows), no join."""
     before = before or months[0]
+    allm = Window.partitionBy()                                     # month grain
     idx = monthly.select("month", "mom", F.row_number().over(Window.orderBy("month")).alias("idx"))
-    pos = idx.filter(F.col("month") == before).select(F.col("idx").alias("b_idx"))
-    base = (idx.crossJoin(pos)          # pos has one row
-               .filter((F.col("idx") < F.col("b_idx")) & (F.col("idx") >= F.col("b_idx") - rules.lookback))
-               .agg(F.count("mom").alias("history"), F.avg("mom").alias("hist_mean"),
-                    F.stddev_samp("mom").alias("hist_sd")))
-    t = monthly.filter(F.col("month").isin(list(months))).select("month", "mom").crossJoin(base)
+    b_idx = F.max(F.when(F.col("month") == before, F.col("idx"))).over(allm)
+    t = idx.withColumn("_b", b_idx)
+    base_mom = F.when((F.col("idx") < F.col("_b")) & (F.col("idx") >= F.col("_b") - rules.lookback), F.col("mom"))
+    t = t.select("month", "mom", F.count(base_mom).over(allm).alias("history"),
+                 F.avg(base_mom).over(allm).alias("hist_mean"), F.stddev_samp(base_mom).over(allm).alias("hist_sd"),
+                 F.col("_b").isNotNull().alias("_known"))
+    t = t.filter(F.col("month").isin(list(months)) & F.col("_known"))
     ok = F.col("history") >= rules.min_history
     z, unusual = _z(F.col("mom"), F.col("hist_mean"), F.col("hist_sd"), rules)
     return t.select("month", "mom", "history", "hist_mean", "hist_sd",
@@ -150,14 +156,13 @@ def contribution_top(contrib: DataFrame, top: int = 5) -> DataFrame:
 
 def total_change_guard(monthly: DataFrame, prev: list[str], cur: list[str], measure: str = "revenue",
                        rules: Rules = DEFAULT_RULES) -> DataFrame:
-    """R11 guard as one row: look for drivers only when |b - a| / a >= 2 %."""
+    """R11 guard as one row from the month rows: look for drivers only when |b - a| / a >= 2 %."""
     check_measure(measure)
-    a = period_totals(monthly, prev).select(F.col(measure).alias("total_prev"))
-    b = period_totals(monthly, cur).select(F.col(measure).alias("total_cur"))
-    j = a.crossJoin(b)
+    t = monthly.agg(F.sum(F.when(F.col("month").isin(*prev), F.col(measure))).alias("total_prev"),
+                    F.sum(F.when(F.col("month").isin(*cur), F.col(measure))).alias("total_cur"))
     change = F.when(F.col("total_prev") != 0,
                     F.abs(F.col("total_cur") - F.col("total_prev")) / F.col("total_prev"))
-    return j.select(F.lit(measure).alias("measure"), "total_prev", "total_cur", change.alias("total_change"),
+    return t.select(F.lit(measure).alias("measure"), "total_prev", "total_cur", change.alias("total_change"),
                     F.coalesce(change >= rules.min_total_change, F.lit(False)).alias("look_for_drivers"))
 
 

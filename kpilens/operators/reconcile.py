@@ -91,10 +91,10 @@ def level_margin(fact: DataFrame, months: list[str], segment: DataFrame, dim: st
              .groupBy("month", F.col(dim).alias("segment"))
              .agg(ratio(F.sum(F.when(F.col("order_status") == "Returned", F.col("sale_price"))
                               .otherwise(F.lit(0).cast("decimal(18,2)"))), F.sum("sale_price")).alias("returned")))
-    seg = segment.select(F.col("segment").alias("_planted"))
-    j = g.crossJoin(seg)
-    planted = j.filter(F.col("segment") == F.col("_planted")).select("month", "segment", "returned")
-    others = j.filter(F.col("segment") != F.col("_planted")).groupBy("month").agg(F.max("returned").alias("others_max"))
+    seg = segment.select(F.col("segment").alias("_planted"), F.lit(True).alias("_is_planted"))
+    j = g.join(F.broadcast(seg), g["segment"] == seg["_planted"], "left")       # seg: one row
+    planted = j.filter(F.col("_is_planted")).select("month", "segment", "returned")
+    others = j.filter(F.col("_is_planted").isNull()).groupBy("month").agg(F.max("returned").alias("others_max"))
     return (planted.join(others, "month", "left")
                    .withColumn("ok", F.coalesce((F.col("returned") >= RETURNED_PLANT_MIN)
                                                 & (F.col("returned") >= RETURNED_PLANT_RATIO * F.col("others_max")),

@@ -83,7 +83,8 @@ def sessions_from_events(events: DataFrame, gap_hours: int = SESSION_GAP_HOURS)
 
 
 def complete_periods(sessions: DataFrame) -> DataFrame:
-    """Session periods strictly before the period of the newest session (R1 for weeks)."""
-    cut = sessions.agg(F.max("period").alias("_cut"))
-    return (sessions.select("period").distinct().crossJoin(cut)
-                    .filter(F.col("period") < F.col("_cut")).select("period"))
+    """Session periods strictly before the period of the newest session (R1 for weeks);
+    period grain, a window over all period rows."""
+    p = sessions.select("period").distinct()
+    return (p.withColumn("_cut", F.max("period").over(Window.partitionBy()))
+             .filter(F.col("period") < F.col("_cut")).select("period"))
