@@ -225,26 +225,33 @@ def leakage_alert(leak_monthly: DataFrame, history: int = LEAKAGE_HISTORY,
 def leave_one_out_median(seg: DataFrame, value: str, key: str = "segment",
                          ratio_flag: float = SEGMENT_RATIO) -> DataFrame:
     """each segment against the median of the OTHER segments, from order statistics
-    (no pairs): with v sorted and the segment at rank r, the remaining m = n-1 values are
-    w_i = v_i (i < r) or v_{i+1} (i >= r); their median is one or two of those.
-    Segment grain: the sorted value list is bounded by the dimension's cardinality."""
+    (no pairs, no per-row arrays): with v sorted and the segment at rank r, the remaining
+    m = n-1 values are w_i = v_i (i < r) or v_{i+1} (i >= r), and their median needs w at
+    positions floor(m/2) .. floor(m/2)+1, i.e. v at three fixed positions p0, p0+1, p0+2.
+    Segment grain: the windows see one row per segment."""
     allv = Window.partitionBy()
-    ordered = Window.orderBy(F.col(value), F.col(key))
-    t = seg.select("*", F.row_number().over(ordered).alias("r"),
-                   F.count(F.lit(1)).over(allv).alias("n"),
-                   F.array_sort(F.collect_list(F.col(value).cast("double")).over(allv)).alias("v"))
-    m = F.col("n") - 1
-
-    def w(i: Column) -> Column:        # 1-based position in the list without rank r
-        return F.element_at("v", F.when(i < F.col("r"), i).otherwise(i + 1).cast("int"))
-
-    lo = F.floor((m + 1) / 2).cast("int")
-    med = F.when(m <= 0, F.lit(None).cast("double")) \
-           .when(m % 2 == 1, w(lo)) \
-           .otherwise((w(m / 2) + w(m / 2 + 1)) / 2)
+    t = seg.select("*", F.row_number().over(Window.orderBy(F.col(value), F.col(key))).alias("_r"),
+                   F.count(F.lit(1)).over(allv).alias("_n"))
+    m = F.col("_n") - 1
+    p0 = F.floor(m / 2).cast("long")
+    v = F.col(value).cast("double")
+    t = t.withColumn("_p0", p0)
+    vp = [F.max(F.when(F.col("_r") == F.col("_p0") + i, v)).over(allv) for i in range(3)]
+    t = t.select("*", *[x.alias(f"_v{i}") for i, x in enumerate(vp)])
+
+    def at(j: Column) -> Column:                      # v_j for j in {p0, p0+1, p0+2}
+        return (F.when(j == F.col("_p0"), F.col("_v0")).when(j == F.col("_p0") + 1, F.col("_v1"))
+                 .when(j == F.col("_p0") + 2, F.col("_v2")))
+
+    def w(i: Column) -> Column:                       # i-th value without the segment itself
+        return F.when(i < F.col("_r"), at(i)).otherwise(at(i + 1))
+
+    med = (F.when(m <= 0, F.lit(None).cast("double"))
+            .when(m % 2 == 1, w(F.col("_p0") + 1))
+            .otherwise((w(F.col("_p0")) + w(F.col("_p0") + 1)) / 2))
     return (t.withColumn("others_median", med)
              .withColumn("flagged", F.coalesce(F.col(value) >= ratio_flag * F.col("others_median"), F.lit(False)))
-             .drop("r", "n", "v"))
+             .drop("_r", "_n", "_p0", "_v0", "_v1", "_v2"))
 
 
 def outlier_segments(leak_by_dim: DataFrame, ratio_flag: float = SEGMENT_RATIO) -> DataFrame:

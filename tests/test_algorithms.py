@@ -113,3 +113,16 @@ def test_exact_quantiles_refine_over_levels(spark):
     got = {r.p: r.q for r in exact_quantiles(df, "v", probs, buckets=4, levels=3).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(np.array(vals), p)), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 4, 7, 10])
+def test_leave_one_out_median_sizes(spark, n):
+    rng = random.Random(n)
+    vals = {f"s{i}": round(rng.uniform(0, 1), 3) for i in range(n)}
+    vals["dup"] = next(iter(vals.values()))                                  # a tie
+    df = spark.createDataFrame(list(vals.items()), "segment string, returned double")
+    got = {r.segment: r.others_median for r in leave_one_out_median(df, "returned").collect()}
+    for s in vals:
+        others = [v for k, v in vals.items() if k != s]
+        want = statistics.median(others) if others else None
+        assert (got[s] is None and want is None) or got[s] == pytest.approx(want)
