@@ -14,6 +14,9 @@ instead, with buckets shorter than the gap:
 
 Steps 2 and 4 see one row per active bucket, so a hot user costs at most one row
 per bucket of its time span; the event-level windows are keyed by (user, bucket).
+`split_runs` is the general form (a row reaches some time; the next row past it
+starts a new run), used also to cut the one-to-one session match into independent
+parts.
 """
 
 from __future__ import annotations
@@ -30,23 +33,22 @@ def _micros(ts: Column) -> Column:
     return F.unix_micros(ts.cast("timestamp"))
 
 
-def split_by_gap(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int,
-                 bucket_seconds: int = BUCKET_SECONDS, out: str = "session_no") -> DataFrame:
-    """Number the runs of `df` per `key`: a new run starts when the time since the
-    previous row of the same key (ordered by ts, tiebreak) exceeds `gap_seconds`.
-    Adds `out` (1-based) and `is_start`."""
-    if bucket_seconds > gap_seconds:
-        bucket_seconds = gap_seconds
+def split_runs(df: DataFrame, key: str, ts: str, tiebreak: str, reach_us: Column,
+               bucket_seconds: int = BUCKET_SECONDS, out: str = "session_no") -> DataFrame:
+    """Number the runs of `df` per `key` in (ts, tiebreak) order: a row starts a new run
+    when its time is past the previous row's `reach` (microseconds). Adds `out` (1-based)
+    and `is_start`. Windows are keyed by (key, time bucket); the carry into a bucket is
+    the reach of the last row of the key's previous non-empty bucket, found over
+    bucket rows only."""
     b = F.floor(_micros(F.col(ts)) / (bucket_seconds * 1_000_000)).cast("long")
-    e = df.withColumn("_b", b)
-    last_in_bucket = e.groupBy(key, "_b").agg(F.max(ts).alias("_last"))
+    e = df.withColumn("_b", b).withColumn("_reach", reach_us)
+    last_in_bucket = e.groupBy(key, "_b").agg(F.max_by("_reach", F.struct(ts, tiebreak)).alias("_last"))
     per_key = Window.partitionBy(key).orderBy("_b")            # bucket rows only
     carry = last_in_bucket.select(key, "_b", F.lag("_last").over(per_key).alias("_carry"))
     e = e.join(carry, [key, "_b"])
     w = Window.partitionBy(key, "_b").orderBy(ts, tiebreak)
-    prev = F.coalesce(F.lag(ts).over(w), F.col("_carry"))
-    gap = _micros(F.col(ts)) - _micros(prev)
-    e = e.withColumn("is_start", prev.isNull() | (gap > gap_seconds * 1_000_000))
+    prev = F.coalesce(F.lag("_reach").over(w), F.col("_carry"))
+    e = e.withColumn("is_start", prev.isNull() | (_micros(F.col(ts)) > prev))
     e = e.withColumn("_run", F.sum(F.col("is_start").cast("long")).over(
         w.rowsBetween(Window.unboundedPreceding, 0)))
     starts = e.groupBy(key, "_b").agg(F.sum(F.col("is_start").cast("long")).alias("_n"))
@@ -54,7 +56,15 @@ def split_by_gap(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: i
                                      - F.col("_n")).alias("_off"))
     return (e.join(offs, [key, "_b"])
              .withColumn(out, F.col("_off") + F.col("_run"))
-             .drop("_b", "_carry", "_run", "_off"))
+             .drop("_b", "_carry", "_run", "_off", "_reach"))
+
+
+def split_by_gap(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: int,
+                 bucket_seconds: int = BUCKET_SECONDS, out: str = "session_no") -> DataFrame:
+    """Runs per `key`: a new run starts when the time since the previous row of the same
+    key (ordered by ts, tiebreak) exceeds `gap_seconds` (each row reaches ts + gap)."""
+    reach = _micros(F.col(ts)) + F.lit(gap_seconds * 1_000_000)
+    return split_runs(df, key, ts, tiebreak, reach, min(bucket_seconds, gap_seconds), out)
 
 
 def sessions_from_events(events: DataFrame, gap_hours: int = SESSION_GAP_HOURS) -> DataFrame:

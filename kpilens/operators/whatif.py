@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from kpilens.config import LOST_STATUSES
 from kpilens.functions.columns import fact_months, money, month_range
 from kpilens.functions.quantiles import values_at_ranks
-from kpilens.operators.sessions import split_by_gap
+from kpilens.operators.sessions import split_runs
 from kpilens.session import ensure_checkpoint_dir
 from kpilens.sources.tables import Star
 
@@ -204,19 +204,23 @@ def _greedy(key, items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
 def nearest_session_1to1(items: DataFrame, sessions: DataFrame, before_days: int = 3,
                          after_days: int = 1) -> DataFrame:
     """J6, one-to-one form: per user, items in time order each take the nearest UNUSED
-    session. Sequential only where items can compete: a user's items are split into
-    runs where consecutive items are more than before+after days apart (no session is
-    reachable from two runs), and each run is solved in its own cogrouped pandas call.
-    The runs are numbered with the bucketed gap split, not a per-user window."""
-    gap = (before_days + after_days) * DAY
-    runs = split_by_gap(items.select("item_id", "user_id", "ts"), "user_id", "ts", "item_id", gap,
-                        bucket_seconds=gap, out="run").drop("is_start")
+    session. An item can only be affected by earlier items that share a candidate session
+    with it, and for items in time order sharing is a chain (a session in the windows of
+    items a and c lies in the window of every item between them). So a user's items with
+    candidates are cut into independent parts wherever an item shares no candidate with
+    the next one: item i reaches its latest candidate start + `before_days`, and the next
+    item past that starts a new part (`split_runs`, bucketed, no per-user window). Each
+    part is solved exactly by one cogrouped pandas call."""
+    c = session_candidates(items, sessions, before_days, after_days)
+    reach = c.groupBy("item_id").agg(
+        (F.unix_micros(F.max("started_at").cast("timestamp")) + F.lit(before_days * DAY * 1_000_000)).alias("_r"))
+    with_cands = items.select("item_id", "user_id", "ts").join(reach, "item_id")
+    runs = split_runs(with_cands, "user_id", "ts", "item_id", F.col("_r"), out="run").drop("is_start", "_r")
     run_of = runs.select("item_id", F.col("run").alias("_run"))
-    c = session_candidates(items, sessions, before_days, after_days).join(run_of, "item_id")
+    c = c.join(run_of, "item_id")
     left = runs.select("user_id", "run", "item_id", _micros("ts").alias("ts_us")).alias("l")
     right = c.select(F.col("user_id").alias("c_user"), F.col("_run").alias("c_run"), F.col("item_id").alias("c_item"),
-                     "session_id",
-                     "abs_us", _micros("started_at").alias("started_us")).alias("r")
+                     "session_id", "abs_us", _micros("started_at").alias("started_us")).alias("r")
     return (left.groupBy("user_id", "run").cogroup(right.groupBy("c_user", "c_run"))
                 .applyInPandas(_greedy, MATCH_SCHEMA))
 

@@ -126,3 +126,16 @@ def test_leave_one_out_median_sizes(spark, n):
         others = [v for k, v in vals.items() if k != s]
         want = statistics.median(others) if others else None
         assert (got[s] is None and want is None) or got[s] == pytest.approx(want)
+
+
+def test_nearest_session_one_to_one_with_sparse_sessions_and_a_hot_user(spark):
+    rng = random.Random(11)
+    base = datetime(2024, 1, 1)
+    items = [(i, 0 if i % 3 == 0 else rng.randint(1, 9), base + timedelta(minutes=rng.randint(0, 60 * 24 * 90)))
+             for i in range(600)]
+    sess = [(f"s{i}", 0 if i % 2 == 0 else rng.randint(1, 9), base + timedelta(minutes=rng.randint(0, 60 * 24 * 90)))
+            for i in range(120)]
+    it = spark.createDataFrame(items, "item_id long, user_id long, ts timestamp_ntz")
+    ss = spark.createDataFrame(sess, "session_id string, user_id long, started_at timestamp_ntz")
+    got = {r.item_id: r.session_id for r in nearest_session_1to1(it, ss).collect()}
+    assert got == _greedy_brute(items, sess)
