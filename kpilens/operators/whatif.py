@@ -130,6 +130,14 @@ def flip_to_returned(star: Star, picked: DataFrame) -> tuple[EditedStar, DataFra
     return EditedStar(star, orders=new_orders), report
 
 
+def item_key() -> Column:
+    """A unique item key: whole item rows are unique (the (order, line) pair is not), so
+    the row's fields joined as text identify it exactly, with no global numbering."""
+    return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in
+                              ("order_id", "line_number", "product_id", "supplier_id", "sale_price", "quantity",
+                               "line_status", "created_at")])
+
+
 def drop_orders(star: Star, picked: DataFrame, sessions: DataFrame | None = None,
                 matches: DataFrame | None = None) -> tuple[EditedStar, DataFrame, DataFrame | None]:
     """Orders never happened: remove them, their items and (given the one-to-one
@@ -196,7 +204,7 @@ def _greedy(key, items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
             for s in g["session_id"]:
                 if s not in used:
                     used.add(s)
-                    out.append((int(r.item_id), int(r.user_id), s))
+                    out.append((r.item_id, int(r.user_id), s))
                     break
     return pd.DataFrame(out, columns=["item_id", "user_id", "session_id"])
 
@@ -221,8 +229,9 @@ def nearest_session_1to1(items: DataFrame, sessions: DataFrame, before_days: int
     left = runs.select("user_id", "run", "item_id", _micros("ts").alias("ts_us")).alias("l")
     right = c.select(F.col("user_id").alias("c_user"), F.col("_run").alias("c_run"), F.col("item_id").alias("c_item"),
                      "session_id", "abs_us", _micros("started_at").alias("started_us")).alias("r")
+    schema = T.StructType([T.StructField("item_id", items.schema["item_id"].dataType)] + MATCH_SCHEMA.fields[1:])
     return (left.groupBy("user_id", "run").cogroup(right.groupBy("c_user", "c_run"))
-                .applyInPandas(_greedy, MATCH_SCHEMA))
+                .applyInPandas(_greedy, schema))
 
 
 # ---------------------------------------------------------------- J7

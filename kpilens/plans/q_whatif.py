@@ -114,6 +114,24 @@ SELECT (SELECT COUNT(*) FROM o) AS orders_before,
        (SELECT COUNT(*) FROM oi WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS items_after"""
 
 
+@register("what_if_drop_sessions")
+def what_if_drop_sessions(spark, d):
+    """J5 cascade: the purchase session that produced each dropped item (one-to-one
+    nearest match in [-3 d, +1 d]) is removed too; sequential matching, no SQL twin."""
+    k, p = kpi(spark, d), periods(spark, d)
+    picked = J.orders_of_source(k.star, p["last_month"][0], SURGE_SOURCE)
+    o = k.star.orders.join(picked.select("order_id"), "order_id").select("order_id", "user_id")
+    items = (k.star.order_items.join(o, "order_id")
+             .select(J.item_key().alias("item_id"), "user_id", F.col("created_at").alias("ts")))
+    sessions = purchase_sessions(spark, d)
+    matches = J.nearest_session_1to1(items, sessions)
+    _, _, remaining = J.drop_orders(k.star, picked, sessions, matches)
+    return (sessions.agg(F.count(F.lit(1)).alias("sessions_before"))
+            .crossJoin(remaining.agg(F.count(F.lit(1)).alias("sessions_after")))
+            .crossJoin(items.agg(F.count(F.lit(1)).alias("items_dropped")))
+            .crossJoin(matches.agg(F.count(F.lit(1)).alias("items_with_session"))))
+
+
 @register("nearest_session")
 def nearest_session(spark, d):
     """J6 (plain): each purchase's nearest purchase session of the same user in [-3 d, +1 d]."""

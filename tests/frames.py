@@ -30,6 +30,7 @@ class FakeStar:
 
     def __init__(self, spark, orders, items):
         self.spark = spark
+        self.sf_dir, self.today, self.raw = "", "2001-08-01", {}
         self.orders = spark.createDataFrame(orders, "order_id long, user_id long, status string, "
                                                     "created_at timestamp_ntz, total_price double")
         self.order_items = spark.createDataFrame(items, "order_id long, line_number int, product_id long, "

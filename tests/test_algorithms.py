@@ -8,6 +8,7 @@ from datetime import datetime, timedelta
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from kpilens.functions.quantiles import exact_quantiles
 from kpilens.operators.explain import leave_one_out_median
@@ -139,3 +140,28 @@ def test_nearest_session_one_to_one_with_sparse_sessions_and_a_hot_user(spark):
     ss = spark.createDataFrame(sess, "session_id string, user_id long, started_at timestamp_ntz")
     got = {r.item_id: r.session_id for r in nearest_session_1to1(it, ss).collect()}
     assert got == _greedy_brute(items, sess)
+
+
+def test_drop_orders_cascades_to_matched_sessions(spark):
+    from decimal import Decimal
+
+    from kpilens.operators.whatif import drop_orders
+    from tests.frames import FakeStar
+    t0 = datetime(2024, 1, 10, 12)
+    orders = [(1, 7, "Complete", t0, 0.0), (2, 7, "Complete", t0, 0.0), (3, 8, "Complete", t0, 0.0)]
+    items = [(1, 1, 5, 1, Decimal("9.99"), 1.0, "F", t0, t0), (1, 2, 6, 1, Decimal("5.00"), 1.0, "F", t0, t0),
+             (3, 1, 5, 1, Decimal("9.99"), 1.0, "F", t0, t0)]
+    star = FakeStar(spark, orders, items)
+    sess = spark.createDataFrame([("a", 7, t0 - timedelta(hours=1)), ("b", 7, t0 - timedelta(days=2)),
+                                  ("c", 7, t0 - timedelta(days=5)), ("d", 8, t0)],
+                                 "session_id string, user_id long, started_at timestamp_ntz")
+    picked = spark.createDataFrame([(1,)], "order_id long")
+    it = (star.order_items.join(star.orders.select("order_id", "user_id"), "order_id").join(picked, "order_id")
+          .select((F.col("order_id") * 10 + F.col("line_number")).alias("item_id"), "user_id",
+                  F.col("created_at").alias("ts")))
+    matches = nearest_session_1to1(it, sess)
+    edited, report, remaining = drop_orders(star, picked, sess, matches)
+    assert sorted(r.session_id for r in matches.collect()) == ["a", "b"]       # c is 5 days before: out of range
+    assert sorted(r.session_id for r in remaining.collect()) == ["c", "d"]
+    r = report.collect()[0]
+    assert (r.orders_before, r.orders_after, r.items_before, r.items_after) == (3, 2, 3, 1)
