@@ -36,6 +36,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     active = sc.getCheckpointDir()
     if active:
         return active
-    d = sc.getConf().get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="kpilens-ckpt-")
+    d = sc.getConf().get("spark.checkpoint.dir", None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder on shared storage: "
+                               "checkpoints must survive the loss of any one machine")
+        d = tempfile.mkdtemp(prefix="kpilens-ckpt-")   # local runs (tests) only
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
