@@ -82,3 +82,9 @@ def fact_months(months: list[str] | str) -> Column:
     when the fact is read from its month-partitioned materialisation). Both say the same."""
     ms = [months] if isinstance(months, str) else list(months)
     return month_range("order_created_at", ms) & F.col("month").isin(*ms)
+
+
+def epoch_micros(ts: Column | str) -> Column:
+    """Microseconds since 1970-01-01 of a TIMESTAMP_NTZ, on the wall clock: no session time
+    zone enters (casting to TIMESTAMP would, and would shorten gaps across a DST change)."""
+    return F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), col(ts))

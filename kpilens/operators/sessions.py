@@ -25,12 +25,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kpilens.config import ANON_USER_MODULO, SESSION_GAP_HOURS
+from kpilens.functions.columns import epoch_micros
 
 BUCKET_SECONDS = 900
 
 
 def _micros(ts: Column) -> Column:
-    return F.unix_micros(ts.cast("timestamp"))
+    return epoch_micros(ts)
 
 
 def split_runs(df: DataFrame, key: str, ts: str, tiebreak: str, reach_us: Column,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpilens.config import LOST_STATUSES
-from kpilens.functions.columns import fact_months, money, month_range
+from kpilens.functions.columns import epoch_micros, fact_months, money, month_range
 from kpilens.functions.quantiles import values_at_ranks
 from kpilens.operators.sessions import split_runs
 from kpilens.session import ensure_checkpoint_dir
@@ -157,7 +157,7 @@ def drop_orders(star: Star, picked: DataFrame, sessions: DataFrame | None = None
 
 # ---------------------------------------------------------------- J6
 def _micros(c: str) -> Column:
-    return F.unix_micros(F.col(c).cast("timestamp"))
+    return epoch_micros(c)
 
 
 def session_candidates(items: DataFrame, sessions: DataFrame, before_days: int = 3,
@@ -221,7 +221,7 @@ def nearest_session_1to1(items: DataFrame, sessions: DataFrame, before_days: int
     part is solved exactly by one cogrouped pandas call."""
     c = session_candidates(items, sessions, before_days, after_days)
     reach = c.groupBy("item_id").agg(
-        (F.unix_micros(F.max("started_at").cast("timestamp")) + F.lit(before_days * DAY * 1_000_000)).alias("_r"))
+        (epoch_micros(F.max("started_at")) + F.lit(before_days * DAY * 1_000_000)).alias("_r"))
     with_cands = items.select("item_id", "user_id", "ts").join(reach, "item_id")
     runs = split_runs(with_cands, "user_id", "ts", "item_id", F.col("_r"), out="run").drop("is_start", "_r")
     run_of = runs.select("item_id", F.col("run").alias("_run"))
