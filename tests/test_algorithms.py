@@ -165,3 +165,16 @@ def test_drop_orders_cascades_to_matched_sessions(spark):
     assert sorted(r.session_id for r in remaining.collect()) == ["c", "d"]
     r = report.collect()[0]
     assert (r.orders_before, r.orders_after, r.items_before, r.items_after) == (3, 2, 3, 1)
+
+
+def test_gaps_do_not_depend_on_the_session_time_zone(spark):
+    base = datetime(2024, 3, 9, 22)                       # a DST change follows in America/New_York
+    rows = [(i, 1, base + timedelta(hours=5.5 * i)) for i in range(4)]
+    df = spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        got = {r.event_id: r.session_no for r in split_by_gap(df, "user_id", "ts", "event_id", 6 * 3600).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == _sessions_brute(rows, 6 * 3600)         # 5.5 h apart on the wall clock: one session
