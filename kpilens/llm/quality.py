@@ -26,6 +26,7 @@ from kpilens.llm.common import HAS_WORD, let, stored, words
 
 POS_BITS = 24                      # window position in the low bits of the sort key
 MASK = (1 << POS_BITS) - 1
+KEEP = (1 << 63) - 1 - MASK       # 39 bits of the window hash, sign bit off
 FEATURES = ["symbols_per_word", "dup_line_share", "repeat_share", "word_length", "upper_share",
             "bang_share", "digit_share", "distinct_share", "lines_per_word", "n_words_log"]
 
@@ -63,9 +64,9 @@ def with_stats(docs: DataFrame, text_col: str, out: str = "__stats") -> DataFram
     """Add one struct with the base counts and the features of the whole text.
 
     `n_repeat_words` counts the words in 3-word windows that occur twice or more: the window
-    hashes are sorted together with their positions as plain longs (40 bits of hash, 24 of
+    hashes are sorted together with their positions as plain longs (39 bits of hash, 24 of
     position); a text whose hashes are all distinct is done before the sort; equal neighbours
-    are compared word by word, and a text in which two different windows share the 40 bits
+    are compared word by word, and a text in which two different windows share those bits
     takes the slow path. Each step is a column of its own, so arrays are built once and the
     primitive sort runs in generated code.
     """
@@ -77,14 +78,14 @@ def with_stats(docs: DataFrame, text_col: str, out: str = "__stats") -> DataFram
         F.slice(ws, 1, F.greatest(n - 2, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(ws, i + 1), F.get(ws, i + 2)))))
     d = d.withColumn(f"{out}_ks", F.when(
         (F.size(F.array_distinct(hs)) == F.size(hs)) | (n > MASK), F.array().cast("array<bigint>")).otherwise(
-        F.sort_array(F.transform(hs, lambda h, i: h.bitwiseAND(F.lit(~MASK)).bitwiseOR(i.cast("long"))))))
-    d = d.withColumn(f"{out}_hits", F.filter(ks, lambda x, i: F.coalesce(
-        (F.shiftright(x, POS_BITS) == F.shiftright(F.get(ks, i - 1), POS_BITS))
-        | (F.shiftright(x, POS_BITS) == F.shiftright(F.get(ks, i + 1), POS_BITS)),
-        F.shiftright(x, POS_BITS) == F.shiftright(F.coalesce(F.get(ks, i + 1), F.get(ks, i - 1)), POS_BITS), F.lit(False))))
+        F.sort_array(F.transform(hs, lambda h, i: h.bitwiseAND(F.lit(KEEP)).bitwiseOR(i.cast("long"))))))
+    # sorted, non-negative keys: two neighbours share their hash bits iff their XOR is below 2^POS_BITS
+    one = F.lit(1)
+    d = d.withColumn(f"{out}_hits", F.filter(ks, lambda x, i: (x.bitwiseXOR(F.get(ks, i - one)) <= MASK)
+                                             | (x.bitwiseXOR(F.get(ks, i + one)) <= MASK)))
     clash = F.exists(F.transform(hits, lambda x, i: (
-        (F.shiftright(x, POS_BITS) == F.shiftright(F.get(hits, i - 1), POS_BITS))
-        & ~_same(ws, _pos(x), _pos(F.get(hits, i - 1))))), lambda b: F.coalesce(b, F.lit(False)))
+        (x.bitwiseXOR(F.get(hits, i - 1)) <= MASK) & ~_same(ws, _pos(x), _pos(F.get(hits, i - 1))))),
+        lambda b: F.coalesce(b, F.lit(False)))
     lines = F.col(f"`{out}_ln`")
     d = d.withColumn(f"{out}_ln", F.filter(F.split(t, "\n"), lambda x: x.rlike(HAS_WORD)))
     length = F.length(t)
