@@ -45,27 +45,25 @@ def _bisect(totals: DataFrame, score, wanted: float) -> float:
     """Smallest exponent in [0, 1] whose score is <= wanted (the score falls as the exponent grows); 1 if none."""
     lo, hi = 0.0, 1.0
     live = totals.where("share > 0")
+    sh, x = F.col("share"), F.col("x")
     for _ in range(PASSES):
         step = (hi - lo) / (POINTS + 1)
         xs = [lo + step * i for i in range(POINTS + 2)]
-        got = live.agg(*[c.alias(f"{k}{i}") for i, x in enumerate(xs) for k, c in _parts(x).items()]).first()
-        below = [i for i in range(len(xs)) if score(got, i, xs[i]) <= wanted]
+        got = (live.withColumn("x", F.explode(F.array(*[F.lit(v) for v in xs]))).groupBy("x").agg(
+            F.sum(F.pow(sh, x)).alias("z"), F.sum(F.pow(sh, x) * F.log(sh)).alias("e"),
+            F.max(F.pow(sh, x - 1)).alias("big"), F.min(F.pow(sh, x - 1)).alias("least")).collect())
+        below = [r["x"] for r in got if score(r) <= wanted]
         if not below:
             return 1.0
-        if below[0] == 0:
+        hi = min(below)
+        if hi == lo:
             return lo
-        lo, hi = xs[below[0] - 1], xs[below[0]]
+        lo = max(v for v in xs if v < hi)
     return hi
 
 
-def _parts(x: float) -> dict[str, Column]:
-    s = F.col("share")
-    p = F.pow(s, F.lit(x))
-    return {"z": F.sum(p), "e": F.sum(p * F.log(s)), "big": F.max(F.pow(s, F.lit(x - 1))), "least": F.min(F.pow(s, F.lit(x - 1)))}
-
-
-def _entropy(r, i: int, x: float) -> float:
-    return math.log(r[f"z{i}"]) - x * r[f"e{i}"] / r[f"z{i}"]
+def _entropy(r) -> float:
+    return math.log(r["z"]) - r["x"] * r["e"] / r["z"]
 
 
 def temperature(totals: DataFrame, target_entropy: float | None = None, max_repeat: float | None = None,
@@ -78,8 +76,8 @@ def temperature(totals: DataFrame, target_entropy: float | None = None, max_repe
     if target_entropy is not None:
         out = max(out, _bisect(totals, _entropy, target_entropy))
     if max_repeat is not None:
-        def repeats(r, i, x):
-            return r[f"big{i}"] / r[f"least{i}"] if budget is None else budget / whole * r[f"big{i}"] / r[f"z{i}"]
+        def repeats(r):
+            return r["big"] / r["least"] if budget is None else budget / whole * r["big"] / r["z"]
         out = max(out, _bisect(totals, repeats, max_repeat))
     return out
 
