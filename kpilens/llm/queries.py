@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpilens.llm import exact_dedup, line_dedup, minmax, mixing, packing, quality
+from kpilens.llm import chat, exact_dedup, html_tree, language, line_dedup, minmax, mixing, packing, quality, warc
 from kpilens.llm.common import table, word_count
 
 
@@ -15,6 +15,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", "mix.n_tokens", "mix.weight", "mix.epoch", "mix.block_rank", "mix.order_key")
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to WARC archives in the shared folder and read back through the index."""
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document packed into sequences of 2,048 words; copies of a text and texts of a source never share one."""
     return packing.pack(table(spark, sf_dir, "documents"), word_count(F.col("text")), F.xxhash64("text"))
@@ -33,16 +38,36 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(docs.where(half), docs.where(~half))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page."""
+    return html_tree.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines an earlier line resembles."""
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the documents whose crc32(doc_id) mod 4 is not 2."""
+    return language.predict_language(table(spark, sf_dir, "documents"))
+
+
 def op9_minmax_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components over all documents."""
     return minmax.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation shown as a raw transcript, its turns and roles recovered and rendered.
+
+    The model learns from the conversations whose crc32(conv_id) mod 8 is below 4 (half of each
+    transcript style, which is that number mod 4) and decodes all of them."""
+    lines = chat.transcript_lines(table(spark, sf_dir, "conversations"))
+    model = chat.train(lines.where(F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(8)) < 4))
+    return chat.parse_transcripts(lines, model)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline: quality rules, line dedup, near-dedup, mixing, packing."""
     import corpus_pipeline
@@ -50,7 +75,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mixing, op3_packing, op4_quality_rules, op5_exact_dedup, op7_line_dedup, op9_minmax_hashing, pipeline)}
+    op1_mixing, op2_warc, op3_packing, op4_quality_rules, op5_exact_dedup, op6_html_text, op7_line_dedup, op8_language_id,
+    op9_minmax_hashing, op10_chat_format, pipeline)}
 
 ORACLE = {
     "op5_exact_dedup": """
