@@ -93,7 +93,7 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 1000) -> Da
                 if out is None:
                     store.create_dir(root, recursive=True)
                     name = f"pages-{uuid.uuid4().hex}.warc.gz"
-                    out = store.open_output_stream(f"{root}/{name}")
+                    out = store.open_output_stream(f"{root}/{name}", compression=None)
                 rec = _record(cols["page_id"][i], cols["url"][i], blob.as_py(), cols["payload_digest"][i],
                               cols["record_type"][i], cols["refers_to"][i])
                 out.write(rec)
