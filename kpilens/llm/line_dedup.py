@@ -37,7 +37,7 @@ KEY = ["id", "k"]
 def word_ranks(texts: DataFrame, text_col: str) -> Column:
     """Array literal: rarity rank of each hash bucket, from the word counts of all texts."""
     got = (texts.select(F.explode(words(F.col(text_col))).alias("w"))
-           .groupBy(F.pmod(F.xxhash64("w"), F.lit(BUCKETS)).alias("b")).count().collect())
+           .groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).count().collect())
     rank = [0] * BUCKETS
     for r in got:
         rank[r["b"]] = int(16 * math.log2(1 + r["count"]))
@@ -45,12 +45,15 @@ def word_ranks(texts: DataFrame, text_col: str) -> Column:
 
 
 def _ordered(ws: Column, ranks: Column) -> Column:
-    """Distinct words as longs, rarest first."""
-    def key(w):
-        h = F.xxhash64(w)
-        return (F.shiftleft(F.get(ranks, F.pmod(h, F.lit(BUCKETS)).cast("int")).cast("long"), HASH_BITS)
-                .bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1))))
-    return F.sort_array(F.array_distinct(F.transform(ws, key)))
+    """Distinct words as longs, rarest first: each word is hashed once, and no element is nullable, so
+    the sort runs on a primitive array."""
+    hashes = F.array_distinct(F.transform(ws, lambda w: F.xxhash64(w)))
+
+    def key(h):
+        rank = F.coalesce(F.get(ranks, h.bitwiseAND(F.lit(BUCKETS - 1)).cast("int")), F.lit(0)).cast("long")
+        return F.shiftleft(rank, HASH_BITS).bitwiseOR(h.bitwiseAND(F.lit((1 << HASH_BITS) - 1)))
+
+    return F.sort_array(F.transform(hashes, key))
 
 
 def _line_rows(docs: DataFrame, numbers: str) -> DataFrame:
@@ -67,7 +70,8 @@ def _entries(lines: DataFrame, ranks: Column, percent: int, carry: tuple[str, ..
     low = F.aggregate(keys, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice(keys, F.lit(1), n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1)
-    d = lines.withColumn("keys", _ordered(F.col("ws"), ranks)).where(F.size("keys") > 0)
+    # no filter on the keys here: it would be pushed below and compute them a second time
+    d = lines.withColumn("keys", _ordered(F.col("ws"), ranks))
     return d.select(*KEY, "line", n.alias("n"), low.alias("par"), F.posexplode(prefix).alias("pos", "tok"), *carry)
 
 
