@@ -54,10 +54,6 @@ def ratio(a: Column | str, b: Column | str) -> Column:
     return F.try_divide(col(a).cast("double"), col(b).cast("double"))
 
 
-def r6(c: Column | str, digits: int = RATIO_DIGITS) -> Column:
-    return F.round(col(c).cast("double"), digits)
-
-
 def money(c: Column | str) -> Column:
     """Decimal sums are exact; they are reported as DOUBLE."""
     return col(c).cast("double")
@@ -72,10 +68,6 @@ def lift_parts(share_of_change: Column, share_of_base: Column) -> tuple[Column,
     return lift, F.coalesce(is_new, F.lit(False))
 
 
-def pct_change(cur: Column, prev: Column) -> Column:
-    return F.when(prev != 0, (cur - prev) / prev)
-
-
 def fact_months(months: list[str] | str) -> Column:
     """Period filter on the fact: the order-time range (pushed into the orders parquet scan
     when the fact is built from the source tables) AND the month key (prunes partitions

@@ -1,22 +1,18 @@
 """Exact quantiles (linear interpolation, as pandas / SQL `quantile_cont`) and exact rank
 selection, without collecting a group's values in one task.
 
-`percentile` keeps every value of a group in one aggregation buffer, and a
-global quantile is one group: at scale that is the whole column in one task.
-Instead, for every wanted rank k of a group:
-  1. per group: count, min, max                                   (partial aggregate)
-  2. `levels` times: a histogram of the values inside the current range
-     [lo, hi] over B equal-width buckets, with each bucket's count, min and max
-     (partial aggregate); cumulative counts over the B bucket rows locate the
-     bucket that holds rank k; its [min, max] becomes the next range and the
-     count below it the next offset. Bucket numbers are monotonic in the value,
-     so [min, max] of a bucket holds exactly that bucket's values.
-  3. distinct values with counts inside the final range (partial aggregate) and a
-     cumulative count over them -> the value at rank k.
-Each level divides a range by about B (4096); the number of levels is chosen from
-the row count so that the final range holds at most ~200,000 values, and a hot
-value is one (value, count) row; the wanted ranks are few
-(bounded by groups x probabilities), so their table is broadcast.
+`percentile` keeps every value of a group in one aggregation buffer, and a global quantile is one
+group: at scale that is the whole column in one task. Here a column becomes (value, count) cells by
+one partial aggregate, and every later step reads those cells:
+  1. per range (at first: per group): 64 approximate quantiles of its distinct values as split
+     points, taken by a mergeable sketch. They divide the *values that are there*, so neither an
+     outlier nor a skewed spread leaves a full bucket; their error only moves the borders.
+  2. exact counts per bucket; the cumulative counts over the <= 65 bucket rows locate the bucket
+     that holds each wanted rank.
+  3. the cells of those buckets alone are split once more, so a bucket holds about 1/4096 of the
+     distinct values, whatever their number.
+  4. a cumulative count inside the bucket gives the value at the rank.
+Nothing is run while planning and no step is chosen by the number of rows; a hot value is one cell.
 """
 
 from __future__ import annotations
@@ -24,16 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKETS = 4096
-FINAL_RANGE_ROWS = 200_000        # aim: at most this many values left in the final range
-
-
-def levels_for(n: int, buckets: int = BUCKETS) -> int:
-    """Histogram levels so that a uniform spread leaves <= FINAL_RANGE_ROWS values per range."""
-    lv = 1
-    while n / (buckets ** lv) > FINAL_RANGE_ROWS:
-        lv += 1
-    return lv
+SPLITS = 64
+LEVELS = 2
 
 
 def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
@@ -41,58 +29,52 @@ def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
     return df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
 
-def values_at_ranks(df: DataFrame, value: str | Column, ranks: DataFrame, by: list[str] | tuple = (),
-                    buckets: int = BUCKETS, levels: int | None = None) -> DataFrame:
+def _cells(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
+    return _values(df, value, by).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+
+
+def _match(cells: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells with the columns of their range's row (one row in all if there are no keys)."""
+    return cells.join(few, keys) if keys else cells.crossJoin(few)
+
+
+def _ranks_in_cells(cells: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:
+    """The cells at 0-based `_k` of each group, for the (by..., _k) rows of `ranks`."""
+    keys, wanted = list(by), ranks.select(*by, "_k").distinct().withColumn("_off", F.lit(0).cast("long"))
+    for level in range(LEVELS):
+        points = [i / SPLITS for i in range(1, SPLITS)]
+        borders = cells.groupBy(*keys).agg(F.percentile_approx("_v", points, 50 * SPLITS).alias("_s"))
+        # the bucket of a value: how many of the split points lie below it
+        below = F.size(F.filter("_s", lambda border: border < F.col("_v")))
+        name = f"_b{level}"
+        placed = _match(cells, borders, keys).withColumn(name, below).drop("_s")
+        sizes = placed.groupBy(*keys, name).agg(F.sum("_c").alias("_n"))
+        w = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, 0)   # <= 64 rows
+        sizes = sizes.withColumn("_end", F.sum("_n").over(w)).withColumn("_start", F.col("_end") - F.col("_n"))
+        k = F.col("_k") - F.col("_off")
+        wanted = (_match(wanted, sizes, keys).where((F.col("_start") <= k) & (k < F.col("_end")))
+                  .withColumn("_off", F.col("_off") + F.col("_start")).drop("_n", "_end", "_start"))
+        keys = keys + [name]
+        cells = placed.join(wanted.select(*keys).distinct(), keys)
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)   # about 1/4096 of the cells
+    cells = cells.withColumn("_end", F.sum("_c").over(w))
+    k = F.col("_k") - F.col("_off")
+    return (cells.join(wanted, keys).where((F.col("_end") - F.col("_c") <= k) & (k < F.col("_end")))
+            .select(*by, "_k", "_v"))
+
+
+def values_at_ranks(df: DataFrame, value: str | Column, ranks: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
     """Rows (by..., _k, _v): the value at 0-based rank _k (ascending) of `value` within
-    each group, for the (by..., _k) rows of `ranks`. Ranks outside [0, n) give no row.
-    `levels=None` picks the number of histogram levels from the row count (one scalar
-    count: 1 level up to ~0.8e9 values, 2 up to ~3e12)."""
+    each group, for the (by..., _k) rows of `ranks`. Ranks outside [0, n) give no row."""
     by = list(by)
-    base = _values(df, value, by)
-    if levels is None:
-        levels = levels_for(base.count(), buckets)
-    stats = base.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
-    t = ranks.select(*by, "_k").distinct()
-    t = (t.join(stats, by) if by else t.crossJoin(stats))            # stats: one row per group
-    t = t.filter((F.col("_k") >= 0) & (F.col("_k") < F.col("_n"))).select(*by, "_k", "_lo", "_hi",
-                                                                         F.lit(0).cast("long").alias("_off"))
-    keys = by + ["_k"]
-    rkey = by + ["_lo", "_hi", "_off"]              # ranges shared by several ranks are scanned once
-    for _ in range(levels):
-        rng = t.select(*rkey).distinct()            # at most groups x ranks rows: broadcast
-        j = base.join(F.broadcast(rng), by) if by else base.crossJoin(F.broadcast(rng))
-        span = F.col("_hi") - F.col("_lo")
-        b = F.when(span > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / span * buckets),
-                                     F.lit(buckets - 1))).otherwise(F.lit(0)).cast("long")
-        hist = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))).withColumn("_b", b)
-                 .groupBy(*rkey, "_b").agg(F.count(F.lit(1)).alias("_c"), F.min("_v").alias("_bmin"),
-                                           F.max("_v").alias("_bmax")))
-        w = Window.partitionBy(*rkey).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)   # <= B rows
-        cum = hist.withColumn("_end", F.col("_off") + F.sum("_c").over(w)) \
-                  .withColumn("_start", F.col("_end") - F.col("_c"))
-        t = (t.join(cum, rkey)
-              .filter((F.col("_start") <= F.col("_k")) & (F.col("_k") < F.col("_end")))
-              .select(*keys, F.col("_bmin").alias("_lo"), F.col("_bmax").alias("_hi"),
-                      F.col("_start").alias("_off")))
-    rng = t.select(*rkey).distinct()
-    j = base.join(F.broadcast(rng), by) if by else base.crossJoin(F.broadcast(rng))
-    vals = (j.filter((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-             .groupBy(*rkey, "_v").agg(F.count(F.lit(1)).alias("_vc")))
-    wv = Window.partitionBy(*rkey).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)   # final range only
-    vals = vals.withColumn("_vend", F.col("_off") + F.sum("_vc").over(wv)) \
-               .withColumn("_vstart", F.col("_vend") - F.col("_vc"))
-    return (t.join(vals, rkey)
-             .filter((F.col("_vstart") <= F.col("_k")) & (F.col("_k") < F.col("_vend")))
-             .select(*by, "_k", "_v"))
-
-
-def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | tuple = (),
-                    buckets: int = BUCKETS, levels: int | None = None) -> DataFrame:
+    return _ranks_in_cells(_cells(df, value, by), ranks, by)
+
+
+def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by: list[str] | tuple = ()) -> DataFrame:
     """Rows (by..., p, q): the exact linear-interpolation quantile q of `value` for each p."""
     by = list(by)
-    v = (value if isinstance(value, Column) else F.col(value)).cast("double")
-    counts = (df.select(*by, v.alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-                .groupBy(*by).agg(F.count(F.lit(1)).alias("_n")))
+    cells = _cells(df, value, by)
+    counts = cells.groupBy(*by).agg(F.sum("_c").alias("_n")).where(F.col("_n") > 0)
     pexpr = F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p")
     targets = counts.select(*by, "_n", pexpr) \
         .withColumn("_pos", F.col("p") * (F.col("_n") - 1)) \
@@ -100,7 +82,7 @@ def exact_quantiles(df: DataFrame, value: str | Column, probs: list[float], by:
         .withColumn("_khi", F.ceil("_pos").cast("long")) \
         .withColumn("_frac", F.col("_pos") - F.col("_klo"))
     ranks = targets.select(*by, F.explode(F.array("_klo", "_khi")).alias("_k"))
-    at = values_at_ranks(df, value, ranks, by, buckets, levels)
+    at = _ranks_in_cells(cells, ranks, by)
     lo = at.select(*by, F.col("_k").alias("_klo"), F.col("_v").alias("_vlo"))
     hi = at.select(*by, F.col("_k").alias("_khi"), F.col("_v").alias("_vhi"))
     out = targets.join(lo, by + ["_klo"]).join(hi, by + ["_khi"])

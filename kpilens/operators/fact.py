@@ -42,21 +42,23 @@ def first_orders(star: Star, scope: str = "with_items") -> DataFrame:
 def customer_type(star: Star, scope: str = "with_items") -> DataFrame:
     """C4 at order grain: `new` iff the order's time equals the user's first order time;
     ties at the same second are all `new`."""
-    o = orders_in_scope(star, scope)
-    f = first_orders(star, scope)
-    return (o.join(f, "user_id", "left")
-             .select("order_id", "user_id", "created_at",
-                     F.when(F.date_trunc("second", "created_at") == F.col("first_at"), "new")
-                      .otherwise("returning").alias("customer_type")))
+    return _typed(orders_in_scope(star, scope), first_orders(star, scope)).drop("status")
+
+
+def _typed(orders: DataFrame, first: DataFrame) -> DataFrame:
+    return (orders.join(first, "user_id", "left")
+                  .select("order_id", "user_id", "created_at", "status",
+                          F.when(F.date_trunc("second", "created_at") == F.col("first_at"), "new")
+                           .otherwise("returning").alias("customer_type")))
 
 
 def build_fact(star: Star, rules: Rules = DEFAULT_RULES) -> DataFrame:
     """One row per item sold (rows are never de-duplicated), every dimension attached."""
     users = star.users.select(F.col("id").alias("user_id"), F.col("traffic_source").alias("acq_source"),
                               "country")
-    orders = (customer_type(star, rules.scope)
-              .join(star.orders.select("order_id", "status"), "order_id")
-              .join(users, "user_id"))
+    # the inner join with the items below keeps orders with items, so only the first-order
+    # aggregate needs the semi join
+    orders = _typed(star.orders, first_orders(star, rules.scope)).join(users, "user_id")
     items = star.order_items.select("order_id", "product_id", "supplier_id", "sale_price",
                                     F.col("created_at").alias("item_created_at"))
     products = star.products.select(F.col("id").alias("product_id"), "cost", "category", "brand",

@@ -98,8 +98,3 @@ def item_return_rate(fact: DataFrame, months: list[str], by: str = "dist_center"
     return f.groupBy(F.col(by).alias("segment")).agg(
         F.count(F.lit(1)).alias("items"),
         (100 * F.avg((F.col("order_status") == "Returned").cast("int"))).alias("returned_pct"))
-
-
-def last_rows(df: DataFrame, order_col: str, n: int) -> DataFrame:
-    return df.withColumn("_rn", F.row_number().over(Window.orderBy(F.desc(order_col)))) \
-             .filter(F.col("_rn") <= n).drop("_rn")

@@ -87,6 +87,8 @@ def sample_exact(df: DataFrame, key: str, rate: float, by: list[str] | tuple = (
     times, so it is checkpointed once (reliable storage: the lineage is cut, and a lost
     executor does not force the upstream joins to run again)."""
     by = list(by)
+    if not 0 <= rate <= 1:
+        raise ValueError(f"a sampling rate lies between 0 and 1, not at {rate}")
     ensure_checkpoint_dir(df.sparkSession)
     h = df.withColumn("_h", key_hash(key)).checkpoint(eager=True)
     n = h.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
@@ -94,7 +96,7 @@ def sample_exact(df: DataFrame, key: str, rate: float, by: list[str] | tuple = (
     ranks = k.filter(F.col("_take") > 0).select(*by, (F.col("_take") - 1).alias("_k"))
     cut = values_at_ranks(h, "_h", ranks, by).select(*by, F.col("_v").cast("long").alias("_cut"))
     cut = cut.join(k.select(*by, "_take"), by) if by else cut.crossJoin(k.select("_take"))
-    j = h.join(F.broadcast(cut), by) if by else h.crossJoin(F.broadcast(cut))
+    j = h.join(cut, by) if by else h.crossJoin(cut)          # without groups: one row
     below = j.filter(F.col("_h") < F.col("_cut"))
     n_below = below.groupBy(*by).agg(F.count(F.lit(1)).alias("_nb"))
     ties = j.filter(F.col("_h") == F.col("_cut"))
@@ -243,20 +245,18 @@ def surge(star: Star, month: str, source: str, multiplier: float, new_users: boo
     global ranking: new id = max id + (copy - 1) * span + (id - min id + 1), where span
     is the source ids' range. With `new_users`, each copy gets a new user copied from
     the source user (a first order, so customer type keeps its mix)."""
+    if multiplier < 1:
+        raise ValueError(f"a surge multiplies by 1 or more, not by {multiplier}")
     pool = orders_of_source(star, month, source)
-    extra = multiplier - 1
-    whole = int(math.floor(extra))
-    frac = extra - whole
+    whole = int(math.floor(multiplier - 1))
+    frac = multiplier - 1 - whole
     ids = pool.agg(F.min("order_id").alias("_min"), F.max("order_id").alias("_pmax"))
     mx = star.orders.agg(F.max("order_id").alias("_omax")).crossJoin(
         star.users.agg(F.max("id").alias("_umax")))
-    copies = pool.select("*", F.explode(F.sequence(F.lit(1), F.lit(max(whole, 0)))).alias("copy")) \
-        if whole > 0 else None
+    numbers = F.array(*[F.lit(i) for i in range(1, whole + 1)]).cast("array<int>")      # none at 1.0: no copies, same schema
+    copies = pool.select("*", F.explode(numbers).alias("copy"))
     if frac > 0:
-        part = sample_exact(pool, "order_id", frac).withColumn("copy", F.lit(whole + 1))
-        copies = part if copies is None else copies.unionByName(part)
-    if copies is None:
-        return EditedStar(star), pool.limit(0)
+        copies = copies.unionByName(sample_exact(pool, "order_id", frac).withColumn("copy", F.lit(whole + 1)))
     c = copies.crossJoin(ids).crossJoin(mx)          # one-row frames
     span = F.col("_pmax") - F.col("_min") + 1
     new_id = F.col("_omax") + (F.col("copy") - 1) * span + (F.col("order_id") - F.col("_min") + 1)

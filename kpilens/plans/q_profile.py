@@ -349,13 +349,13 @@ def status_consistency(spark, d):
 
 ORACLE["status_consistency"] = with_("o", "oi", extra=STAMPS_CTE) + "\nUNION ALL\n".join(
     f"SELECT '{name}' AS rule, SUM(CASE WHEN {cond} THEN 1 ELSE 0 END) AS violations FROM st" for name, cond in [
-        ("Shipped/Complete/Returned without shipped_at",
+        ("sent_but_no_ship_time",
          "status IN ('Shipped', 'Complete', 'Returned') AND shipped_at IS NULL"),
-        ("Complete/Returned without delivered_at", "status IN ('Complete', 'Returned') AND delivered_at IS NULL"),
-        ("Returned without returned_at", "status = 'Returned' AND returned_at IS NULL"),
-        ("Processing/Cancelled WITH shipped_at", "status IN ('Processing', 'Cancelled') AND shipped_at IS NOT NULL"),
-        ("Shipped WITH delivered_at", "status = 'Shipped' AND delivered_at IS NOT NULL"),
-        ("not Returned but has returned_at", "status <> 'Returned' AND returned_at IS NOT NULL")])
+        ("done_but_no_delivery_time", "status IN ('Complete', 'Returned') AND delivered_at IS NULL"),
+        ("returned_but_no_return_time", "status = 'Returned' AND returned_at IS NULL"),
+        ("not_sent_but_ship_time", "status IN ('Processing', 'Cancelled') AND shipped_at IS NOT NULL"),
+        ("under_way_but_delivery_time", "status = 'Shipped' AND delivered_at IS NOT NULL"),
+        ("kept_but_return_time", "status <> 'Returned' AND returned_at IS NOT NULL")])
 
 
 @register("gap_profile")

@@ -19,12 +19,15 @@ from kpilens.plans.kpi import KPI
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
-_KPI: dict[tuple[int, str], KPI] = {}
+_KPI: dict[tuple[str, str], KPI] = {}
 
 
 def kpi(spark: SparkSession, sf_dir: str) -> KPI:
     """One facade per (session, directory): the month list is computed once."""
-    key = (id(spark), sf_dir.rstrip("/"))
+    app = spark.sparkContext.applicationId
+    for old in [k for k in _KPI if k[0] != app]:      # facades of ended applications
+        del _KPI[old]
+    key = (app, sf_dir.rstrip("/"))
     if key not in _KPI:
         _KPI[key] = KPI(spark, sf_dir)
     return _KPI[key]

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from kpilens.functions.quantiles import exact_quantiles
+from tests.conftest import SF_SMALL
 from kpilens.operators.explain import leave_one_out_median
 from kpilens.operators.sessions import split_by_gap
 from kpilens.operators.whatif import nearest_session, nearest_session_1to1, sample_exact
@@ -108,10 +109,10 @@ def test_leave_one_out_median(spark):
 
 def test_exact_quantiles_refine_over_levels(spark):
     rng = random.Random(5)
-    vals = [rng.gauss(0, 1) for _ in range(20000)] + [1e6, -1e6]           # outliers stretch the range
+    vals = [rng.gauss(0, 1) for _ in range(20000)] + [1e15, -1e15] + [0.25] * 5000     # outliers and a hot value
     df = spark.createDataFrame([(v,) for v in vals], "v double")
     probs = [0.01, 0.3, 0.5, 0.77, 0.999]
-    got = {r.p: r.q for r in exact_quantiles(df, "v", probs, buckets=4, levels=3).collect()}
+    got = {r.p: r.q for r in exact_quantiles(df, "v", probs).collect()}
     for p in probs:
         assert got[p] == pytest.approx(float(np.quantile(np.array(vals), p)), rel=1e-12, abs=1e-12)
 
@@ -178,3 +179,21 @@ def test_gaps_do_not_depend_on_the_session_time_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == _sessions_brute(rows, 6 * 3600)         # 5.5 h apart on the wall clock: one session
+
+
+def test_surge_multipliers_and_sample_rates(spark):
+    from kpilens.operators import whatif as J
+    from kpilens.sources.tables import Star
+    star = Star(spark, SF_SMALL, "2001-08-01")
+    pool = J.orders_of_source(star, "2001-07", "BUILDING")
+    n = pool.count()
+    with pytest.raises(ValueError, match="1 or more"):
+        J.surge(star, "2001-07", "BUILDING", 0.5)
+    edited, none = J.surge(star, "2001-07", "BUILDING", 1.0)
+    assert none.count() == 0 and edited.orders.count() == star.orders.count() and J.planted_delta(star, none).count() == 0
+    edited, new = J.surge(star, "2001-07", "BUILDING", 2.5)
+    assert none.columns == new.columns and new.count() == n + round(n / 2)
+    ids = edited.orders.select("order_id")
+    assert ids.distinct().count() == ids.count() == star.orders.count() + n + round(n / 2)
+    with pytest.raises(ValueError, match="between 0 and 1"):
+        J.sample_exact(pool, "order_id", 1.5)

@@ -18,12 +18,13 @@ def k(spark):
 
 
 def test_pinned_numbers_last_month(k):
-    assert k.revenue("2001-07") == pytest.approx(43630620.39, abs=0.005)
-    assert k.net_revenue("2001-07") == pytest.approx(29248926.85, abs=0.005)
-    assert k.orders("2001-07") == 204 and k.items("2001-07") == 821
-    assert round(k.aov("2001-07"), 6) == 213875.590147
-    assert round(k.margin("2001-07"), 6) == 0.982116
-    assert round(k.mom("2001-07"), 6) == 0.174759
+    p = k.point("2001-07")
+    assert p.revenue == pytest.approx(43630620.39, abs=0.005)
+    assert p.net_revenue == pytest.approx(29248926.85, abs=0.005)
+    assert p["orders"] == 204 and p["items"] == 821
+    assert round(p.aov, 6) == 213875.590147
+    assert round(p.margin, 6) == 0.982116
+    assert round(p.mom, 6) == 0.174759
 
 
 def test_default_period_and_previous_period(k):
@@ -45,8 +46,8 @@ def test_drivers_of_the_month_pair(k):
 
 
 def test_unknown_month_fails_loudly(k):
-    with pytest.raises(ValueError, match="covers"):
-        k.revenue("2001-08")
+    with pytest.raises(ValueError, match="not a complete month: 2001-08"):
+        k.point("2001-08")
 
 
 def test_truth_document_round_trip(spark):
