@@ -15,7 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpilens.llm import line_dedup, minmax, mixing, packing, quality
-from kpilens.llm.common import HAS_WORD, stored, table, word_count
+from kpilens.llm.common import stored, table, word_count
+
+#: Columns a table may carry that the line dedup adds itself.
+CLASH = {"n_lines": "__n_lines", "n_removed": "__n_removed"}
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +28,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later similar lines leave their document; documents without a word left go."""
-    out = line_dedup.dedup_lines(docs).where(F.col("text").rlike(HAS_WORD)).select(*docs.columns)
+    # asked of the counts, not of the new text: a filter on the text would be pushed into its lambdas
+    out = line_dedup.dedup_lines(docs.withColumnsRenamed(CLASH)).where("n_lines > n_removed")
+    out = out.drop("n_lines", "n_removed").withColumnsRenamed({v: k for k, v in CLASH.items()}).select(*docs.columns)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -262,5 +262,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_c
     """The rows of `docs` the base rule and the learned list accept, with their own columns."""
     s = F.col("`__stats`")
     _, rules = quality_verdicts(docs, labels, id_col, text_col)
-    scored = with_stats(docs, text_col, "__stats")
-    return scored.where(~base_failed(s) & (rule_expression(rules, features(s)) == 0)).drop("__stats")
+    good = ~base_failed(s) & (rule_expression(rules, features(s)) == 0)
+    # a filter would be pushed below the statistics and compute them again inside their own lambdas;
+    # exploding one or no element keeps the rows just the same and stays above them
+    once = F.explode(F.when(good, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))).alias("__once")
+    return with_stats(docs, text_col, "__stats").select(*[F.col(f"`{c}`") for c in docs.columns], once).drop("__once")
