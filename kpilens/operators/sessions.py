@@ -68,22 +68,31 @@ def split_by_gap(df: DataFrame, key: str, ts: str, tiebreak: str, gap_seconds: i
     return split_runs(df, key, ts, tiebreak, reach, min(bucket_seconds, gap_seconds), out)
 
 
-def sessions_from_events(events: DataFrame, gap_hours: int = SESSION_GAP_HOURS) -> DataFrame:
-    """One row per session: dimensions of the session's first event (min_by over
-    (ts, event_id), deterministic where ANY_VALUE is not), start, event count and the
-    three "ever happened" flags. Fixture mapping: session source / browser from the
-    `k` property, anonymous when user_id % 10 = 0, period = ISO week."""
-    e = split_by_gap(events.select("event_id", "ts", "user_id", "event_type", "props"),
-                     "user_id", "ts", "event_id", gap_hours * 3600)
+def sessions_from_events(events: DataFrame, gap_hours: int = SESSION_GAP_HOURS, cutoff: str | None = None) -> DataFrame:
+    """One row per session: dimensions of the session's first event ((ts, event_id) order,
+    deterministic where ANY_VALUE is not), start, event count and the three "ever happened" flags.
+    `cutoff` keeps events before that time. Fixture mapping: session source / browser from the `k`
+    property, anonymous when user_id % 10 = 0, period = ISO week.
+
+    A time bucket is never longer than the gap, so a session can only start at a bucket's first
+    event: events are combined per (user, bucket) map-side, and gaps are looked for between bucket
+    rows. One scan, one exchange by bucket and one by user; no event-level window or join."""
+    gap = gap_hours * 3_600_000_000
+    width = min(BUCKET_SECONDS * 1_000_000, gap)
+    e = events if cutoff is None else events.where(F.col("ts") < F.lit(cutoff).cast("timestamp_ntz"))
     k = F.get_json_object("props", "$.k").cast("long")
-    first = F.struct("ts", "event_id")
-    s = (e.groupBy("user_id", "session_no")
-          .agg(F.min_by(k, first).alias("k"),
-               F.min("ts").alias("started_at"),
-               F.count(F.lit(1)).alias("n_events"),
-               F.bool_or(F.col("event_type") == "view").alias("saw_product"),
-               F.bool_or(F.col("event_type") == "click").alias("added_to_cart"),
-               F.bool_or(F.col("event_type") == "purchase").alias("purchased")))
+    cells = (e.groupBy("user_id", F.floor(_micros(F.col("ts")) / F.lit(width)).cast("long").alias("_b"))
+              .agg(F.min(F.struct("ts", "event_id", k.alias("k"))).alias("_first"), F.max("ts").alias("_last"),
+                   F.count(F.lit(1)).alias("_n"),
+                   *[F.bool_or(F.col("event_type") == t).alias(f"_{t}") for t in ("view", "click", "purchase")]))
+    per_user = Window.partitionBy("user_id").orderBy("_b")            # bucket rows only
+    before = F.lag("_last").over(per_user)
+    fresh = before.isNull() | (_micros(F.col("_first.ts")) - _micros(before) > gap)
+    runs = cells.withColumn("_fresh", fresh.cast("long")).withColumn("session_no", F.sum("_fresh").over(per_user))
+    s = (runs.groupBy("user_id", "session_no")
+             .agg(F.min("_first").alias("_f"), F.sum("_n").alias("n_events"), F.bool_or("_view").alias("saw_product"),
+                  F.bool_or("_click").alias("added_to_cart"), F.bool_or("_purchase").alias("purchased"))
+             .withColumn("k", F.col("_f.k")).withColumn("started_at", F.col("_f.ts")))
     return s.select(
         F.concat_ws("-", F.col("user_id").cast("string"), F.col("session_no").cast("string")).alias("session_id"),
         F.when(F.col("user_id") % ANON_USER_MODULO != 0, F.col("user_id")).alias("user_id"),
