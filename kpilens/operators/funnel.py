@@ -33,13 +33,15 @@ def funnel_by_period(sessions: DataFrame, last: int | None = 4) -> DataFrame:
     return g.orderBy(F.desc("period")).limit(last) if last else g
 
 
-def funnel_two_period(sessions: DataFrame, by: str, prev: str, cur: str) -> DataFrame:
-    """Per segment, sessions and conversion in both periods side by side."""
-    check_dimension(by, SESSION_DIMENSIONS)
-    s = sessions.filter(F.col("period").isin(prev, cur))
-    key = F.coalesce(F.col(by), F.lit(UNKNOWN)).alias("segment")
+def funnel_two_period(sessions: DataFrame, prev: str, cur: str, by: tuple[str, ...] = SESSION_DIMENSIONS) -> DataFrame:
+    """Per session dimension and segment, sessions and conversion in both periods side by side.
+    All dimensions in one pass: a session is expanded to its (dimension, segment) pairs."""
+    for d in by:
+        check_dimension(d, SESSION_DIMENSIONS)
+    pairs = F.array(*[F.struct(F.lit(d).alias("dimension"), F.coalesce(F.col(d), F.lit(UNKNOWN)).alias("segment")) for d in by])
+    s = sessions.filter(F.col("period").isin(prev, cur)).select("period", "purchased", F.inline(pairs))
     is_p, is_c = F.col("period") == prev, F.col("period") == cur
-    g = s.groupBy(key).agg(
+    g = s.groupBy("dimension", "segment").agg(
         F.sum(is_p.cast("long")).alias("sessions_prev"), F.sum(is_c.cast("long")).alias("sessions_cur"),
         F.avg(F.when(is_p, F.col("purchased").cast("int"))).alias("conv_prev"),
         F.avg(F.when(is_c, F.col("purchased").cast("int"))).alias("conv_cur"))

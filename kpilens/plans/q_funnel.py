@@ -74,13 +74,13 @@ FROM sess GROUP BY period ORDER BY period DESC LIMIT 4"""
 
 @register("funnel_two_period")
 def funnel_two_period(spark, d):
-    """By session source, the last two complete periods side by side."""
+    """By session source and by browser, the last two complete periods side by side."""
     prev, cur = _session_periods(spark, d)
-    return G.funnel_two_period(kpi(spark, d).sessions, "traffic_source", prev, cur)
+    return G.funnel_two_period(kpi(spark, d).sessions, prev, cur)
 
 
-ORACLE["funnel_two_period"] = with_("sess", "sp") + """
-SELECT COALESCE(traffic_source, '(unknown)') AS segment,
+ORACLE["funnel_two_period"] = with_("sess", "sp") + "\nUNION ALL\n".join(f"""
+SELECT '{dim}' AS dimension, COALESCE({dim}, '(unknown)') AS segment,
        SUM(CASE WHEN period = sp.prev THEN 1 ELSE 0 END) AS sessions_prev,
        SUM(CASE WHEN period = sp.cur THEN 1 ELSE 0 END) AS sessions_cur,
        ROUND(AVG(CASE WHEN period = sp.prev THEN CAST(purchased AS INT) END), 6) AS conv_prev,
@@ -88,7 +88,7 @@ SELECT COALESCE(traffic_source, '(unknown)') AS segment,
        ROUND(CASE WHEN SUM(CASE WHEN period = sp.prev THEN 1 ELSE 0 END) <> 0 THEN
          100 * (CAST(SUM(CASE WHEN period = sp.cur THEN 1 ELSE 0 END) AS DOUBLE)
                 / SUM(CASE WHEN period = sp.prev THEN 1 ELSE 0 END) - 1) END, 6) AS sessions_chg_pct
-FROM sess CROSS JOIN sp WHERE period IN (sp.prev, sp.cur) GROUP BY 1"""
+FROM sess CROSS JOIN sp WHERE period IN (sp.prev, sp.cur) GROUP BY 1, 2""" for dim in ("traffic_source", "browser"))
 
 
 @register("leakage_orders")

@@ -176,6 +176,22 @@ SELECT COUNT(*) AS brands,
 FROM c"""
 
 
+@register("top_brands")
+def top_brands(spark, d):
+    """H8: the 10 brands with the most revenue, with shares and running shares."""
+    return H.top_brands(H.sold_items(_star(spark, d)))
+
+
+ORACLE["top_brands"] = with_("oi", "p", extra=ITEMS_CTE + """,
+b AS (SELECT brand, SUM(sale_price) AS rev FROM it WHERE brand IS NOT NULL GROUP BY 1),
+c AS (SELECT brand, rev, ROW_NUMBER() OVER (ORDER BY rev DESC, brand) AS rank,
+             SUM(rev) OVER (ORDER BY rev DESC, brand ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum FROM b),
+t AS (SELECT CAST(SUM(sale_price) AS DOUBLE) AS total FROM it)""") + """
+SELECT rank, brand, CAST(rev AS DOUBLE) AS revenue, ROUND(100 * CAST(rev AS DOUBLE) / total, 6) AS share_pct,
+       ROUND(100 * CAST(cum AS DOUBLE) / total, 6) AS cum_share_pct
+FROM c CROSS JOIN t WHERE rank <= 10"""
+
+
 @register("single_sale_brands")
 def single_sale_brands(spark, d):
     """H9: brands sold exactly once."""
