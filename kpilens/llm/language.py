@@ -22,6 +22,7 @@ predicted each; null ids are never trained on; other columns of the input are no
 
 from __future__ import annotations
 
+import functools
 import re
 
 import numpy as np
@@ -169,21 +170,20 @@ def training_samples(docs: DataFrame, id_col: str, text_col: str, lang_col: str,
     return out
 
 
-_models: dict[int, Model] = {}
+@functools.lru_cache(maxsize=1)
+def _model(samples: tuple[tuple[str, str], ...]) -> Model:
+    """Automata are built once per Python worker (a module function, so tasks share the cache)."""
+    return Model(dict(samples))
 
 
 def predict_language(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                      **sample) -> DataFrame:
     """One row per document: id, held_out, lang_pred, score (0 to 1: lead of the winner over the runner-up)."""
     samples = training_samples(docs, id_col, text_col, lang_col, **sample)
-    shared = docs.sparkSession.sparkContext.broadcast(samples)      # languages x train_chars characters
-    key = hash(tuple(sorted(samples.items())))
+    shared = docs.sparkSession.sparkContext.broadcast(tuple(sorted(samples.items())))    # languages x train_chars characters
 
     def run(batches):
-        if key not in _models:                 # automata are built once per Python worker
-            _models.clear()
-            _models[key] = Model(shared.value)
-        m = _models[key]
+        m = _model(shared.value)
         for whole in batches:
             for b in _bounded(whole):
                 cost, letters = m.costs([t.as_py() for t in b.column("text")])

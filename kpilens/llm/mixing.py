@@ -10,7 +10,7 @@ The weights become token budgets: of a total `budget`, or, if none is given, of
 total that reads the least repeated source once and so drops no document. Each source is cut
 into hash blocks of about `block_tokens` tokens. Whole epochs emit every block in a permutation
 of their own; the last epoch emits blocks in its permutation until the budget is used, and the
-block at the edge document by document (a document that would pass the budget stays out).
+block at the edge document by document (the first one that would pass the budget ends it).
 
 Edge cases: a null source is a source of its own; a source without any token is read once; null
 and empty texts have 0 tokens and follow their block; repeated rows are emitted each; an empty
@@ -124,7 +124,18 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     turns = (turns.withColumn("room", F.when(F.col("epoch") < F.col("full"), F.lit(None).cast("long")).otherwise(F.col("rest") - before))
              .where(F.col("room").isNull() | (F.col("room") > 0))
              .withColumn("edge", F.col("room").isNotNull() & (F.col("room") < F.col("block_tokens")))
-             .select(F.col("source").alias("__s"), F.col("block").alias("__b"), "weight", "epoch", "block_rank", "room", "edge"))
+             .select("source", "block", "weight", "epoch", "block_rank", "room", "edge"))
+    turns = stored(turns, "turns")
+    # the block at a budget's edge: documents in key order while they fit (rows of one id go together)
+    edges = turns.where("edge").select(F.col("source").alias("__s"), F.col("block").alias("__b"), "epoch", "room")
+    in_edge = small.join(edges, small["source"].eqNullSafe(edges["__s"]) & (F.col("block") == F.col("__b")))
+    up_to = Window.partitionBy("__s", "__b").orderBy("__key").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    limits = (in_edge.withColumn("__key", _hash(F.lit(SEED), F.col("epoch"), F.col("id")))
+              .withColumn("__sum", F.sum("n_tokens").over(up_to)).where(F.col("__sum") <= F.col("room"))
+              .groupBy("__s", "__b").agg(F.max("__key").alias("limit")))
+    turns = turns.join(limits, turns["source"].eqNullSafe(limits["__s"]) & (F.col("block") == F.col("__b")), "left").select(
+        F.col("source").alias("__s"), F.col("block").alias("__b"), "weight", "epoch", "block_rank",
+        F.when(~F.col("edge"), F.lit((1 << 60) - 1)).otherwise(F.coalesce("limit", F.lit(-1))).alias("limit"))
     turns = stored(turns, "turns")
     few = F.broadcast(turns) if turns.count() <= BROADCAST_BLOCKS else turns
     heads = plan.select(F.col("source").alias("__p"), F.col("blocks").alias("__blocks"))
@@ -133,10 +144,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "__blk", F.pmod(_hash(F.lit(SEED), F.col(id_col)), F.col("__blocks")).cast("int"))
     out = d.join(few, d[source_col].eqNullSafe(few["__s"]) & (F.col("__blk") == F.col("__b")))
     out = out.withColumn("__key", _hash(F.lit(SEED), F.col("epoch"), F.col(id_col)))
-    whole = out.where(~F.col("edge"))
-    w = Window.partitionBy("__s", "__b").orderBy("__key", F.xxhash64(text_col)).rowsBetween(Window.unboundedPreceding, 0)
-    cut = out.where("edge").withColumn("__sum", F.sum("__n").over(w)).where(F.col("__sum") <= F.col("room")).drop("__sum")
-    rows = whole.union(cut)
+    rows = out.where(F.col("__key") <= F.col("limit"))
     mixed = F.struct(F.col("__n").alias("n_tokens"), F.col("weight"), F.col("epoch"), F.col("block_rank"), F.col("__key").alias("order_key"))
     return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"], mixed.alias("mix"))
 
