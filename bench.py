@@ -25,6 +25,7 @@ HEADLINE = [
     "contribution_all", "find_drivers", "find_drivers_net", "change_report", "change_report_thorough",
     "sessions_from_events", "funnel_by_source", "leakage_by_dim", "leakage_alert", "price_quantiles",
     "referential_integrity", "recon_monthly", "identities", "outcomes",
+    "truth_document", "driver_diff", "sample_exact", "text_norm",
 ]
 
 
@@ -43,10 +44,12 @@ def main() -> None:
         qs[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         return time.perf_counter() - t0
 
-    periods(spark, sf_dir)                 # resolve the default periods once (a bounded month list)
+    t0 = time.perf_counter()
+    periods(spark, sf_dir)                 # the month list, resolved once (cold: the session's first job)
+    month_list = round(time.perf_counter() - t0, 3)
     for n in names:                        # warm-up: JIT, codegen caches, file listing
         run(n)
-    times = {}
+    times = {"month_list_cold": month_list}
     if materialize:
         t0 = time.perf_counter()
         kpi(spark, sf_dir).materialize()
