@@ -1,11 +1,17 @@
 """Chat formatting: roles of raw transcripts by a hidden Markov model (operator 10).
 
 The hidden state of a line is its role and whether it begins a turn (6 states). A line shows a
-speaker marker ("User:", "### Assistant", "Q:" ...; the lexicon is counted from the training
-lines), whether it or the line before is blank, its length class and whether it asks. Start,
+speaker marker ("User:", "### Assistant", "Q:" ...), whether it or the line before is blank, its length class and whether it asks. Start,
 transition and emission probabilities are counts over all training lines, taken by Spark
 aggregates of fixed size and smoothed by one.
 
+A marker is a name with its signs: before a colon, or in brackets, or a heading line. Bare words
+are none. The lexicon is learned: a role is marked in a conversation if MARKED of its turns begin
+with one same token, and a token counts there if another role is marked by another token. It is a
+marker if most lines anywhere that show it are turns of one role counted so; "Note:" before one
+speaker's replies is text. The lexicon has one entry per speaker name, without a limit, so its
+size follows the number of different names.
+
 Viterbi runs on blocks of `BLOCK_TURNS` source turns. Its step is associative in the (max, +)
 algebra, so each block first gives a 7 x 6 matrix; a scan over a conversation's matrices fixes
 the states at block borders, and every block is then decoded on its own. A conversation that
@@ -36,9 +42,12 @@ from kpilens.llm.common import stored
 ROLES = ("system", "user", "assistant")
 STATES = [(r, b) for r in ROLES for b in (True, False)]
 BLOCK_TURNS = 256
-MARKER = re.compile(r"^\s*(?:#{1,4}\s*|<\|?|\[)?([A-Za-z][A-Za-z ]{0,14}?)(?:\|?>|\]|:|$)\s*")
-MARKER_SQL = r"^\s*(?:#{1,4}\s*|<\|?|\[)?([A-Za-z][A-Za-z ]{0,14}?)(?:\|?>|\]|:|$)"
-MAX_MARKERS = 64
+# The same pattern serves Java and Python: no \\s, no $. A heading is a line of its own or ends in a colon.
+_NAME = r"[^ \t\r\n:\uff1a#*<>\[\]|][^\t\r\n:\uff1a<>\[\]|]{0,63}?"
+MARKER_SQL = (rf"^[ \t]*(#{{1,6}}[ \t]*{_NAME}(?:[ \t]*[:\uff1a]|(?=[ \t\r]*(?![\s\S])))|<\|?{_NAME}\|?>[:\uff1a]?"
+              rf"|\[{_NAME}\][:\uff1a]?|{_NAME}[ \t]*[:\uff1a])(?: |[ \t\r]+(?![\s\S]))?")
+MARKER = re.compile(MARKER_SQL)
+MARKED = 0.9                        # share of a role's turns in a conversation that its marker begins
 FEATURES = ("marker", "blank", "after_blank", "size", "asks")
 OUT = "conv_id {id}, start_turn long, start_line int, role string, continues boolean, n_lines int, content string, rendered string"
 
@@ -94,22 +103,37 @@ def observe(text: str, before: str | None, markers) -> tuple:
     return marker_of(text, markers), not text.strip(), before is not None and not before.strip(), size, text.rstrip().endswith("?")
 
 
+def speaker_markers(known: DataFrame) -> DataFrame:
+    """(marker) of the training lines (conv_id, role, line, text): the tokens that tell who speaks."""
+    shown = known.select("conv_id", "role", (F.col("line") == 0).alias("begins"), _marker_col(F.col("text")).alias("marker"))
+    used = shown.where("begins").groupBy("conv_id", "role", "marker").agg(F.count(F.lit(1)).alias("n"))
+    by_role = used.groupBy("conv_id", "role").agg(F.sum("n").alias("turns"), F.max(F.struct("n", "marker")).alias("top"))
+    marked = by_role.where((F.col("top.marker") != "") & (F.col("top.n") >= MARKED * F.col("turns")))
+    several = marked.groupBy("conv_id").agg(F.count_distinct("top.marker").alias("k")).where("k > 1")
+    speaks = (marked.join(several, "conv_id", "left_semi").select(F.col("top.marker").alias("marker"), "role", F.col("top.n").alias("n"))
+              .groupBy("marker", "role").agg(F.sum("n").alias("n")).groupBy("marker").agg(F.max("n").alias("n")).where("n > 1"))
+    anywhere = shown.where("marker <> ''").groupBy("marker").agg(F.count(F.lit(1)).alias("lines"))
+    return speaks.join(anywhere, "marker").where("2 * n > lines").select("marker")
+
+
 def train(lines: DataFrame) -> Model:
-    """Counts over all lines with a known role: aggregates whose size does not depend on the input."""
+    """Counts over all lines with a known role: aggregates whose size depends on the number of speaker names only."""
     known = lines.where(F.col("role").isin(*ROLES) & F.col("conv_id").isNotNull())
-    begin = known.where("line = 0").select(_marker_col(F.col("text")).alias("m")).where("m <> ''")
-    markers = {r["m"] for r in begin.groupBy("m").count().orderBy(F.desc("count"), "m").limit(MAX_MARKERS).collect() if r["count"] > 1}
+    lexicon = stored(speaker_markers(known), "chat-markers")
+    markers = {r["marker"] for r in lexicon.collect()}
     # a block of turns is one window, so no conversation's lines need to meet in one task
     w = Window.partitionBy("conv_id", F.floor(F.col("turn") / BLOCK_TURNS)).orderBy("turn", "tie", "line")
     m = _marker_col(F.col("text"))
     seen = stored(known.select(
         F.concat(F.col("role"), F.when(F.col("line") == 0, F.lit("+")).otherwise(F.lit("-"))).alias("state"),
         F.lag(F.concat(F.col("role"), F.when(F.col("line") == 0, F.lit("+")).otherwise(F.lit("-")))).over(w).alias("prev"),
-        F.when(m.isin(*sorted(markers)) if markers else F.lit(False), m).otherwise(F.lit("")).alias("marker"),
+        m.alias("token"),
         (F.trim("text") == "").alias("blank"), F.coalesce(F.trim(F.lag("text").over(w)) == "", F.lit(False)).alias("after_blank"),
         F.least(F.lit(6), F.when(F.trim("text") == "", F.lit(0)).otherwise(
             F.floor(F.log2(F.size(F.split(F.trim("text"), r"\s+")).cast("double"))) + 1)).cast("int").alias("size"),
-        F.rtrim(F.col("text")).endswith("?").alias("asks")), "chat-lines")
+        F.rtrim(F.col("text")).endswith("?").alias("asks"))
+        .join(F.broadcast(lexicon.withColumn("token", F.col("marker"))), "token", "left").drop("token")
+        .withColumn("marker", F.coalesce("marker", F.lit(""))), "chat-lines")
     names = [r + ("+" if b else "-") for r, b in STATES]
     at = {n: i for i, n in enumerate(names)}
     k = len(STATES)

@@ -516,3 +516,34 @@ def test_chat_blocks_give_the_whole_viterbi_path(spark, monkeypatch):
     assert {(r["start_turn"], r["start_line"]): r["role"] for r in got if not r["continues"]} == begins
     assert sum(r["n_lines"] for r in got) == len(raw)
     assert chat.parse_transcripts(lines.limit(0), chat.train(lines.limit(0))).count() == 0
+
+
+def test_chat_keeps_text_that_only_looks_like_a_marker(spark):
+    rows, want = [], {}
+    for c in range(240):
+        for t in range(6):
+            role = ("user", "assistant")[t % 2]
+            text = ("Thanks", "Note: keep it")[t % 2] if t > 1 else (f"what is thing {c} about?", f"It is number {c}.")[t]
+            rows.append((c, t, role, text))
+            want[c, t] = text
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    lines = chat.transcript_lines(turns)
+    style = {r["conv_id"]: r["s"] for r in turns.select("conv_id", F.expr("crc32(string(conv_id)) % 4 AS s")).distinct().collect()}
+    model = chat.train(lines)
+    assert {"user:", "assistant:", "q:", "a:", "### human", "### bot"} <= model.markers
+    assert not any(m.startswith(("thanks", "note")) for m in model.markers)
+    text = collections.defaultdict(str)
+    for r in chat.parse_transcripts(lines, model).orderBy("conv_id", "start_turn", "start_line").collect():
+        text[r["conv_id"]] += r["content"] + "\n"
+    for c in range(240):
+        if style[c] == 3:
+            assert [x for x in text[c].split("\n") if x] == [want[c, t] for t in range(6)]
+
+
+def test_chat_learns_every_speaker_name(spark):
+    names = ["用户", "助手", "Олег", "Dr. O'Neil 2", *(f"name {i}" for i in range(96))]
+    rows = [(p, t, ("user", "assistant")[t % 2], line, x) for p in range(50) for t in range(6)
+            for line, x in enumerate((f"{names[2 * p + t % 2]}: line {t}", "more"))]
+    model = chat.train(spark.createDataFrame(rows, "conv_id long, turn long, role string, line int, text string")
+                       .withColumn("tie", F.xxhash64("text")))
+    assert model.markers == {n.lower() + ":" for n in names}
