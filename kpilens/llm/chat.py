@@ -12,7 +12,10 @@ marker if most lines anywhere that show it are turns of one role counted so; "No
 speaker's replies is text. The lexicon has one entry per speaker name, without a limit, so its
 size follows the number of different names.
 
-Viterbi runs on blocks of `BLOCK_TURNS` source turns. Its step is associative in the (max, +)
+Viterbi runs on blocks of `BLOCK_TURNS` turn numbers of a conversation. A block of more than
+`BLOCK_LINES` lines (one null id for many conversations, repeated or null turns) is cut by row
+position into blocks of less than twice that, in the order of turn, text hash, row and line; only a
+row with more lines than that is cut inside. Its step is associative in the (max, +)
 algebra, so each block first gives a 7 x 6 matrix; a scan over a conversation's matrices fixes
 the states at block borders, and every block is then decoded on its own. A conversation that
 holds a third of all rows is thus many blocks, and only its small matrices meet.
@@ -21,7 +24,7 @@ Each recovered turn is rendered as `<|im_start|>role\\ncontent<|im_end|>`; a tur
 border cuts is rendered in pieces (`continues` marks the later ones).
 
 Edge cases: null and empty texts are one blank line; a null conversation id is a conversation of
-its own; rows repeated with the same turn follow each other in text order; unknown roles are not
+its own; null turns come first; rows repeated with the same turn follow each other in text order; unknown roles are not
 trained on and still decoded; an empty table gives an empty result; no training rows at all make
 all states equally likely.
 """
@@ -42,6 +45,9 @@ from kpilens.llm.common import stored
 ROLES = ("system", "user", "assistant")
 STATES = [(r, b) for r in ROLES for b in (True, False)]
 BLOCK_TURNS = 256
+BLOCK_LINES = 8192
+BLOCK = ["conv_key", "block", "cut"]
+ORDER = ["turn", "tie", "row", "line"]
 # The same pattern serves Java and Python: no \\s, no $. A heading is a line of its own or ends in a colon.
 _NAME = r"[^ \t\r\n:\uff1a#*<>\[\]|][^\t\r\n:\uff1a<>\[\]|]{0,63}?"
 MARKER_SQL = (rf"^[ \t]*(#{{1,6}}[ \t]*{_NAME}(?:[ \t]*[:\uff1a]|(?=[ \t\r]*(?![\s\S])))|<\|?{_NAME}\|?>[:\uff1a]?"
@@ -68,8 +74,26 @@ def transcript_lines(turns: DataFrame) -> DataFrame:
     body = F.coalesce(F.col("text"), F.lit(""))
     tail = F.when(style == 3, F.lit("\n")).otherwise(F.lit(""))
     raw = F.concat(head, body, tail)
-    return turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.xxhash64("text").alias("tie"),
-                        F.posexplode(F.split(raw, "\n")).alias("line", "text"))
+    d = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), "role", F.xxhash64("text").alias("tie"),
+                     F.monotonically_increasing_id().alias("row"), raw.alias("raw"))
+    return d.select("conv_id", "turn", "role", "tie", "row", F.posexplode(F.split("raw", "\n")).alias("line", "text"))
+
+
+def _in_blocks(lines: DataFrame) -> DataFrame:
+    """`lines` with conv_key, block and cut. A block of many lines is sorted over all tasks, stored (so
+    that a row keeps its place) and cut where the place of a row's first line passes a multiple of BLOCK_LINES."""
+    d = lines if "row" in lines.columns else lines.withColumn("row", F.lit(0).cast("long"))
+    d = (d.withColumn("conv_key", F.coalesce(F.col("conv_id").cast("string"), F.lit("\0")))
+         .withColumn("block", F.coalesce(F.floor(F.col("turn") / BLOCK_TURNS), F.lit(-(1 << 62)))))
+    big = stored(d.groupBy("conv_key", "block").count().where(F.col("count") > BLOCK_LINES).select("conv_key", "block"), "chat-big")
+    whole = F.lit(0).cast("long")
+    if big.isEmpty():
+        return d.withColumn("cut", whole)
+    keys = F.broadcast(big)                     # at most one for every BLOCK_LINES lines
+    cut = (d.join(keys, ["conv_key", "block"], "left_semi").repartitionByRange("conv_key", "block", "turn", "tie", "row")
+           .sortWithinPartitions("conv_key", "block", *ORDER).withColumn("at", F.monotonically_increasing_id()))
+    cut = stored(cut.withColumn("cut", F.floor((F.col("at") - F.col("line") % BLOCK_LINES) / BLOCK_LINES)).drop("at"), "chat-cut")
+    return d.join(keys, ["conv_key", "block"], "left_anti").withColumn("cut", whole).unionByName(cut)
 
 
 def _marker_col(text: Column) -> Column:
@@ -121,8 +145,9 @@ def train(lines: DataFrame) -> Model:
     known = lines.where(F.col("role").isin(*ROLES) & F.col("conv_id").isNotNull())
     lexicon = stored(speaker_markers(known), "chat-markers")
     markers = {r["marker"] for r in lexicon.collect()}
-    # a block of turns is one window, so no conversation's lines need to meet in one task
-    w = Window.partitionBy("conv_id", F.floor(F.col("turn") / BLOCK_TURNS)).orderBy("turn", "tie", "line")
+    # a block is one window, so no conversation's lines need to meet in one task
+    known = _in_blocks(known)
+    w = Window.partitionBy(*BLOCK).orderBy(*ORDER)
     m = _marker_col(F.col("text"))
     seen = stored(known.select(
         F.concat(F.col("role"), F.when(F.col("line") == 0, F.lit("+")).otherwise(F.lit("-"))).alias("state"),
@@ -185,13 +210,13 @@ def viterbi(first: np.ndarray, scores: np.ndarray, trans: np.ndarray, last: int
 
 
 def _blocks(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Whole (conv_id, block) groups out of sorted batches; a group is at most BLOCK_TURNS source turns."""
+    """Whole blocks out of sorted batches; see the head of this file for their size."""
     held: list[pd.DataFrame] = []
     for f in frames:
-        cut = (f[["conv_key", "block"]] != f[["conv_key", "block"]].shift()).any(axis=1).to_numpy().nonzero()[0].tolist() + [len(f)]
-        for a, b in zip(cut, cut[1:]):
+        ends = (f[BLOCK] != f[BLOCK].shift()).any(axis=1).to_numpy().nonzero()[0].tolist() + [len(f)]
+        for a, b in zip(ends, ends[1:]):
             part = f.iloc[a:b]
-            if held and (held[-1]["conv_key"].iloc[0] != part["conv_key"].iloc[0] or held[-1]["block"].iloc[0] != part["block"].iloc[0]):
+            if held and (held[-1][BLOCK].iloc[0] != part[BLOCK].iloc[0]).any():
                 yield pd.concat(held) if len(held) > 1 else held[0]
                 held = []
             held.append(part)
@@ -203,21 +228,21 @@ def parse_transcripts(lines: DataFrame, model: Model) -> DataFrame:
     """Recovered turns of raw lines (conv_id, turn, line, text, tie), one row each, rendered canonically."""
     sc = lines.sparkSession.sparkContext
     shared = sc.broadcast(model)                # a few hundred numbers
-    d = lines.select(F.coalesce(F.col("conv_id").cast("string"), F.lit("\0")).alias("conv_key"), "conv_id", "turn", "tie", "line", "text",
-                     F.floor(F.col("turn") / BLOCK_TURNS).alias("block"))
-    dealt = d.repartition("conv_key", "block").sortWithinPartitions("conv_key", "block", "turn", "tie", "line")
-    spread = d.groupBy("conv_key").agg(F.min("block").alias("lo"), F.max("block").alias("hi"))
-    many = spread.where("lo < hi").select("conv_key")
+    d = _in_blocks(lines).select(*BLOCK, "conv_id", *ORDER, "text")
+    blocks = d.select(*BLOCK).distinct()
+    spread = blocks.groupBy("conv_key").agg(F.count(F.lit(1)).alias("k"))
+    many = blocks.join(spread.where("k > 1").select("conv_key"), "conv_key", "left_semi")
     k = len(STATES)
 
     def matrices(frames):
         m = shared.value
         for g in _blocks(frames):
             t = transfer(m.scores(g["text"].tolist(), None), m.trans, m.start)
-            yield pd.DataFrame({"conv_key": [g["conv_key"].iloc[0]], "block": [int(g["block"].iloc[0])], "m": [t.ravel().tolist()]})
+            yield pd.DataFrame({"conv_key": [g["conv_key"].iloc[0]], "block": [int(g["block"].iloc[0])],
+                                "cut": [int(g["cut"].iloc[0])], "m": [t.ravel().tolist()]})
 
     def borders(pdf):
-        pdf = pdf.sort_values("block")
+        pdf = pdf.sort_values(["block", "cut"])
         mats = [np.array(x).reshape(k + 1, k) for x in pdf["m"]]
         best, back = mats[0][k], []
         for t in mats[1:]:
@@ -229,14 +254,13 @@ def parse_transcripts(lines: DataFrame, model: Model) -> DataFrame:
             ends.append(state)
             state = int(b[state]) if b is not None else -1
         ends = ends[::-1]
-        return pd.DataFrame({"conv_key": pdf["conv_key"].to_numpy(), "block": pdf["block"].to_numpy(),
+        return pd.DataFrame({"conv_key": pdf["conv_key"].to_numpy(), "block": pdf["block"].to_numpy(), "cut": pdf["cut"].to_numpy(),
                              "entry": [-1, *ends[:-1]], "exit": ends})
 
-    mats = (dealt.join(many, "conv_key", "left_semi").repartition("conv_key", "block")
-            .sortWithinPartitions("conv_key", "block", "turn", "tie", "line").mapInPandas(matrices, "conv_key string, block long, m array<double>"))
-    edge = mats.groupBy("conv_key").applyInPandas(borders, "conv_key string, block long, entry int, exit int")
-    full = (d.join(edge, ["conv_key", "block"], "left").repartition("conv_key", "block")
-            .sortWithinPartitions("conv_key", "block", "turn", "tie", "line"))
+    mats = (d.join(many, BLOCK, "left_semi").repartition(*BLOCK).sortWithinPartitions(*BLOCK, *ORDER)
+            .mapInPandas(matrices, "conv_key string, block long, cut long, m array<double>"))
+    edge = mats.groupBy("conv_key").applyInPandas(borders, "conv_key string, block long, cut long, entry int, exit int")
+    full = d.join(edge, BLOCK, "left").repartition(*BLOCK).sortWithinPartitions(*BLOCK, *ORDER)
 
     def decode(frames):
         m = shared.value

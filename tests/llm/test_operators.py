@@ -547,3 +547,20 @@ def test_chat_learns_every_speaker_name(spark):
     model = chat.train(spark.createDataFrame(rows, "conv_id long, turn long, role string, line int, text string")
                        .withColumn("tie", F.xxhash64("text")))
     assert model.markers == {n.lower() + ":" for n in names}
+
+
+def test_chat_blocks_are_bounded_whatever_the_turns(spark, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK_LINES", 16)
+    rows = [(None, i % 5, ("user", "assistant")[i % 2], f"text {i % 50} is this?\nyes") for i in range(300)]
+    rows += [(1, 7, "user", "same") for _ in range(200)] + [(2, None, "user", f"no {i}") for i in range(100)]
+    rows += [(3, 0, "user", "\n".join(f"l{i}" for i in range(100)))] + [(4, t, "user", "hi") for t in range(4)]
+    lines = chat.transcript_lines(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"))
+    dealt = chat._in_blocks(lines)
+    assert dealt.groupBy(*chat.BLOCK).count().agg(F.max("count")).first()[0] < 2 * chat.BLOCK_LINES
+    place = F.struct("block", "cut").alias("p")      # blocks follow the order of the lines
+    for c in dealt.select("conv_key", place, F.struct(*chat.ORDER).alias("o")).groupBy("conv_key", "p").agg(
+            F.min("o").alias("lo"), F.max("o").alias("hi")).withColumn("after", F.expr(
+                "lag(hi) OVER (PARTITION BY conv_key ORDER BY p)")).where("after IS NOT NULL").select((F.col("after") < F.col("lo")).alias("ok")).collect():
+        assert c["ok"]
+    model = chat.train(lines)
+    assert chat.parse_transcripts(lines, model).agg(F.sum("n_lines")).first()[0] == lines.count()
