@@ -11,6 +11,11 @@ of at most `PIECE` characters that are parsed side by side (a phrase never cross
 greedy step and the restart after a phrase are folded into one transition table per language, so
 parsing is one table lookup per character and language over thousands of pieces at once.
 
+Every letter of any sample has a code of its own; a language's table has a column for each letter
+of its sample and one for all others, which are phrases of their own there. Tables are dense up to
+`DENSE_CELLS` cells over all languages; a language beyond that (large alphabets such as Chinese)
+keeps only the transitions its automaton has, as a sorted array, with the same result.
+
 Training sample (`train_docs`, `train_chars`): per language the labelled documents with the
 smallest hashes of their ids, joined and cut at `train_chars` characters. That is all that reaches
 the driver or is broadcast: languages x train_chars characters. Predictions read whole texts.
@@ -32,7 +37,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PIECE = 256
-SYMBOLS = 62                        # most frequent letters of the samples; 0 = space, last = any other letter
+DENSE_CELLS = 1 << 24               # cells of 4 bytes over all languages' dense tables
 _NON_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -69,18 +74,38 @@ def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
 class Parser:
     """Greedy parse table of one language: state x symbol -> next state * 4 + phrases that ended."""
 
-    def __init__(self, codes: np.ndarray, width: int):
-        nxt = suffix_automaton(codes.tolist())
-        root = np.zeros(width, np.int32)
+    def __init__(self, codes: np.ndarray, size: int, cells: int = DENSE_CELLS):
+        """`codes` of the sample, out of `size` codes of all samples; at most `cells` cells are stored densely."""
+        known = np.unique(codes)
+        self.width = len(known) + 1                  # last column: a symbol the sample lacks
+        self.column = np.full(size, len(known), np.int32)
+        self.column[known] = np.arange(len(known))
+        nxt = suffix_automaton(self.column[codes].tolist())
+        root = np.zeros(self.width, np.int32)
         for c, t in nxt[0].items():
             root[c] = t
-        unknown = (root == 0).astype(np.int32)       # a symbol the sample lacks is a phrase of its own
-        table = np.tile(root * 4 + 1 + unknown, (len(nxt), 1)).astype(np.int32)
-        for s, out in enumerate(nxt):
-            for c, t in out.items():
-                table[s, c] = t * 4
-        table[0] = root * 4 + unknown                # at the root no phrase is open
-        self.table, self.width, self.bits = table.ravel(), width, np.log2(max(2, len(codes)))
+        self.start = root * 4 + (root == 0)          # at the root no phrase is open; an unknown symbol is a phrase of its own
+        self.bits = np.log2(max(2, len(codes)))
+        self.cells = len(nxt) * self.width
+        self.table = None
+        if self.cells <= cells:
+            table = np.tile(self.start + 1, (len(nxt), 1)).astype(np.int32)
+            for s, out in enumerate(nxt):
+                for c, t in out.items():
+                    table[s, c] = t * 4
+            table[0] = self.start
+            self.table = table.ravel()
+        else:
+            own = sorted((s * self.width + c, t * 4) for s, out in enumerate(nxt) if s for c, t in out.items())
+            self.keys = np.array([k for k, _ in own] + [np.iinfo(np.int64).max], np.int64)
+            self.steps = np.array([t for _, t in own] + [0], np.int32)
+
+    def _step(self, state: np.ndarray, column: np.ndarray) -> np.ndarray:
+        if self.table is not None:
+            return self.table[state * self.width + column]
+        want = state.astype(np.int64) * self.width + column
+        at = self.keys.searchsorted(want)
+        return np.where(self.keys[at] == want, self.steps[at], self.start[column] + (state > 0))
 
     def phrases(self, pieces: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Phrases of each row of `pieces` (sorted by falling length); the open phrase at the end counts."""
@@ -91,7 +116,7 @@ class Parser:
             n = alive[i]
             if not n:
                 break
-            step = self.table[state[:n] * self.width + pieces[:n, i]]
+            step = self._step(state[:n], self.column[pieces[:n, i]])
             count[:n] += step & 3
             state[:n] = step >> 2
         return count + (state > 0)
@@ -101,14 +126,17 @@ class Model:
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
         clean = {k: normalise(v) for k, v in samples.items()}
-        alphabet = np.bincount(np.concatenate([_points(v) for v in clean.values()] or [np.zeros(0, np.uint32)]), minlength=33)
-        alphabet[32] = 0
-        common = np.argsort(-alphabet, kind="stable")[:SYMBOLS]
-        self.code = np.full(0x110000, SYMBOLS + 1, np.uint8)
+        letters = np.unique(np.concatenate([_points(v) for v in clean.values()] or [np.zeros(0, np.uint32)]))
+        letters = letters[letters != 32]
+        size = len(letters) + 2                      # 0 = space, last = a letter of no sample
+        self.code = np.full(0x110000, size - 1, np.min_scalar_type(size))
         self.code[32] = 0
-        for i, c in enumerate(common[alphabet[common] > 0]):
-            self.code[c] = i + 1
-        self.parsers = [Parser(self.code[_points(clean[k])], SYMBOLS + 2) for k in self.langs]
+        self.code[letters] = np.arange(1, size - 1)
+        self.parsers, left = [], DENSE_CELLS
+        for k in self.langs:
+            p = Parser(self.code[_points(clean[k])], size, left)
+            left -= p.cells if p.table is not None else 0
+            self.parsers.append(p)
 
     def costs(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(bits per character of each text under each language, has a letter)."""
@@ -125,7 +153,7 @@ class Model:
         if codes and self.langs:
             lengths = np.array(lengths)
             order = np.argsort(-lengths, kind="stable")
-            grid = np.zeros((len(codes), PIECE), np.uint8)
+            grid = np.zeros((len(codes), PIECE), self.code.dtype)
             for row, k in enumerate(order):
                 grid[row, :lengths[k]] = codes[k]
             grid = np.asfortranarray(grid)

@@ -405,6 +405,30 @@ def test_language_prediction(spark, odd, empty):
     assert {r["lang_pred"] for r in none} == {"und"} and language.predict_language(empty).count() == 0
 
 
+def test_languages_of_large_alphabets(monkeypatch):
+    rng = np.random.default_rng(8)
+    letters = [chr(0x4E00 + i) for i in range(1500)] + [chr(0x0430 + i) for i in range(32)] + [chr(0x03B1 + i) for i in range(17)]
+
+    def speak(words, n):
+        return " ".join(words[i] for i in rng.integers(0, len(words), n))
+
+    tongues = {k: ["".join(rng.choice(letters, rng.integers(2, 5))) for _ in range(1500)] for k in ("a", "b", "c")}
+    samples = {k: speak(w, 4000) for k, w in tongues.items()}
+    texts = [(k, speak(w, 12)) for k, w in tongues.items() for _ in range(40)]
+    thin = language.Model(samples)
+    assert any(p.table is None for p in thin.parsers)
+    cost, ok = thin.costs([t for _, t in texts])
+    assert ok.all() and all(thin.langs[int(c.argmin())] == k for c, (k, _) in zip(cost, texts))
+    monkeypatch.setattr(language, "DENSE_CELLS", 1 << 40)       # both kinds of table give the same parse
+    short = {k: v[:1500] for k, v in samples.items()}
+    dense = language.Model(short)
+    monkeypatch.setattr(language, "DENSE_CELLS", 0)
+    sparse = language.Model(short)
+    assert all(p.table is not None for p in dense.parsers) and all(p.table is None for p in sparse.parsers)
+    odd = [t for _, t in texts] + ["", "abc 中 я", samples["b"][:3000]]
+    assert np.array_equal(dense.costs(odd)[0], sparse.costs(odd)[0])
+
+
 # 9 near duplicates ---------------------------------------------------------------------------------------
 
 def brute_components(rows, percent=85):
