@@ -1,7 +1,8 @@
 """Labelled pages the HTML model is trained on.
 
-`data-main` marks an element as main text (1) or not (0); what is inside inherits the mark. The
-pages are written for this purpose: the layouts web pages commonly have, in a few words each.
+`data-main` marks an element as main text (1) or not (0); what is inside inherits the mark; text
+outside any element, or right in html or body, is main text. The pages are written for this
+purpose: the layouts web pages commonly have, in a few words each.
 """
 
 _P = "The river rose during the night, and by morning the lower road had gone under water, so the village waited."
@@ -27,4 +28,9 @@ PAGES = [
     f'<html><body data-main="0"><nav>{_L}</nav><div class="ad">{_S}</div><article data-main="1"><h1>Bread and salt and oil for all of them.</h1><p>Of.</p></article><footer>&copy; {_P}</footer></body></html>',
     f'<html><body data-main="0"><header>{_L}</header><main data-main="1"><p>It rained.</p></main><aside><p>{_Q}</p></aside></body></html>',
     f'<html><body data-main="0"><div class="topbar">{_L}</div><div class="content" data-main="1"><p>No news today</p></div><div class="footer">{_R}</div></body></html>',
+    f"{_P}\n\n{_Q}",
+    f'<nav>{_L}</nav>{_R} <b>{_S}</b> {_Q}<p data-main="1">{_P}</p><footer>Imprint</footer>',
+    f"{_S}<br>{_R}",
+    f'<html><body data-main="0"><p data-main="1">{_P}</p><p data-main="1">{_Q}</p></body></html>',
+    f'<html><body data-main="0">{_R}<br>{_S}</body></html>',
 ]

@@ -13,7 +13,10 @@ joined in page order by a line feed. Script, style, form controls and the head a
 
 Edge cases: null and empty html and pages without main text give an empty text; unclosed and
 stray tags follow the usual implied ends; nesting of any depth is handled without recursion;
-text outside any element belongs to the page itself; repeated pages are rows of their own.
+the head ends at
+its end tag, at body and at the first element or text that cannot be in it; `/>` closes svg, math and
+what is inside them, and is ignored elsewhere, as in HTML; each run of text outside any block element
+but html and body is a node of its own; repeated pages are rows of their own.
 """
 
 from __future__ import annotations
@@ -38,6 +41,8 @@ BLOCK = frozenset(("address article aside blockquote body caption dd details dia
 # An opening tag ends these open elements, up to the nearest element of the second set.
 IMPLIED = {"li": ({"li"}, {"ul", "ol"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
            "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr"}), "th": ({"td", "th"}, {"tr"})}
+HEAD = frozenset("base basefont bgsound link meta noframes noscript script style template title".split())
+FOREIGN = frozenset(("svg", "math"))
 LABEL = "data-main"
 WORD = re.compile(r"[a-z]+")
 SENTENCE = re.compile(r"[.!?…。]['\"»”)]*(\s|$)")
@@ -52,11 +57,17 @@ class Dom(HTMLParser):
         self.chars, self.link_chars, self.sentence = [0], [0], [False]
         self.blocks: list[tuple[int, list[str]]] = []
         self.stack, self.block, self.links, self.silent = [0], [0], 0, 0
-        self.fresh = True
+        self.fresh, self.loose, self.foreign = True, 0, 0
         self.feed(html)
         self.close()
 
     def handle_starttag(self, tag, attrs):
+        if tag == "head" and any(t != "html" for t in self.tag[1:3]):
+            return                                     # a head after the first content is ignored
+        if tag == "body":
+            self._end_implied({"head"}, set())
+        elif tag not in HEAD:
+            self._end_head()
         if tag == "br" or tag == "hr":
             self.handle_data(" ")
         if tag in VOID:
@@ -66,22 +77,34 @@ class Dom(HTMLParser):
         if tag in IMPLIED:
             self._end_implied(*IMPLIED[tag])
         a = dict(attrs)
-        self.tag.append(tag)
-        self.parent.append(self.stack[-1])
-        self.names.append(tuple(sorted(set(WORD.findall(f"{a.get('class') or ''} {a.get('id') or ''} {a.get('role') or ''}".lower())))))
-        self.label.append(a.get(LABEL))
-        self.chars.append(0)
-        self.link_chars.append(0)
-        self.sentence.append(False)
-        node = len(self.tag) - 1
+        node = self._node(tag, self.stack[-1], tuple(sorted(set(WORD.findall(
+            f"{a.get('class') or ''} {a.get('id') or ''} {a.get('role') or ''}".lower())))), a.get(LABEL))
         self.stack.append(node)
         self.links += tag == "a"
         self.silent += tag in SILENT
+        self.foreign += tag in FOREIGN
         if tag in BLOCK:
             self.block.append(node)
             self.fresh = True
 
-    handle_startendtag = handle_starttag
+    def _node(self, tag, parent, names=(), label=None) -> int:
+        self.tag.append(tag)
+        self.parent.append(parent)
+        self.names.append(names)
+        self.label.append(label)
+        self.chars.append(0)
+        self.link_chars.append(0)
+        self.sentence.append(False)
+        return len(self.tag) - 1
+
+    def handle_startendtag(self, tag, attrs):
+        self.handle_starttag(tag, attrs)
+        if self.foreign and tag not in VOID:
+            self._pop()
+
+    def _end_head(self):
+        if self.tag[self.stack[-1]] == "head":
+            self._pop()
 
     def handle_endtag(self, tag):
         if tag in VOID:
@@ -95,6 +118,7 @@ class Dom(HTMLParser):
         tag = self.tag[node]
         self.links -= tag == "a"
         self.silent -= tag in SILENT
+        self.foreign -= tag in FOREIGN
         if tag in BLOCK:
             self.block.pop()
             self.fresh = True
@@ -110,9 +134,17 @@ class Dom(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if data.strip():
+            self._end_head()
         if self.silent or not data:
             return
         node = self.block[-1]
+        if self.tag[node] in ("#page", "html", "body"):
+            if self.fresh or not self.loose:
+                if not data.strip():
+                    return
+                self.loose, self.fresh = self._node("#text", node, (), "1"), True
+            node = self.loose
         if self.fresh or self.blocks[-1][0] != node:
             self.blocks.append((node, []))
             self.fresh = False

@@ -314,6 +314,21 @@ def test_html_held_out_layouts(tree):
     assert hit / all_ > 0.85
 
 
+def test_html_without_head_end_with_closed_svg_and_without_tags(tree):
+    s = "The old mill stands by the river, and people still bring their grain to it every autumn."
+    body = f"<article><h1>Mill</h1><p>{s}</p><p>{s}</p></article><footer>&copy; x</footer>"
+    want = f"Mill\n{s}\n{s}"
+    for head in ("<head><title>t</title><body>", "<head><meta charset=x><title>t</title>", "<head><noscript><img src=x></noscript><script>a</script>",
+                 "<head><noscript><body>", "<head><title>t</title></head><body><head>", "<head></head><body>"):
+        assert tree.main_text(f"<!doctype html>\n<html>{head}{body}") == want, head
+    assert tree.main_text(f"<html><head><title>t</title>{s}") == tree.main_text(f"<html>{s}")
+    for icon in ("<svg class='i'/>", "<svg><path d='M0'/><g/></svg>", "<math/>", "<svg><title/><path/></svg>"):
+        assert tree.main_text(f"<html><body><article><h1>{icon}Mill</h1>{icon}<p>{icon}{s}</p><p>{s}</p></article></body></html>") == want, icon
+    assert tree.main_text(s) == s and tree.main_text(f"\n{s} <b>Bold</b> &amp; so on.\n") == f"{s} Bold & so on."
+    loose = tree.main_text(f"<nav><a href='/'>a</a></nav>{s}<nav><a href='/'>b</a></nav>{s} {s}")
+    assert loose == f"{s}\n{s} {s}"
+
+
 def test_html_table(spark):
     pages = small(spark, "pages").select("page_id", "url", "html").union(spark.createDataFrame([(-1, None, None), (-2, "u", "")], "a long, b string, c string"))
     rows = html_tree.extract_text(pages).collect()
