@@ -208,7 +208,15 @@ def _ddl(base: DataFrame, rest: str) -> str:
 
 
 def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 85) -> DataFrame:
-    """The rows of `docs` that represent their near-duplicate component, with their own columns."""
-    verdict = (near_duplicates(docs, id_col, text_col, percent).where("kept")
-               .select(F.col(id_col).alias("__keep")).distinct())
-    return docs.join(verdict, docs[id_col].eqNullSafe(verdict["__keep"]), "left_semi")
+    """One row of `docs` for each near-duplicate component, with its own columns: the smallest id (null last), then
+    the smallest digest of its text, then of equal rows one. Rows without words all stay."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.md5(F.col(text_col)).alias("digest"))
+    keyed = docs.select(key.alias("__key"), F.col(text_col).alias("__text"))
+    verdict = stored(near_duplicates(keyed, "__key", "__text", percent).where("kept").groupBy("__key")
+                     .agg(F.max("n_shingles").alias("n"), F.count(F.lit(1)).alias("copies")), "verdict")
+    d = docs.withColumn("__key", key)
+    alone = d.join(verdict.where("n = 0 OR copies = 1"), "__key", "left_semi").select(*names)
+    copied = d.join(verdict.where("n > 0 AND copies > 1"), "__key", "left_semi")
+    one = copied.groupBy("__key").agg(F.min_by(F.struct(*names), F.xxhash64(*names)).alias("__row")).select("__row.*")
+    return alone.union(one)

@@ -499,6 +499,18 @@ def test_near_duplicates_odd_rows(spark, odd, empty):
     assert minmax.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_keep_one_row_of_each(spark):
+    other = " ".join(f"k{i}" for i in range(40))
+    third = " ".join(f"m{i}" for i in range(40))
+    rows = [(7, A, "a"), (7, A, "a"), (7, A, "b"), (8, A + " x", "a"), (3, other, "a"), (3, third, "a"), (1, third, "a"), (9, A, "a")]
+    rows += [(None, "n " + other[::-1], "a")] * 3 + [(5, "", "a")] * 2 + [(None, None, "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = [tuple(r) for r in minmax.keep_one_of_each(docs).collect()]
+    words = sorted((r[0] or 0, r[1]) for r in got if r[1])
+    assert words == sorted([(7, A), (3, other), (1, third), (0, "n " + other[::-1])])
+    assert sum(not r[1] for r in got) == 3
+
+
 def test_signature_estimates_jaccard():
     a = minmax.shingle_set(" ".join(f"w{i}" for i in range(3000)))
     b = minmax.shingle_set(" ".join(f"w{i}" for i in range(1000, 4000)))
