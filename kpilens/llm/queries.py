@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpilens.llm import chat, exact_dedup, html_tree, language, line_dedup, minmax, mixing, packing, quality, warc
+from kpilens.llm import chat, conversation_repair, exact_dedup, hard_negatives, html_tree, language, line_dedup, minmax, mixing, packing, quality, warc, winnowing
 from kpilens.llm.common import table, word_count
 
 
@@ -68,6 +68,24 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.parse_transcripts(lines, model)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten hardest negatives for each anchor (vec_id divisible by 100) and each of its five best positives."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", label)
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+def op12_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and of its edited text, and how alike they and the next document's are."""
+    return winnowing.edited_likeness(table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation's faults after damage, its cheapest repair and the digest of the repaired turns."""
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.repair_summary(conversations, conversation_repair.damaged(conversations))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The corpus pipeline: quality rules, line dedup, near-dedup, mixing, packing."""
     import corpus_pipeline
@@ -76,11 +94,31 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_warc, op3_packing, op4_quality_rules, op5_exact_dedup, op6_html_text, op7_line_dedup, op8_language_id,
-    op9_minmax_hashing, op10_chat_format, pipeline)}
+    op9_minmax_hashing, op10_chat_format, op11_hard_negatives, op12_winnowing, op13_conversation_repair, pipeline)}
 
 ORACLE = {
     "op5_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op11_hard_negatives": """
+        WITH v AS (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, x -> floor(256 * x::DOUBLE)) AS q
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+                   list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        pos AS (
+            SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+        SELECT p.anchor_id, p.positive_id,
+               row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank,
+               s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+        FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT s.same
+             AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+        QUALIFY rank <= 10""",
 }
