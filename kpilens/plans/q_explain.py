@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from kpilens.config import DIMENSIONS
+from kpilens.operators import cube as C
 from kpilens.operators import explain as X
-from kpilens.operators import funnel as G
 from kpilens.plans.registry import kpi, periods, register
 from kpilens.plans.sql_base import with_
 
@@ -118,7 +118,7 @@ CONTRIB_OUT = """dimension, segment, measure, ROUND(prev, 6) AS prev, ROUND(cur,
 def _contrib_query(dim: str):
     def q(spark, d):
         p = periods(spark, d)
-        return X.contribution(kpi(spark, d).fact, dim, p["previous_month"], p["last_month"])
+        return C.contribution(kpi(spark, d).cube, dim, p["previous_month"], p["last_month"])
     q.__doc__ = f"F5: contribution by {dim}, last month against the previous month."
     return q
 
@@ -133,7 +133,7 @@ for _dim in DIMENSIONS:
 def contribution_net(spark, d):
     """contribution of net revenue by distribution centre."""
     p = periods(spark, d)
-    return X.contribution(kpi(spark, d).fact, "dist_center", p["previous_month"], p["last_month"], "net_revenue")
+    return C.contribution(kpi(spark, d).cube, "dist_center", p["previous_month"], p["last_month"], "net_revenue")
 
 
 ORACLE["contribution_net"] = with_("fact", "per", extra=contrib_ctes(
@@ -144,7 +144,7 @@ ORACLE["contribution_net"] = with_("fact", "per", extra=contrib_ctes(
 def contribution_all(spark, d):
     """every dimension in one pass (last month against the previous one)."""
     p = periods(spark, d)
-    return X.contribution_all(kpi(spark, d).fact, p["previous_month"], p["last_month"])
+    return C.contribution_all(kpi(spark, d).cube, p["previous_month"], p["last_month"])
 
 
 ORACLE["contribution_all"] = with_("fact", "per", extra=contrib_ctes(DIMENSIONS, "prev1", "cur1")) + \
@@ -155,7 +155,7 @@ ORACLE["contribution_all"] = with_("fact", "per", extra=contrib_ctes(DIMENSIONS,
 def contribution_top5(spark, d):
     """top 5 segments per dimension, last 3 months against the 3 before."""
     p = periods(spark, d)
-    return X.contribution_top(X.contribution_all(kpi(spark, d).fact, p["previous_3_months"], p["last_3_months"]), 5)
+    return X.contribution_top(C.contribution_all(kpi(spark, d).cube, p["previous_3_months"], p["last_3_months"]), 5)
 
 
 ORACLE["contribution_top5"] = with_("fact", "per", extra=contrib_ctes(DIMENSIONS, "prev3", "cur3")) + \
@@ -188,7 +188,7 @@ FROM drv"""
 def _drivers_query(pk: str, ck: str, measure: str, doc: str):
     def q(spark, d):
         k, p = kpi(spark, d), periods(spark, d)
-        return X.find_drivers(k.fact, p[pk], p[ck], DIMENSIONS, measure)
+        return C.find_drivers(k.cube, p[pk], p[ck], DIMENSIONS, measure)
     q.__doc__ = doc
     return q
 
@@ -228,7 +228,7 @@ FROM h ORDER BY month DESC LIMIT 1"""
 def leakage_outlier_segments(spark, d):
     """distribution centres whose returned share >= 2 x the others' median (last month)."""
     k, p = kpi(spark, d), periods(spark, d)
-    return X.outlier_segments(G.leakage_by_dim(k.fact, p["last_month"][0], "dist_center"))
+    return X.outlier_segments(C.leakage_by_dim(k.cube, p["last_month"][0], "dist_center"))
 
 
 ORACLE["leakage_outlier_segments"] = with_("fact", "per", extra="""

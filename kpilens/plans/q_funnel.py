@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from kpilens.operators import cube as C
 from kpilens.operators import funnel as G
 from kpilens.plans.registry import kpi, periods, register
 from kpilens.plans.sql_base import TODAY_MONTH, ts, with_
@@ -94,7 +95,7 @@ FROM sess CROSS JOIN sp WHERE period IN (sp.prev, sp.cur) GROUP BY 1, 2""" for d
 @register("leakage_orders")
 def leakage_orders(spark, d):
     """G5 (R21): share of the last month's orders cancelled / returned."""
-    return G.leakage(kpi(spark, d).fact, periods(spark, d)["last_month"][0])
+    return C.leakage(kpi(spark, d).cube, periods(spark, d)["last_month"][0])
 
 
 ORACLE["leakage_orders"] = with_("ords", "per") + """
@@ -106,7 +107,7 @@ FROM ords JOIN per USING (month) WHERE per.cur1 AND order_status IS NOT NULL"""
 @register("leakage_by_dim")
 def leakage_by_dim(spark, d):
     """G6 (R21): by distribution centre, revenue share in cancelled / returned orders."""
-    return G.leakage_by_dim(kpi(spark, d).fact, periods(spark, d)["last_month"][0], "dist_center")
+    return C.leakage_by_dim(kpi(spark, d).cube, periods(spark, d)["last_month"][0], "dist_center")
 
 
 ORACLE["leakage_by_dim"] = with_("fact", "per") + """
@@ -121,7 +122,7 @@ FROM fact JOIN per USING (month) WHERE per.cur1 GROUP BY 1"""
 @register("status_share_by_month")
 def status_share_by_month(spark, d):
     """Order share of every status, per complete month."""
-    return G.status_share_by_month(kpi(spark, d).fact, TODAY_MONTH)
+    return C.status_share_by_month(kpi(spark, d).cube, TODAY_MONTH)
 
 
 ORACLE["status_share_by_month"] = with_("ords") + f"""
@@ -134,7 +135,7 @@ FROM ords WHERE month < '{TODAY_MONTH}' GROUP BY month"""
 def item_return_rate(spark, d):
     """Items and % of items in returned orders per centre, last two months pooled."""
     p = periods(spark, d)
-    return G.item_return_rate(kpi(spark, d).fact, p["previous_month"] + p["last_month"])
+    return C.item_return_rate(kpi(spark, d).cube, p["previous_month"] + p["last_month"])
 
 
 ORACLE["item_return_rate"] = with_("fact", "per") + """

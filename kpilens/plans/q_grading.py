@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS
+from kpilens.operators import cube as C
 from kpilens.operators import explain as X
 from kpilens.operators import grading as K
 from kpilens.operators import metrics as E
@@ -70,7 +71,7 @@ def _truth(spark, d) -> DataFrame:
     z = X.zscore_window(m, last, last[0]).select(F.col("unusual").alias("truth_unusual"))
     fan = E.trap_fanout(k.star, last[0]).select(cents("revenue").alias("fan_c"))
     item = E.trap_item_month(k.star, last[0]).select(cents("revenue").alias("item_c"))
-    drv = X.find_drivers(k.fact, prev, last, DIMENSIONS, ("revenue", "net_revenue")).select("dimension", "segment")
+    drv = C.find_drivers(k.cube, prev, last, DIMENSIONS, ("revenue", "net_revenue")).select("dimension", "segment")
     tol = drv.agg(F.array_sort(F.collect_set(F.struct("dimension", "segment"))).alias("tolerated"))
     return (scal.crossJoin(z).crossJoin(fan).crossJoin(item).crossJoin(tol)
                .select("*", F.lit(last[0]).alias("last_month"), F.array(*[F.lit(x) for x in last3]).alias("period3")))

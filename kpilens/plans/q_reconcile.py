@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS, Rules
+from kpilens.operators import cube as C
 from kpilens.operators import explain as X
-from kpilens.operators import funnel as G
 from kpilens.operators import metrics as E
 from kpilens.operators import reconcile as I
 from kpilens.operators import whatif as J
@@ -127,7 +127,7 @@ SELECT (SELECT COUNT(*) FROM oi) AS items, (SELECT COUNT(*) FROM fact) AS fact_r
 def segments_sum(spark, d):
     """I4 (R17): the segments of every dimension add up to revenue, last 3 months."""
     k, p = kpi(spark, d), periods(spark, d)
-    return I.segments_sum(k.fact, k.monthly, p["last_3_months"])
+    return I.segments_sum(k.cube, k.monthly, p["last_3_months"])
 
 
 ORACLE["segments_sum"] = with_("fact", "per", "monthly") + "SELECT t.dimension, t.month, ROUND(CAST(t.s AS DOUBLE), 6) AS segments_total, " \
@@ -147,7 +147,7 @@ def identities(spark, d):
     rows = [("effects_sum_to_delta", F.col("volume_effect") + F.col("aov_effect"), F.col("delta")),
             ("effect_shares_sum_to_one", F.col("volume_share") + F.col("aov_share"), F.lit(1.0))]
     out = I.identity_rows(rows, dec)
-    c = X.contribution_all(k.fact, prev, cur)
+    c = C.contribution_all(k.cube, prev, cur)
     per_dim = c.groupBy("dimension").agg(F.sum("share_of_change").alias("soc"), F.sum("share_of_base").alias("sob"),
                                          F.sum("delta").alias("dsum"))
     per_dim = per_dim.crossJoin(dec.select("delta"))
@@ -157,20 +157,21 @@ def identities(spark, d):
         t = per_dim.select(F.concat(F.lit(name + ":"), "dimension").alias("name"), F.col(lhs).alias("lhs"),
                            rhs.cast("double").alias("rhs"))
         out = out.unionByName(t.withColumn("ok", I.close(F.col("lhs"), F.col("rhs"))))
-    cn = X.contribution(k.fact, "dist_center", prev, cur, "net_revenue").agg(F.sum("delta").alias("l"))
+    cn = C.contribution(k.cube, "dist_center", prev, cur, "net_revenue").agg(F.sum("delta").alias("l"))
     netchg = (k.monthly.filter(F.col("month") == cur[0]).select(F.col("net_revenue").alias("b"))
               .crossJoin(k.monthly.filter(F.col("month") == prev[0]).select(F.col("net_revenue").alias("a"))))
     out = out.unionByName(I.identity_rows([("net_delta_sums_to_net_change:dist_center", F.col("l"),
                                             F.col("b") - F.col("a"))], cn.crossJoin(netchg)))
-    lk = G.leakage_by_dim(k.fact, cur[0], "dist_center").agg(
+    lk = C.leakage_by_dim(k.cube, cur[0], "dist_center").agg(
         F.sum(F.col("returned") * F.col("revenue")).alias("lr"), F.sum(F.col("cancelled") * F.col("revenue")).alias("lc"))
-    f = k.fact.filter(F.col("month") == cur[0]).agg(
+    total = k.cube.filter(F.col("dimension") == C.ALL)
+    f = total.filter(F.col("month") == cur[0]).agg(
         F.sum(F.when(F.col("order_status") == "Returned", F.col("sale_price"))).cast("double").alias("rr"),
         F.sum(F.when(F.col("order_status") == "Cancelled", F.col("sale_price"))).cast("double").alias("rc"))
     out = out.unionByName(I.identity_rows([("returned_share_times_revenue:dist_center", F.col("lr"), F.col("rr")),
                                            ("cancelled_share_times_revenue:dist_center", F.col("lc"), F.col("rc"))],
                                           lk.crossJoin(f)))
-    complete = k.fact.filter(F.col("month") < k.rules.today_month)
+    complete = total.filter(F.col("month") < k.rules.today_month)
     tot = complete.agg(F.sum("sale_price").cast("double").alias("ms")).crossJoin(E.total_before_today(k.star, k.rules))
     out = out.unionByName(I.identity_rows([("months_sum_to_total", F.col("ms"), F.col("revenue"))], tot))
     pt = E.period_totals(k.monthly, last3).crossJoin(
@@ -319,7 +320,7 @@ def driver_diff(spark, d):
     k, p = kpi(spark, d), periods(spark, d)
     ks, _ = _surge_kpi(spark, d)
     prev, cur = p["previous_month"], p["last_month"]
-    base = X.find_drivers(k.fact, prev, cur)
+    base = C.find_drivers(k.cube, prev, cur)
     scen = X.find_drivers(ks.fact, prev, cur)
     return I.driver_diff(base, scen)
 

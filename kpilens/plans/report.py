@@ -1,7 +1,8 @@
 """F13 change report and F14 truth document: compositions of the operators.
 
 Both are one-row DataFrames assembled from one-row frames with cross products
-(every input is already aggregated to a single row or to segment grain).
+(every input is already aggregated to a single row or to segment grain). Everything
+but the two item-level traps is read from the stored segment cube.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from kpilens.config import DIMENSIONS
+from kpilens.operators import cube as C
 from kpilens.operators import explain as X
 from kpilens.operators import funnel as G
 from kpilens.operators import metrics as E
@@ -42,16 +44,16 @@ def change_report(spark: SparkSession, sf_dir: str, thorough: bool = False) -> D
         F.col("revenue_cur").alias("value"), F.col("revenue_prev").alias("value_previous"),
         F.col("delta_pct").alias("change_pct"), "zscore", "unusual", "volume_share", "aov_share")
     if not thorough:
-        rows = _driver_text(X.find_drivers(k.fact, prev, last, DIMENSIONS, "revenue"), 0, "driver_rank")
+        rows = _driver_text(C.find_drivers(k.cube, prev, last, DIMENSIONS, "revenue"), 0, "driver_rank")
         return head.crossJoin(_agg_text(rows))
-    both = X.find_drivers(k.fact, prev, last, DIMENSIONS, ("revenue", "net_revenue"))     # one pass, two measures
+    both = C.find_drivers(k.cube, prev, last, DIMENSIONS, ("revenue", "net_revenue"))     # one pass, two measures
     rows = _driver_text(both.withColumn("driver_rank", F.col("driver_rank")
                                         + F.when(F.col("measure") == "net_revenue", F.lit(1_000_000_000))
                                            .otherwise(F.lit(0))), 0, "driver_rank")
     alert = X.leakage_alert(k.leakage_monthly()).select(
         F.col("returned_share"), F.col("hist_mean").alias("returned_hist_mean"),
         F.col("hist_sd").alias("returned_hist_sd"), F.col("alert").alias("returned_alert"))
-    by = G.leakage_by_dim(k.fact, last[0], "dist_center")
+    by = C.leakage_by_dim(k.cube, last[0], "dist_center")
     order = F.row_number().over(Window.orderBy(F.desc("revenue"), "segment"))
     out = (X.outlier_segments(by).join(by.select("segment", "revenue"), "segment")
             .withColumn("o", order).crossJoin(alert.select("returned_alert"))
@@ -83,7 +85,7 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
                                  r("aov_share", 4).alias("aov_share")).alias(name))
 
     def drivers(a, b, name):
-        dr = X.find_drivers(k.fact, a, b, DIMENSIONS, ("revenue", "net_revenue"))
+        dr = C.find_drivers(k.cube, a, b, DIMENSIONS, ("revenue", "net_revenue"))
         s = F.struct("driver_rank", "dimension", "segment", "measure", "delta", "share_of_change",
                      "share_of_base", "lift", "is_new_segment")
         gross = F.array_sort(F.collect_list(F.when(F.col("measure") == "revenue", s)))
@@ -91,7 +93,7 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
         return dr.agg(gross.alias(name), net.alias("net_" + name))
 
     def top5(a, b, name):
-        c = X.contribution_top(X.contribution_all(k.fact, a, b), 5)
+        c = X.contribution_top(C.contribution_all(k.cube, a, b), 5)
         s = F.struct("dimension", "rank", "segment", r("delta", 2).alias("delta"),
                      r("share_of_change", 4).alias("share_of_change"),
                      r("share_of_base", 4).alias("share_of_base"), r("lift", 3).alias("lift"))
@@ -107,9 +109,9 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
     z3 = X.zscore_window(k.monthly, last3, last3[0]).agg(
         F.array_sort(F.collect_list(F.struct("month", r("zscore", 2).alias("zscore")))).alias("zscore_by_month"),
         F.array_sort(F.collect_list(F.when(F.col("unusual"), F.col("month")))).alias("unusual_months"))
-    leak = G.leakage(k.fact, last[0]).select(F.struct(r("cancelled", 4).alias("cancelled"),
+    leak = C.leakage(k.cube, last[0]).select(F.struct(r("cancelled", 4).alias("cancelled"),
                                                       r("returned", 4).alias("returned")).alias("leakage"))
-    by_dc = G.leakage_by_dim(k.fact, last[0], "dist_center").agg(F.array_sort(F.collect_list(F.struct(
+    by_dc = C.leakage_by_dim(k.cube, last[0], "dist_center").agg(F.array_sort(F.collect_list(F.struct(
         "segment", r("revenue", 2).alias("revenue"), r("cancelled", 4).alias("cancelled"),
         r("returned", 4).alias("returned")))).alias("leakage_by_dist_center"))
     funnel_src = None
