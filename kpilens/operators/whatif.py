@@ -8,16 +8,16 @@ replaced, so every KPI operator runs on it unchanged.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, insort
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kpilens.config import LOST_STATUSES
 from kpilens.functions.columns import epoch_micros, fact_months, money, month_range
 from kpilens.functions.quantiles import values_at_ranks
-from kpilens.operators.sessions import split_runs
+from kpilens.operators.sessions import split_by_gap
 from kpilens.session import ensure_checkpoint_dir
 from kpilens.sources.tables import Star
 
@@ -143,17 +143,24 @@ def item_key() -> Column:
 def drop_orders(star: Star, picked: DataFrame, sessions: DataFrame | None = None,
                 matches: DataFrame | None = None) -> tuple[EditedStar, DataFrame, DataFrame | None]:
     """Orders never happened: remove them, their items and (given the one-to-one
-    item -> session matches) the purchase session that produced each item."""
+    item -> session matches of the dropped items) the purchase session that produced each item.
+    Report: rows before and after, the dropped items' revenue, and with matches the sessions removed
+    and the dropped items no session was found for."""
     ids = picked.select("order_id").distinct()
     new_orders = star.orders.join(ids, "order_id", "left_anti")
     new_items = star.order_items.join(ids, "order_id", "left_anti")
+    gone = star.order_items.join(ids, "order_id", "left_semi")
     new_sessions = None
     if sessions is not None and matches is not None:
         new_sessions = sessions.join(matches.select("session_id").distinct(), "session_id", "left_anti")
     report = (star.orders.agg(F.count(F.lit(1)).alias("orders_before"))
               .crossJoin(new_orders.agg(F.count(F.lit(1)).alias("orders_after")))
               .crossJoin(star.order_items.agg(F.count(F.lit(1)).alias("items_before")))
-              .crossJoin(new_items.agg(F.count(F.lit(1)).alias("items_after"))))
+              .crossJoin(new_items.agg(F.count(F.lit(1)).alias("items_after")))
+              .crossJoin(gone.agg(F.coalesce(money(F.sum("sale_price")), F.lit(0.0)).alias("revenue_removed"))))
+    if new_sessions is not None:
+        report = report.crossJoin(matches.agg(F.count(F.lit(1)).alias("sessions_removed")))      # one per matched item
+        report = report.withColumn("items_without_session", F.col("items_before") - F.col("items_after") - F.col("sessions_removed"))
     return EditedStar(star, orders=new_orders, order_items=new_items), report, new_sessions
 
 
@@ -189,51 +196,55 @@ def nearest_session(items: DataFrame, sessions: DataFrame, before_days: int = 3,
                                                                               "abs_us")
 
 
-MATCH_SCHEMA = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("user_id", T.LongType()),
-                             T.StructField("session_id", T.StringType())])
-
-
-def _greedy(key, items: pd.DataFrame, cands: pd.DataFrame) -> pd.DataFrame:
-    """Items in time order each take the nearest unused candidate session."""
-    used: set = set()
-    out = []
-    if len(items):
-        by_item = {i: g.sort_values(["abs_us", "started_us", "session_id"]) for i, g in cands.groupby("c_item")}
-        for r in items.sort_values(["ts_us", "item_id"]).itertuples(index=False):
-            g = by_item.get(r.item_id)
-            if g is None:
+def _match_in_order(batches, before_us: int, after_us: int):
+    """Sessions and items of each run in time order (a session comes in `after` before its start): every item
+    takes the nearest unused session (ties: earlier start, then id). Only the sessions an item could still take are
+    held, ordered by (start, id); the state goes on from batch to batch."""
+    run, unused = None, []
+    for b in batches:
+        out = []
+        for user, no, at, item, session in zip(b["user_id"], b["run"], b["at_us"], b["item_id"], b["session_id"]):
+            if (user, no) != run:
+                run, unused = (user, no), []
+            if unused and unused[0][0] < at - before_us:
+                del unused[:bisect_left(unused, (at - before_us, ""))]
+            if item is None:
+                insort(unused, (at + after_us, session))
                 continue
-            for s in g["session_id"]:
-                if s not in used:
-                    used.add(s)
-                    out.append((r.item_id, int(r.user_id), s))
-                    break
-    return pd.DataFrame(out, columns=["item_id", "user_id", "session_id"])
+            later = bisect_left(unused, (at, ""))
+            best = bisect_left(unused, (unused[later - 1][0], "")) if later else None
+            if later < len(unused) and (best is None or unused[later][0] - at < at - unused[best][0]):
+                best = later
+            if best is not None:
+                out.append((item, user, unused.pop(best)[1]))
+        yield pd.DataFrame(out, columns=["item_id", "user_id", "session_id"])
 
 
 def nearest_session_1to1(items: DataFrame, sessions: DataFrame, before_days: int = 3,
                          after_days: int = 1) -> DataFrame:
-    """J6, one-to-one form: per user, items in time order each take the nearest UNUSED
-    session. An item can only be affected by earlier items that share a candidate session
-    with it, and for items in time order sharing is a chain (a session in the windows of
-    items a and c lies in the window of every item between them). So a user's items with
-    candidates are cut into independent parts wherever an item shares no candidate with
-    the next one: item i reaches its latest candidate start + `before_days`, and the next
-    item past that starts a new part (`split_runs`, bucketed, no per-user window). Each
-    part is solved exactly by one cogrouped pandas call."""
-    c = session_candidates(items, sessions, before_days, after_days)
-    reach = c.groupBy("item_id").agg(
-        (epoch_micros(F.max("started_at")) + F.lit(before_days * DAY * 1_000_000)).alias("_r"))
-    with_cands = items.select("item_id", "user_id", "ts").join(reach, "item_id")
-    runs = split_runs(with_cands, "user_id", "ts", "item_id", F.col("_r"), out="run").drop("is_start", "_r")
-    run_of = runs.select("item_id", F.col("run").alias("_run"))
-    c = c.join(run_of, "item_id")
-    left = runs.select("user_id", "run", "item_id", _micros("ts").alias("ts_us")).alias("l")
-    right = c.select(F.col("user_id").alias("c_user"), F.col("_run").alias("c_run"), F.col("item_id").alias("c_item"),
-                     "session_id", "abs_us", _micros("started_at").alias("started_us")).alias("r")
-    schema = T.StructType([T.StructField("item_id", items.schema["item_id"].dataType)] + MATCH_SCHEMA.fields[1:])
-    return (left.groupBy("user_id", "run").cogroup(right.groupBy("c_user", "c_run"))
-                .applyInPandas(_greedy, schema))
+    """J6, one-to-one form: per user, items in time order each take the nearest UNUSED session. Sessions and
+    items of a user are one timeline, cut wherever nothing happens for longer than the window (no session
+    before the cut can be taken after it; `split_runs`, bucketed, no per-user window). The runs are dealt out and
+    streamed in order past a set of the sessions still in reach: memory does not grow with a run,
+    and no item is paired with more than two sessions. Rows without a user match nothing."""
+    reach = F.expr(f"INTERVAL '{after_days}' DAY")
+    item_type = items.schema["item_id"].dataType
+    no_item, no_session = F.lit(None).cast(item_type), F.lit(None).cast("string")
+    line = (sessions.select("user_id", (F.col("started_at") - reach).alias("at"), no_item.alias("item"), "session_id")
+            .unionByName(items.select("user_id", F.col("ts").alias("at"), F.col("item_id").alias("item"), no_session.alias("session_id")))
+            .filter(F.col("user_id").isNotNull() & F.col("at").isNotNull())
+            .withColumn("id", F.coalesce("session_id", F.col("item").cast("string"))))
+    runs = split_by_gap(line, "user_id", "at", "id", (before_days + after_days) * DAY, out="run")
+    ordered = (runs.withColumn("at_us", _micros("at")).repartition("user_id", "run")
+               .sortWithinPartitions("user_id", "run", "at_us", F.col("item").asc_nulls_first(), "session_id")
+               .select("user_id", "run", "at_us", F.col("item").cast("string").alias("item_id"), "session_id"))
+    user_type = items.schema["user_id"].dataType.simpleString()
+    day = DAY * 1_000_000
+
+    def match(batches):
+        return _match_in_order(batches, before_days * day, after_days * day)
+    found = ordered.mapInPandas(match, f"item_id string, user_id {user_type}, session_id string")
+    return found.withColumn("item_id", F.col("item_id").cast(item_type))
 
 
 # ---------------------------------------------------------------- J7

@@ -13,6 +13,8 @@ ORACLE: dict[str, str] = {}
 SURGE_SOURCE = "BUILDING"
 SURGE_MULTIPLIER = 3.0
 FLIP_RATE = 0.8
+#: Fixture mapping: the events begin 8,219 days after July 2001, the month whose orders are dropped.
+SESSION_SHIFT = "INTERVAL '8219' DAY"
 
 
 def purchase_items(spark, d):
@@ -111,25 +113,76 @@ dropped AS (SELECT order_id FROM o WHERE strftime(created_at, '%Y-%m') = (SELECT
 SELECT (SELECT COUNT(*) FROM o) AS orders_before,
        (SELECT COUNT(*) FROM o WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS orders_after,
        (SELECT COUNT(*) FROM oi) AS items_before,
-       (SELECT COUNT(*) FROM oi WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS items_after"""
-
-
-@register("what_if_drop_sessions")
-def what_if_drop_sessions(spark, d):
-    """J5 cascade: the purchase session that produced each dropped item (one-to-one
-    nearest match in [-3 d, +1 d]) is removed too; sequential matching, no SQL twin."""
+       (SELECT COUNT(*) FROM oi WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS items_after,
+       (SELECT ROUND(COALESCE(CAST(SUM(sale_price) AS DOUBLE), 0), 6) FROM oi WHERE order_id IN (SELECT order_id FROM dropped))
+           AS revenue_removed"""
+
+
+def greedy_sql(items: str) -> str:
+    """CTEs for the one-to-one match of `items` (item_id, user_id, ts): each user's n-th item takes the first
+    of its candidates (nearest, earlier start, id) that is in nobody's list of used sessions."""
+    return f"""
+turn AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts, item_id) AS n FROM {items} WHERE user_id IS NOT NULL),
+cand AS (SELECT t.user_id, t.n, t.item_id,
+                list(s.session_id ORDER BY ABS(epoch_us(s.started_at) - epoch_us(t.ts)), s.started_at, s.session_id)
+                    FILTER (s.session_id IS NOT NULL) AS near
+         FROM turn t LEFT JOIN sess s ON s.user_id = t.user_id AND s.purchased
+              AND epoch_us(s.started_at) - epoch_us(t.ts) BETWEEN -259200000000 AND 86400000000
+         GROUP BY t.user_id, t.n, t.item_id),
+step AS (SELECT user_id, 0::BIGINT AS n, []::VARCHAR[] AS used, NULL::VARCHAR AS session_id
+         FROM (SELECT DISTINCT user_id FROM turn)
+         UNION ALL
+         SELECT user_id, n, CASE WHEN pick IS NULL THEN used ELSE list_append(used, pick) END, pick
+         FROM (SELECT c.user_id, c.n, step.used,
+                      list_filter(c.near, lambda x: NOT list_contains(step.used, x))[1] AS pick
+               FROM step JOIN cand c ON c.user_id = step.user_id AND c.n = step.n + 1)),
+matched AS (SELECT cand.item_id, user_id, step.session_id FROM step JOIN cand USING (user_id, n) WHERE step.session_id IS NOT NULL)"""
+
+
+DROPPED_SQL = f"""
+dropped AS (SELECT order_id, user_id FROM o WHERE strftime(created_at, '%Y-%m') = (SELECT month FROM per WHERE cur1)
+              AND user_id IN (SELECT id FROM u WHERE traffic_source = '{SURGE_SOURCE}')),
+gone AS (SELECT concat_ws('|', oi.order_id, line_number, product_id, supplier_id, sale_price, quantity, line_status, created_at) AS item_id,
+                d.user_id, oi.created_at + {SESSION_SHIFT} AS ts, sale_price
+         FROM oi JOIN dropped d ON d.order_id = oi.order_id),""" + greedy_sql("gone")
+
+
+def _drop_cascade(spark, d):
     k, p = kpi(spark, d), periods(spark, d)
     picked = J.orders_of_source(k.star, p["last_month"][0], SURGE_SOURCE)
-    o = k.star.orders.join(picked.select("order_id"), "order_id").select("order_id", "user_id")
+    o = k.star.orders.join(picked.select("order_id"), "order_id", "left_semi").select("order_id", "user_id")
     items = (k.star.order_items.join(o, "order_id")
-             .select(J.item_key().alias("item_id"), "user_id", F.col("created_at").alias("ts")))
+             .select(J.item_key().alias("item_id"), "user_id", (F.col("created_at") + F.expr(SESSION_SHIFT)).alias("ts")))
     sessions = purchase_sessions(spark, d)
-    matches = J.nearest_session_1to1(items, sessions)
-    _, _, remaining = J.drop_orders(k.star, picked, sessions, matches)
-    return (sessions.agg(F.count(F.lit(1)).alias("sessions_before"))
-            .crossJoin(remaining.agg(F.count(F.lit(1)).alias("sessions_after")))
-            .crossJoin(items.agg(F.count(F.lit(1)).alias("items_dropped")))
-            .crossJoin(matches.agg(F.count(F.lit(1)).alias("items_with_session"))))
+    return J.drop_orders(k.star, picked, sessions, J.nearest_session_1to1(items, sessions))
+
+
+@register("what_if_drop_sessions")
+def what_if_drop_sessions(spark, d):
+    """J5 cascade: the report of dropping last month's orders of one source with their items and the purchase
+    session that produced each item (one-to-one nearest match in [-3 d, +1 d])."""
+    return _drop_cascade(spark, d)[1]
+
+
+ORACLE["what_if_drop_sessions"] = with_("o", "oi", "u", "per", "sess", extra=DROPPED_SQL).replace("WITH ", "WITH RECURSIVE ", 1) + """
+SELECT (SELECT COUNT(*) FROM o) AS orders_before,
+       (SELECT COUNT(*) FROM o WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS orders_after,
+       (SELECT COUNT(*) FROM oi) AS items_before,
+       (SELECT COUNT(*) FROM oi WHERE order_id NOT IN (SELECT order_id FROM dropped)) AS items_after,
+       (SELECT ROUND(COALESCE(CAST(SUM(sale_price) AS DOUBLE), 0), 6) FROM gone) AS revenue_removed,
+       (SELECT COUNT(*) FROM matched) AS sessions_removed,
+       (SELECT COUNT(*) FROM gone) - (SELECT COUNT(*) FROM matched) AS items_without_session"""
+
+
+@register("what_if_drop_remaining")
+def what_if_drop_remaining(spark, d):
+    """J5 cascade: the purchase sessions that remain, as an edited table."""
+    return _drop_cascade(spark, d)[2].select("session_id", "user_id", "started_at")
+
+
+ORACLE["what_if_drop_remaining"] = with_("o", "oi", "u", "per", "sess", extra=DROPPED_SQL).replace("WITH ", "WITH RECURSIVE ", 1) + f"""
+SELECT session_id, user_id, {ts('started_at')} AS started_at FROM sess
+WHERE purchased AND session_id NOT IN (SELECT session_id FROM matched)"""
 
 
 @register("nearest_session")
@@ -151,10 +204,15 @@ WHERE r = 1"""
 
 @register("nearest_session_1to1")
 def nearest_session_1to1(spark, d):
-    """J6 (one-to-one): greedy in time order per user; sequential logic, no SQL twin."""
+    """J6 (one-to-one): greedy in time order per user, streamed past the sessions still in reach."""
     return J.nearest_session_1to1(purchase_items(spark, d), purchase_sessions(spark, d))
 
 
+ORACLE["nearest_session_1to1"] = with_("sess", extra="""
+it AS (SELECT event_id AS item_id, user_id, ts FROM events WHERE event_type = 'purchase'),""" + greedy_sql("it")).replace(
+    "WITH ", "WITH RECURSIVE ", 1) + "SELECT item_id, user_id, session_id FROM matched"
+
+
 def surge_edit(spark, d):
     k, p = kpi(spark, d), periods(spark, d)
     return J.surge(k.star, p["last_month"][0], SURGE_SOURCE, SURGE_MULTIPLIER, new_users=True)

@@ -166,6 +166,34 @@ def test_drop_orders_cascades_to_matched_sessions(spark):
     assert sorted(r.session_id for r in remaining.collect()) == ["c", "d"]
     r = report.collect()[0]
     assert (r.orders_before, r.orders_after, r.items_before, r.items_after) == (3, 2, 3, 1)
+    assert (r.revenue_removed, r.sessions_removed) == (14.99, 2)
+
+
+def test_one_to_one_match_streams_a_hot_user(spark):
+    """One user whose items all share sessions: no pair table, only the sessions in reach are held."""
+    from kpilens.operators import whatif as J
+    rng, base = random.Random(12), datetime(2024, 1, 1)
+    items = [(i, 1, base + timedelta(minutes=rng.randrange(60 * 24 * 40))) for i in range(4000)]
+    sess = [(f"s{i}", 1, base + timedelta(minutes=rng.randrange(60 * 24 * 40))) for i in range(3000)]
+    held = []
+
+    lines = sorted([((t - timedelta(days=1) - base).total_seconds() * 1e6, 0, f"{i:05}", s) for i, (s, _, t) in enumerate(sess)]
+                   + [((t - base).total_seconds() * 1e6, 1, f"{i:05}", None) for i, _, t in items])
+    import pandas as pd
+    frame = pd.DataFrame([(1, 1, int(at), None if kind == 0 else name, s) for at, kind, name, s in lines],
+                         columns=["user_id", "run", "at_us", "item_id", "session_id"])
+    old, J.insort = J.insort, lambda a, x: (old(a, x), held.append(len(a)))[0]
+    try:
+        day = J.DAY * 1_000_000
+        out = pd.concat(J._match_in_order((frame[k:k + 500] for k in range(0, len(frame), 500)), 3 * day, day))
+    finally:
+        J.insort = old
+    assert max(held) < 500                                 # 4 of 40 days of the 3,000 sessions, not all of them
+    it = spark.createDataFrame(items, "item_id long, user_id long, ts timestamp_ntz")
+    ss = spark.createDataFrame(sess, "session_id string, user_id long, started_at timestamp_ntz")
+    got = {r.item_id: r.session_id for r in nearest_session_1to1(it, ss).collect()}
+    assert got == _greedy_brute(items, sess)
+    assert {int(a): b for a, b in zip(out["item_id"], out["session_id"])} == got
 
 
 def test_gaps_do_not_depend_on_the_session_time_zone(spark):
