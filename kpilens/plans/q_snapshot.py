@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+import uuid
+
 from pyspark.sql import types as T
 
 from kpilens.config import FIXTURE_TODAY
 from kpilens.plans.registry import kpi, register
 from kpilens.plans.sql_base import TODAY, ts, with_
+from kpilens.session import ensure_checkpoint_dir
 from kpilens.sources import snapshot as S
 from kpilens.sources.tables import SCHEMAS
 
@@ -51,34 +53,45 @@ ORACLE["table_manifest"] = "\nUNION ALL\n".join(
                 AS BIGINT)) AS checksum FROM {t}""" for t in SCHEMAS)
 
 
+_PUBLISHED: dict[tuple[str, str], str] = {}
+
+
+def published(spark, d) -> str:
+    """The folder of this directory's snapshot, written once per application under the shared folder."""
+    key = (spark.sparkContext.applicationId, d.rstrip("/"))
+    if key not in _PUBLISHED:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpilens-snapshot-{uuid.uuid4().hex}"
+        _PUBLISHED[key] = S.publish_snapshot(S.cut_tables(kpi(spark, d).star, FIXTURE_TODAY), path)
+    return _PUBLISHED[key]
+
+
 @register("manifest_check")
 def manifest_check(spark, d):
-    """The loaded logical tables have the manifest's row counts; the snapshot's orders
-    all precede the cutoff."""
-    k = kpi(spark, d)
-    man = S.table_manifest({n: k.star.raw[n] for n in ("orders", "lineitem", "part", "customer", "supplier")})
-    loaded = (k.star.orders.agg(F.count(F.lit(1)).alias("n")).select(F.lit("orders").alias("table_name"), "n")
-              .unionByName(k.star.order_items.agg(F.count(F.lit(1)).alias("n"))
-                           .select(F.lit("lineitem").alias("table_name"), "n"))
-              .unionByName(k.star.products.agg(F.count(F.lit(1)).alias("n"))
-                           .select(F.lit("part").alias("table_name"), "n"))
-              .unionByName(k.star.users.agg(F.count(F.lit(1)).alias("n"))
-                           .select(F.lit("customer").alias("table_name"), "n"))
-              .unionByName(k.star.distribution_centers.agg(F.count(F.lit(1)).alias("n"))
-                           .select(F.lit("supplier").alias("table_name"), "n")))
-    after = (S.snapshot_orders(k.star, FIXTURE_TODAY)
-             .agg(F.sum(F.when(F.col("created_at") >= F.lit(f"{FIXTURE_TODAY} 00:00:00").cast("timestamp_ntz"), 1)
-                        .otherwise(0)).alias("after_cutoff")))
-    return (man.select("table_name", F.col("rows").alias("manifest_rows")).join(loaded, "table_name")
-               .crossJoin(after)
-               .select("table_name", "manifest_rows", F.col("n").alias("loaded_rows"),
-                       ((F.col("manifest_rows") == F.col("n")) & (F.coalesce("after_cutoff", F.lit(0)) == 0))
-                       .alias("ok")))
-
-
-ORACLE["manifest_check"] = "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, (SELECT COUNT(*) FROM {t}) AS manifest_rows, (SELECT COUNT(*) FROM {t}) AS loaded_rows,"
-    f" true AS ok" for t in ("orders", "lineitem", "part", "customer", "supplier"))
+    """The published snapshot, read back, has the rows, columns and contents its manifest states."""
+    path = published(spark, d)
+    return S.verify_snapshot(S.read_manifest(spark, path), S.read_snapshot(spark, path, SCHEMAS))
+
+
+@register("source_against_manifest")
+def source_against_manifest(spark, d):
+    """The source tables, cut anew, still are what the published manifest states."""
+    return S.verify_snapshot(S.read_manifest(spark, published(spark, d)), S.cut_tables(kpi(spark, d).star, FIXTURE_TODAY))
+
+
+_CUT = {
+    "orders": f"o_orderdate < TIMESTAMP '{TODAY} 00:00:00'",
+    "lineitem": "l_orderkey IN (SELECT o_orderkey FROM kept)",
+    "customer": "c_custkey IN (SELECT o_custkey FROM kept)",
+    "part": "p_partkey IN (SELECT l_partkey FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM kept))",
+}
+_FOUND = f"WITH kept AS (SELECT * FROM orders WHERE {_CUT['orders']}), found AS (" + "\nUNION ALL\n".join(
+    f"""SELECT '{t}' AS table_name, COUNT(*) AS n,
+       COALESCE(SUM(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(_canon_sql(c, dt) for c, dt in _scalar_cols(t))})), 1, 8))
+                AS BIGINT)), 0)::BIGINT AS checksum FROM {t} WHERE {_CUT.get(t, 'true')}""" for t in SCHEMAS) + ")"
+ORACLE["manifest_check"] = ORACLE["source_against_manifest"] = _FOUND + """
+SELECT a.table_name, a.n AS manifest_rows, b.n AS loaded_rows, a.checksum AS manifest_checksum, b.checksum AS loaded_checksum,
+       a.n = b.n AND a.checksum = b.checksum AS ok
+FROM found a JOIN found b USING (table_name)"""
 
 
 @register("snapshot_orders")

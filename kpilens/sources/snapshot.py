@@ -6,12 +6,15 @@ time bound into the parquet scan and plans IN-subqueries as (existence) joins.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from decimal import Decimal
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kpilens.functions.columns import before
-from kpilens.sources.tables import Star
+from kpilens.sources.tables import Star, ts_text
 
 
 # ---------------------------------------------------------------- A5
@@ -42,11 +45,80 @@ def schema_columns(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 # ---------------------------------------------------------------- A6 / A7
-def write_snapshot(df: DataFrame, path: str, key: str, partitions: int | None = None) -> None:
+MANIFEST = "table_name string, rows long, columns string, checksum decimal(38,0)"
+
+
+def write_snapshot(df: DataFrame, path: str, key: str, partitions: int | None = None) -> tuple[int, int]:
     """Parquet in a fixed row order: range-partitioned on the key and sorted within
-    partitions (a total order without funnelling every row through one task)."""
+    partitions (a total order without funnelling every row through one task). Returns the rows
+    and the checksum of what was written, observed in the same pass."""
     d = df.repartitionByRange(partitions, key) if partitions else df.repartitionByRange(key)
-    d.sortWithinPartitions(key).write.mode("overwrite").parquet(path)
+    seen = Observation()
+    d = d.sortWithinPartitions(key).observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_hash(df)).alias("checksum"))
+    d.write.mode("errorifexists").parquet(path)
+    return seen.get["rows"], int(seen.get["checksum"] or 0)
+
+
+def publish_snapshot(tables: dict[str, DataFrame], path: str) -> str:
+    """Every table written once under a new folder, its manifest last. Timestamps are stored as text to the
+    second (A4), types a flat file cannot hold are left out (A5). A snapshot without a manifest does not exist
+    for `read_manifest`, so a job that dies half-way publishes nothing."""
+    spark = next(iter(tables.values())).sparkSession
+    rows = []
+    for name, df in tables.items():
+        cols = scalar_columns(df)
+        flat = stored_form(df)
+        n, checksum = write_snapshot(flat, f"{path}/data/{name}", cols[0])
+        rows.append((name, n, ",".join(cols), Decimal(checksum)))
+    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists").json(f"{path}/manifest")     # a row a table
+    return path
+
+
+def stored_form(df: DataFrame) -> DataFrame:
+    """The exportable columns, timestamps as text (A4, A5)."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    return df.select(*[(ts_text(c) if isinstance(types[c], (T.TimestampType, T.TimestampNTZType)) else F.col(c)).alias(c)
+                       for c in scalar_columns(df)])
+
+
+def read_manifest(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(MANIFEST).json(f"{path}/manifest")
+
+
+def read_snapshot(spark: SparkSession, path: str, schemas: dict[str, T.StructType]) -> dict[str, DataFrame]:
+    """The published tables by name, with the types of `schemas` (timestamps parsed back, to the second)."""
+    out = {}
+    for name, schema in schemas.items():
+        like = spark.createDataFrame([], schema)
+        stamps = [f.name for f in schema.fields if isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType))]
+        df = spark.read.schema(stored_form(like).schema).parquet(f"{path}/data/{name}")
+        out[name] = df.withColumns({c: F.col(c).cast(schema[c].dataType) for c in stamps})
+    return out
+
+
+def verify_snapshot(manifest: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Each table of the manifest against what is there now: rows, columns and checksum; a table that is
+    missing on either side is not ok."""
+    now = table_manifest(tables).select("table_name", F.col("rows").alias("loaded_rows"), F.col("columns").alias("_columns"),
+                                        F.coalesce("checksum", F.lit(0)).cast("decimal(38,0)").alias("loaded_checksum"))
+    j = manifest.select("table_name", F.col("rows").alias("manifest_rows"), "columns", F.col("checksum").alias("manifest_checksum"))
+    ok = ((F.col("manifest_rows") == F.col("loaded_rows")) & (F.col("columns") == F.col("_columns"))
+          & (F.col("manifest_checksum") == F.col("loaded_checksum")))
+    return j.join(now, "table_name", "full").select(
+        "table_name", "manifest_rows", "loaded_rows", F.col("manifest_checksum").cast("long").alias("manifest_checksum"),
+        F.col("loaded_checksum").cast("long").alias("loaded_checksum"), F.coalesce(ok, F.lit(False)).alias("ok"))
+
+
+def cut_tables(star: Star, cutoff: str) -> dict[str, DataFrame]:
+    """The source tables as the snapshot keeps them: orders before the cutoff (B1), their items (B2), the customers
+    who own one (B3), the parts an item refers to (B4), all else whole."""
+    raw = dict(star.raw)
+    raw["orders"] = raw["orders"].filter(before("o_orderdate", cutoff))
+    raw["lineitem"] = raw["lineitem"].join(raw["orders"].select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi") \
+                                     .select(*raw["lineitem"].columns)
+    raw["customer"] = raw["customer"].join(raw["orders"].select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+    raw["part"] = raw["part"].join(raw["lineitem"].select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi")
+    return raw
 
 
 def canonical(c: str, dt: T.DataType) -> Column:
@@ -59,23 +131,20 @@ def canonical(c: str, dt: T.DataType) -> Column:
     return x.cast("string")
 
 
+def row_hash(df: DataFrame) -> Column:
+    """The first 32 bits of md5 over a row's canonical text."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    text = F.concat_ws("|", *[canonical(c, types[c]) for c in scalar_columns(df)])
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
+
+
 def table_manifest(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows, column list and an order-free content checksum per table: the sum of the
-    first 32 bits of md5 over each row's canonical text (a per-row hash summed, so it is a
-    plain aggregate with partial combine)."""
-    parts = []
-    for name, df in tables.items():
-        cols = scalar_columns(df)
-        types = {f.name: f.dataType for f in df.schema.fields}
-        text = F.concat_ws("|", *[canonical(c, types[c]) for c in cols])
-        h = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")
-        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), F.sum(h).alias("checksum"))
-                       .select(F.lit(name).alias("table_name"), "rows", F.lit(",".join(cols)).alias("columns"),
-                               "checksum"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows, column list and an order-free content checksum per table: the sum of the rows'
+    hashes, so it is a plain aggregate with partial combine."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_hash(df)).alias("checksum"))
+               .select(F.lit(name).alias("table_name"), "rows", F.lit(",".join(scalar_columns(df))).alias("columns"), "checksum")
+             for name, df in tables.items()]
+    return reduce(DataFrame.unionByName, parts)
 
 
 # ---------------------------------------------------------------- B1-B4
