@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from kpilens.config import DIMENSIONS
 from kpilens.operators import cube as C
 from kpilens.operators import explain as X
@@ -265,6 +267,34 @@ def truth_document_q(spark, d):
     return truth_document(spark, d)
 
 
+@register("truth_fields")
+def truth_fields(spark, d):
+    """Fields of the frozen truth document, read back with its schema (the document's rounding)."""
+    from kpilens.plans.report import frozen_truth
+    lm, l3 = "last_month.", "last_3_months."
+    return frozen_truth(spark, d).select(
+        F.col("defaults.last_month").alias("last_month"), F.array_join("defaults.last_3_months", ",").alias("last_3_months"),
+        F.col(lm + "headline.revenue").alias("revenue"), F.col(lm + "headline.net_revenue").alias("net_revenue"),
+        F.col(lm + "headline.orders").alias("orders"), F.col(lm + "vs_previous_month.delta").alias("delta"),
+        F.col(lm + "vs_previous_month.delta_pct").alias("delta_pct"), F.col(lm + "vs_previous_month.volume_share").alias("volume_share"),
+        F.col(lm + "zscore").alias("zscore"), F.col(lm + "unusual").alias("unusual"),
+        F.array_join(F.transform(F.col(lm + "drivers"), lambda x: F.concat(x["dimension"], F.lit("="), x["segment"])), "|").alias("drivers"),
+        F.array_join(F.transform(F.col(lm + "net_drivers"), lambda x: F.concat(x["dimension"], F.lit("="), x["segment"])), "|").alias("net_drivers"),
+        F.col(lm + "leakage.cancelled").alias("cancelled"), F.col(lm + "leakage.returned").alias("returned"),
+        F.size(lm + "contribution_top5").alias("top5_rows"), F.size(lm + "leakage_by_dist_center").alias("centres"),
+        F.col(l3 + "headline.revenue").alias("revenue_3m"), F.col(l3 + "headline.aov").alias("aov_3m"),
+        F.array_join(l3 + "unusual_months", ",").alias("unusual_months"),
+        F.col("known_wrong_answers.revenue_last_month_fanout").alias("fanout"),
+        F.col("known_wrong_answers.aov_last_3_months_as_mean_of_monthly").alias("mean_aov"))
+
+
+@register("truth_monthly")
+def truth_monthly(spark, d):
+    """The twelve months of the frozen truth document."""
+    from kpilens.plans.report import frozen_truth
+    return frozen_truth(spark, d).select(F.inline("monthly"))
+
+
 _REPORT_CTES = drivers_ctes("prev1", "cur1", "sale_price", "revenue") + ",\n" + _totals("prev1", "a") + ",\n" + \
     _totals("cur1", "b") + """,
 zb AS (SELECT COUNT(m.mom) AS history, AVG(m.mom) AS hist_mean, STDDEV_SAMP(m.mom) AS hist_sd
@@ -313,3 +343,33 @@ dt AS (SELECT 0 AS g, driver_rank AS o, dimension || '=' || segment || ' (' || m
 SELECT head.*, al.*, (SELECT COUNT(*) FROM dt) AS n_drivers,
        COALESCE((SELECT string_agg(txt, '|' ORDER BY g, o) FROM dt), '') AS drivers
 FROM head CROSS JOIN al"""
+
+ORACLE["truth_monthly"] = with_("monthly", "leak") + """
+SELECT month, ROUND(revenue, 2) AS revenue, ROUND(net_revenue, 2) AS net_revenue, orders, items, ROUND(aov, 2) AS aov,
+       ROUND(margin, 4) AS margin, ROUND(mom, 4) AS mom, ROUND(cancelled, 4) AS cancelled_share, ROUND(returned, 4) AS returned_share
+FROM monthly LEFT JOIN leak USING (month) ORDER BY month DESC LIMIT 12"""
+
+ORACLE["truth_fields"] = with_("fact", "per", "monthly", "leak", "o", "oi", extra=_REPORT_CTES + ",\n" +
+                               drivers_ctes("prev1", "cur1", "net_sale_price", "net_revenue", "_n") + """,
+z3b AS (SELECT COUNT(m.mom) AS history, AVG(m.mom) AS hist_mean, STDDEV_SAMP(m.mom) AS hist_sd
+        FROM monthly m JOIN per USING (month)
+        WHERE per.idx < (SELECT MIN(idx) FROM per WHERE cur3) AND per.idx >= (SELECT MIN(idx) FROM per WHERE cur3) - 24),
+z3 AS (SELECT string_agg(m.month, ',' ORDER BY m.month) AS months FROM monthly m JOIN per USING (month) CROSS JOIN z3b
+       WHERE per.cur3 AND history >= 6 AND (ABS((mom - hist_mean) / NULLIF(hist_sd, 0)) >= 2.0 OR (hist_sd = 0 AND mom <> hist_mean)))""") + """
+SELECT head.period AS last_month, (SELECT string_agg(month, ',' ORDER BY month) FROM per WHERE cur3) AS last_3_months,
+       ROUND(m.revenue, 6) AS revenue, ROUND(m.net_revenue, 6) AS net_revenue, m.orders,
+       ROUND(b.revenue - a.revenue, 2) AS delta, ROUND((b.revenue - a.revenue) / NULLIF(a.revenue, 0), 4) AS delta_pct,
+       ROUND(CASE WHEN b.revenue - a.revenue <> 0 THEN (b.orders - a.orders) * a.aov / (b.revenue - a.revenue) END, 4) AS volume_share,
+       ROUND(CASE WHEN zc.history >= 6 AND zc.hist_sd <> 0 THEN (zc.mom - zc.hist_mean) / zc.hist_sd END, 2) AS zscore, head.unusual,
+       COALESCE((SELECT string_agg(dimension || '=' || segment, '|' ORDER BY driver_rank) FROM drv), '') AS drivers,
+       COALESCE((SELECT string_agg(dimension || '=' || segment, '|' ORDER BY driver_rank) FROM drv_n), '') AS net_drivers,
+       ROUND(leak.cancelled, 4) AS cancelled, ROUND(leak.returned, 4) AS returned,
+       (SELECT COUNT(*) FROM contrib WHERE rank <= 5) AS top5_rows,
+       (SELECT COUNT(DISTINCT dist_center) FROM fact JOIN per USING (month) WHERE per.cur1) AS centres,
+       (SELECT ROUND(SUM(revenue), 6) FROM monthly JOIN per USING (month) WHERE per.cur3) AS revenue_3m,
+       (SELECT ROUND(SUM(revenue) / SUM(orders), 6) FROM monthly JOIN per USING (month) WHERE per.cur3) AS aov_3m,
+       COALESCE((SELECT months FROM z3), '') AS unusual_months,
+       (SELECT ROUND(CAST(SUM(oi.sale_price) AS DOUBLE), 2) FROM oi JOIN o ON o.order_id = oi.order_id JOIN oi oi2 ON oi2.order_id = oi.order_id
+         WHERE strftime(o.created_at, '%Y-%m') = head.period) AS fanout,
+       (SELECT ROUND(AVG(aov), 2) FROM monthly JOIN per USING (month) WHERE per.cur3) AS mean_aov
+FROM head CROSS JOIN a CROSS JOIN b CROSS JOIN zc JOIN monthly m ON m.month = head.period LEFT JOIN leak ON leak.month = head.period"""

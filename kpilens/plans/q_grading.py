@@ -11,13 +11,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kpilens.config import DIMENSIONS
-from kpilens.operators import cube as C
-from kpilens.operators import explain as X
 from kpilens.operators import grading as K
-from kpilens.operators import metrics as E
 from kpilens.plans.q_explain import drivers_ctes
-from kpilens.plans.registry import kpi, periods, register
+from kpilens.plans.registry import kpi, register
+from kpilens.plans.report import frozen_truth
 from kpilens.plans.sql_base import rename, with_
 
 ORACLE: dict[str, str] = {}
@@ -55,26 +52,18 @@ ANSWER_EXPRS = [
 
 
 def _truth(spark, d) -> DataFrame:
-    k, p = kpi(spark, d), periods(spark, d)
-    last, prev, last3 = p["last_month"], p["previous_month"], p["last_3_months"]
-    m = k.monthly
+    """What the answers are graded against: one row of fields of the frozen truth document (with its rounding)."""
     cents = lambda c: F.round(F.col(c) * 100).cast("long")
-    inm = lambda ms: F.col("month").isin(*ms)
-    scal = m.agg(F.max(F.when(inm(last), cents("revenue"))).alias("rev_c"),
-                 F.sum(F.when(inm(prev), F.col("revenue"))).alias("_a"),
-                 F.sum(F.when(inm(last), F.col("revenue"))).alias("_b"),
-                 F.sum(F.when(inm(last3), F.col("revenue"))).alias("rev3"),
-                 F.sum(F.when(inm(last3), F.col("orders"))).alias("_o3"),
-                 F.avg(F.when(inm(last3), F.col("aov"))).alias("mean_aov3"))      # one pass over the months
-    scal = scal.select("rev_c", F.try_divide(F.col("_b") - F.col("_a"), F.col("_a")).alias("chg"), "rev3",
-                       F.try_divide(F.col("rev3"), F.col("_o3").cast("double")).alias("aov3"), "mean_aov3")
-    z = X.zscore_window(m, last, last[0]).select(F.col("unusual").alias("truth_unusual"))
-    fan = E.trap_fanout(k.star, last[0]).select(cents("revenue").alias("fan_c"))
-    item = E.trap_item_month(k.star, last[0]).select(cents("revenue").alias("item_c"))
-    drv = C.find_drivers(k.cube, prev, last, DIMENSIONS, ("revenue", "net_revenue")).select("dimension", "segment")
-    tol = drv.agg(F.array_sort(F.collect_set(F.struct("dimension", "segment"))).alias("tolerated"))
-    return (scal.crossJoin(z).crossJoin(fan).crossJoin(item).crossJoin(tol)
-               .select("*", F.lit(last[0]).alias("last_month"), F.array(*[F.lit(x) for x in last3]).alias("period3")))
+    wrong = "known_wrong_answers."
+    flagged = F.concat("last_month.drivers", "last_month.net_drivers")
+    pairs = F.transform(flagged, lambda x: F.struct(x["dimension"].alias("dimension"), x["segment"].alias("segment")))
+    return frozen_truth(spark, d).select(
+        cents("last_month.headline.revenue").alias("rev_c"), F.col("last_month.vs_previous_month.delta_pct").alias("chg"),
+        F.col("last_3_months.headline.revenue").alias("rev3"), F.col("last_3_months.headline.aov").alias("aov3"),
+        F.col(wrong + "aov_last_3_months_as_mean_of_monthly").alias("mean_aov3"), F.col("last_month.unusual").alias("truth_unusual"),
+        cents(wrong + "revenue_last_month_fanout").alias("fan_c"), cents(wrong + "revenue_last_month_by_item_month").alias("item_c"),
+        F.array_sort(F.array_distinct(pairs)).alias("tolerated"), F.col("defaults.last_month").alias("last_month"),
+        F.col("defaults.last_3_months").alias("period3"))
 
 
 def answers(spark, d) -> DataFrame:
@@ -276,10 +265,17 @@ def case_set(spark, d):
 
 
 # ---------------------------------------------------------------- K17-K23
-def fixture_outcomes(spark, d) -> DataFrame:
-    a = answers(spark, d)
-    return a.select("case_id", "run_index", "seq", F.col("fixture_passed").alias("passed"), "tags", "input_tokens",
-                    "output_tokens", "cost_usd", "latency_s", "error", "output")
+OUTCOME = ("case_id", "run_index", "seq", "passed", "tags", "input_tokens", "output_tokens", "cost_usd", "latency_s", "error", "output")
+
+
+def run_outcomes(spark, d) -> DataFrame:
+    """Every answer of every run with its graded verdict."""
+    return case_grade(graded(spark, d)).select(*OUTCOME)
+
+
+def baseline_outcomes(spark, d) -> DataFrame:
+    """A baseline run to compare with: the same answers as recorded by the fixture (FIXTURES.md), not graded."""
+    return answers(spark, d).withColumn("passed", F.col("fixture_passed")).select(*OUTCOME)
 
 
 @register("outcomes")
@@ -291,39 +287,37 @@ def outcomes(spark, d):
 @register("run_pass_rate")
 def run_pass_rate(spark, d):
     """Pass rate per run, mean and sample sd."""
-    return K.pass_rates(fixture_outcomes(spark, d))
+    return K.pass_rates(run_outcomes(spark, d))
 
 
 @register("run_costs")
 def run_costs(spark, d):
     """Cost, tokens and latency per task."""
-    return K.run_costs(fixture_outcomes(spark, d))
+    return K.run_costs(run_outcomes(spark, d))
 
 
 @register("flaky_cases")
 def flaky_cases(spark, d):
     """Cases with both outcomes."""
-    return K.flaky_cases(fixture_outcomes(spark, d))
+    return K.flaky_cases(run_outcomes(spark, d))
 
 
 @register("failure_clusters")
 def failure_clusters(spark, d):
     """Failed cases per tag."""
-    return K.failure_clusters(fixture_outcomes(spark, d))
+    return K.failure_clusters(run_outcomes(spark, d))
 
 
 @register("first_failures")
 def first_failures(spark, d):
     """First failing outcome per case, first 4 cases."""
-    return K.first_failures(fixture_outcomes(spark, d), 4)
+    return K.first_failures(run_outcomes(spark, d), 4)
 
 
 @register("compare_runs")
 def compare_runs(spark, d):
     """Graded outcomes against the fixture's outcomes as a baseline."""
-    g = case_grade(graded(spark, d)).select("case_id", "run_index", "seq", "passed", "tags", "input_tokens",
-                                            "output_tokens", "cost_usd", "latency_s", "error", "output")
-    return K.compare_runs(g, fixture_outcomes(spark, d))
+    return K.compare_runs(run_outcomes(spark, d), baseline_outcomes(spark, d))
 
 
 # ================================================================ oracle SQL (DuckDB)
@@ -396,7 +390,7 @@ zc AS (SELECT m.mom, zb.* FROM monthly m JOIN per USING (month) CROSS JOIN zb WH
 t AS (SELECT
   (SELECT month FROM per WHERE cur1) AS last_month,
   (SELECT CAST(ROUND(revenue * 100) AS BIGINT) FROM monthly JOIN per USING (month) WHERE cur1) AS rev_c,
-  (SELECT (tb.revenue - ta.revenue) / ta.revenue FROM ta CROSS JOIN tb) AS chg,
+  (SELECT ROUND((tb.revenue - ta.revenue) / ta.revenue, 4) FROM ta CROSS JOIN tb) AS chg,
   (SELECT COALESCE(history >= 6 AND (ABS((mom - hist_mean) / NULLIF(hist_sd, 0)) >= 2.0
                                       OR (hist_sd = 0 AND mom <> hist_mean)), false) FROM zc) AS truth_unusual,
   (SELECT CAST(ROUND(CAST(SUM(oi.sale_price) AS DOUBLE) * 100) AS BIGINT)
@@ -406,7 +400,7 @@ t AS (SELECT
     WHERE strftime(created_at, '%Y-%m') = (SELECT month FROM per WHERE cur1)) AS item_c,
   (SELECT SUM(revenue) FROM monthly JOIN per USING (month) WHERE cur3) AS rev3,
   (SELECT SUM(revenue) / SUM(orders) FROM monthly JOIN per USING (month) WHERE cur3) AS aov3,
-  (SELECT AVG(aov) FROM monthly JOIN per USING (month) WHERE cur3) AS mean_aov3,
+  (SELECT ROUND(AVG(aov), 2) FROM monthly JOIN per USING (month) WHERE cur3) AS mean_aov3,
   (SELECT list(month ORDER BY month) FROM per WHERE cur3) AS period3,
   (SELECT list(DISTINCT {'dimension': dimension, 'segment': segment})
      FROM (SELECT dimension, segment FROM drv UNION SELECT dimension, segment FROM drv_n) x) AS tolerated)"""
@@ -510,32 +504,32 @@ _CASE_SQL = f"""(error IS NULL AND COALESCE(CASE case_id
 
 ORACLE["outcomes"] = BASE + f"SELECT conv_id, turn, case_id, run_index, {_CASE_SQL} AS passed FROM g"
 
-_FIX = BASE.rstrip() + """,
-fxo AS (SELECT case_id, run_index, seq, fixture_passed AS passed, tags, input_tokens, output_tokens, cost_usd,
-              latency_s, error, output FROM ans)
+_RUN = BASE.rstrip() + f""",
+fxo AS (SELECT case_id, run_index, seq, {_CASE_SQL} AS passed, tags, input_tokens, output_tokens, cost_usd,
+              latency_s, error, output FROM g)
 """
-ORACLE["run_pass_rate"] = _FIX + """SELECT COUNT(*) AS n_runs, ROUND(AVG(rate), 6) AS mean_pass,
+ORACLE["run_pass_rate"] = _RUN + """SELECT COUNT(*) AS n_runs, ROUND(AVG(rate), 6) AS mean_pass,
   ROUND(COALESCE(STDDEV_SAMP(rate), 0.0), 6) AS stdev_pass
 FROM (SELECT run_index, AVG(CAST(passed AS INT)) AS rate FROM fxo GROUP BY 1) r"""
-ORACLE["run_costs"] = _FIX + """SELECT COUNT(*) AS outcomes, ROUND(AVG(cost_usd), 6) AS cost_per_task,
+ORACLE["run_costs"] = _RUN + """SELECT COUNT(*) AS outcomes, ROUND(AVG(cost_usd), 6) AS cost_per_task,
   ROUND(AVG(input_tokens + output_tokens), 6) AS tokens_per_task, ROUND(AVG(latency_s), 6) AS mean_latency FROM fxo"""
-ORACLE["flaky_cases"] = _FIX + "SELECT case_id FROM fxo GROUP BY case_id HAVING COUNT(DISTINCT passed) > 1"
-ORACLE["failure_clusters"] = _FIX + """,
+ORACLE["flaky_cases"] = _RUN + "SELECT case_id FROM fxo GROUP BY case_id HAVING COUNT(DISTINCT passed) > 1"
+ORACLE["failure_clusters"] = _RUN + """,
 pc AS (SELECT case_id, bool_and(passed) AS ok,
               arg_max(CASE WHEN error IS NOT NULL THEN list_append(tags, 'crash') ELSE tags END, (run_index, seq)) AS t
        FROM fxo GROUP BY case_id)
 SELECT tag, SUM(CASE WHEN NOT ok THEN 1 ELSE 0 END) AS failed_cases, COUNT(*) AS cases
 FROM (SELECT case_id, ok, UNNEST(CASE WHEN len(t) > 0 THEN t ELSE ['untagged'] END) AS tag FROM pc) x GROUP BY tag"""
-ORACLE["first_failures"] = _FIX + f"""SELECT case_id, run_index, seq,
+ORACLE["first_failures"] = _RUN + f"""SELECT case_id, run_index, seq,
   CASE WHEN error IS NOT NULL THEN 'RAISED: ' || error ELSE trim(regexp_replace(output, '{WS_RE2}+', ' ', 'g')) END AS shown
 FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY case_id ORDER BY run_index, seq) AS r FROM fxo WHERE NOT passed) f
 WHERE r = 1 ORDER BY run_index, seq LIMIT 4"""
-ORACLE["compare_runs"] = _FIX.rstrip() + f""",
-ga AS (SELECT run_index, cost_usd, {_CASE_SQL} AS passed FROM g),
+ORACLE["compare_runs"] = _RUN.rstrip() + """,
+ba AS (SELECT run_index, cost_usd, fixture_passed AS passed FROM ans),
 ra AS (SELECT AVG(rate) AS mp, COALESCE(STDDEV_SAMP(rate), 0.0) AS sd
-       FROM (SELECT run_index, AVG(CAST(passed AS INT)) AS rate FROM ga GROUP BY 1) x),
-rb AS (SELECT AVG(rate) AS mp FROM (SELECT run_index, AVG(CAST(passed AS INT)) AS rate FROM fxo GROUP BY 1) x),
-ca AS (SELECT AVG(cost_usd) AS c FROM ga), cb AS (SELECT AVG(cost_usd) AS c FROM fxo)
+       FROM (SELECT run_index, AVG(CAST(passed AS INT)) AS rate FROM fxo GROUP BY 1) x),
+rb AS (SELECT AVG(rate) AS mp FROM (SELECT run_index, AVG(CAST(passed AS INT)) AS rate FROM ba GROUP BY 1) x),
+ca AS (SELECT AVG(cost_usd) AS c FROM fxo), cb AS (SELECT AVG(cost_usd) AS c FROM ba)
 SELECT ROUND(ra.mp - rb.mp, 6) AS delta_pass, ROUND(CASE WHEN cb.c <> 0 THEN ca.c / cb.c END, 6) AS cost_ratio,
        cb.c = 0 AS cost_ratio_infinite, (ra.mp - rb.mp) <= ra.sd AS within_one_sd
 FROM ra CROSS JOIN rb CROSS JOIN ca CROSS JOIN cb"""

@@ -7,6 +7,8 @@ but the two item-level traps is read from the stored segment cube.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from kpilens.operators import explain as X
 from kpilens.operators import funnel as G
 from kpilens.operators import metrics as E
 from kpilens.plans.registry import kpi, periods
+from kpilens.session import ensure_checkpoint_dir
 
 
 def _driver_text(df: DataFrame, group: int, order_col: str, measure: str | None = None) -> DataFrame:
@@ -153,7 +156,30 @@ def truth_document(spark: SparkSession, sf_dir: str, planted: list | None = None
     return doc.select(F.lit(last[0]).alias("last_month"), F.to_json("doc").alias("truth_json"))
 
 
-TRUTH_SCHEMA = ("last_month string, truth_json string")
+_DRIVERS = ("array<struct<driver_rank: bigint, dimension: string, segment: string, measure: string, delta: double, "
+            "share_of_change: double, share_of_base: double, lift: double, is_new_segment: boolean>>")
+_TOP = ("array<struct<dimension: string, rank: bigint, segment: string, delta: double, share_of_change: double, "
+        "share_of_base: double, lift: double>>")
+_HEADLINE = ("headline: struct<months: array<string>, revenue: double, net_revenue: double, orders: bigint, items: bigint, "
+             "profit: double, aov: double, margin: double>")
+_CHANGE = ("struct<prev: array<string>, cur: array<string>, revenue_prev: double, revenue_cur: double, delta: double, "
+           "delta_pct: double, volume_effect: double, aov_effect: double, volume_share: double, aov_share: double>")
+#: The truth document's fields, so that reading it back needs no inference pass.
+TRUTH_SCHEMA = (
+    "_meta struct<today: string, thresholds: struct<unusual_z: double, zscore_lookback: bigint, driver_min_share: double, "
+    "driver_min_lift_gap: double, min_total_change: double>>, planted array<string>, "
+    "defaults struct<last_month: string, previous_month: string, last_3_months: array<string>, previous_3_months: array<string>>, "
+    "monthly array<struct<month: string, revenue: double, net_revenue: double, orders: bigint, items: bigint, aov: double, "
+    "margin: double, mom: double, cancelled_share: double, returned_share: double>>, "
+    f"last_month struct<period: string, {_HEADLINE}, vs_previous_month: {_CHANGE}, zscore: double, unusual: boolean, "
+    f"drivers: {_DRIVERS}, net_drivers: {_DRIVERS}, contribution_top5: {_TOP}, leakage: struct<cancelled: double, returned: double>, "
+    "leakage_by_dist_center: array<struct<segment: string, revenue: double, cancelled: double, returned: double>>, "
+    "funnel_by_session_source: array<struct<segment: string, sessions: bigint, purchase_rate: double>>>, "
+    f"last_3_months struct<period: array<string>, {_HEADLINE}, vs_previous_3_months: {_CHANGE}, "
+    "zscore_by_month: array<struct<month: string, zscore: double>>, unusual_months: array<string>, "
+    f"drivers: {_DRIVERS}, net_drivers: {_DRIVERS}, contribution_top5: {_TOP}>, "
+    "known_wrong_answers struct<revenue_last_month_by_item_month: double, revenue_last_month_net_instead_of_gross: double, "
+    "revenue_last_month_fanout: double, aov_last_3_months_as_mean_of_monthly: double>")
 
 
 def read_truth_document(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
@@ -167,3 +193,17 @@ def write_truth_document(doc: DataFrame, path: str) -> None:
     """The document column as text files, one JSON document per line (coalesced to
     one file: the document is one row)."""
     doc.select("truth_json").coalesce(1).write.mode("overwrite").text(path)
+
+
+_FROZEN: dict[tuple[str, str], str] = {}
+
+
+def frozen_truth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The directory's truth document as a source: computed and written once per application (shared folder),
+    read back with its schema. Whoever grades answers reads this, and computes nothing anew."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    if key not in _FROZEN:
+        path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpilens-truth-{uuid.uuid4().hex}"
+        write_truth_document(truth_document(spark, sf_dir), path)
+        _FROZEN[key] = path
+    return read_truth_document(spark, _FROZEN[key], TRUTH_SCHEMA)

@@ -59,3 +59,22 @@ def test_truth_document_round_trip(spark):
     assert back.select("last_month.period").collect()[0][0] == "2001-07"
     assert t["known_wrong_answers"]["revenue_last_month_fanout"] == pytest.approx(210486770.38)
     assert t["last_month"]["headline"]["orders"] == 204
+
+
+def test_frozen_truth_loses_no_field(spark):
+    """Read back with the explicit schema, the document says what was written, field by field."""
+    from pyspark.sql import functions as F
+
+    from kpilens.plans.report import frozen_truth
+    written = json.loads(truth_document(spark, SF).first().truth_json)
+    back = frozen_truth(spark, SF)
+    read = json.loads(back.select(F.to_json(F.struct(*back.columns))).first()[0])
+    assert read == written
+    assert frozen_truth(spark, SF).inputFiles() == back.inputFiles()          # computed once
+
+
+def test_graders_read_the_frozen_truth(spark):
+    """No grading query computes the truth anew: its plan scans the document and the answers only."""
+    from kpilens.plans.registry import queries
+    files = queries()["outcomes"](spark, SF).inputFiles()
+    assert files and all("kpilens-truth-" in f or f.endswith("conversations.parquet") for f in files)
