@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 
 from kpilens.config import FIXTURE_TODAY
 from kpilens.operators import profile as H
+from kpilens.operators.stamps import LONGEST, order_stamps
 from kpilens.plans.registry import kpi, register
 from kpilens.plans.sql_base import TODAY, with_
+from kpilens.sources.tables import SCHEMAS
 
 ORACLE: dict[str, str] = {}
 
@@ -81,30 +83,29 @@ ORACLE["referential_integrity"] = with_("o", "oi", "p", "u", "dc", "sess") + "\n
     _ri("orders with zero items", "o", "order_id", "oi", "order_id"),
     _ri("users with zero orders", "u", "id", "o", "user_id")])
 
-NULL_TABLES = {
-    "orders": ("order_id", "user_id", "status", "created_at", "total_price"),
-    "order_items": ("order_id", "line_number", "product_id", "supplier_id", "sale_price", "quantity", "created_at"),
-    "products": ("id", "cost", "category", "brand", "department", "name", "retail_price"),
-    "users": ("id", "name", "country", "traffic_source", "acctbal"),
-    "sessions": ("session_id", "user_id", "traffic_source", "browser", "started_at", "n_events"),
+#: Tables derived from the stored ones, with their SQL names; their columns are profiled besides all stored columns.
+NULL_DERIVED = {
+    "products": ("p", ("id", "cost", "category", "brand", "department", "name", "retail_price")),
+    "users": ("u", ("id", "name", "country", "traffic_source", "acctbal")),
+    "sessions": ("sess", ("session_id", "user_id", "traffic_source", "browser", "started_at", "n_events")),
+    "order_stamps": ("st", ("order_id", "status", "created_at", "shipped_at", "delivered_at", "returned_at")),
 }
 
 
 @register("null_profile")
 def null_profile(spark, d):
-    """H3: null count and % per column (only columns that have any)."""
+    """H3: null count and % of every column of every table, where there are any: one aggregate a table."""
     k = kpi(spark, d)
-    s = k.star
-    src = {"orders": s.orders, "order_items": s.order_items, "products": s.products, "users": s.users,
-           "sessions": k.sessions}
-    return H.null_profile({t: src[t].select(*cols) for t, cols in NULL_TABLES.items()})
+    derived = {"products": k.star.products, "users": k.star.users, "sessions": k.sessions, "order_stamps": order_stamps(k.star)}
+    return H.null_profile(k.star.raw | {t: derived[t].select(*cols) for t, (_, cols) in NULL_DERIVED.items()})
 
 
-_NULL_SRC = {"orders": "o", "order_items": "oi", "products": "p", "users": "u", "sessions": "sess"}
-ORACLE["null_profile"] = with_("o", "oi", "p", "u", "sess") + "SELECT * FROM (\n" + "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS nulls, "
-    f"ROUND(100.0 * (COUNT(*) - COUNT({c})) / COUNT(*), 6) AS pct FROM {_NULL_SRC[t]}"
-    for t, cols in NULL_TABLES.items() for c in cols) + "\n) t WHERE nulls > 0"
+def _null_oracle() -> str:
+    cols = [(t, t, f.name) for t, schema in SCHEMAS.items() for f in schema.fields]
+    cols += [(t, src, c) for t, (src, names) in NULL_DERIVED.items() for c in names]
+    return with_("o", "oi", "p", "u", "sess", extra=STAMPS_CTE) + "SELECT * FROM (\n" + "\nUNION ALL\n".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, COUNT(*) - COUNT({c}) AS nulls, "
+        f"ROUND(100.0 * (COUNT(*) - COUNT({c})) / COUNT(*), 6) AS pct FROM {src}" for t, src, c in cols) + "\n) t WHERE nulls > 0"
 
 
 @register("department_list")
@@ -352,15 +353,21 @@ SELECT ROUND(100 * AVG(CASE WHEN ROUND(o.total_price, 2) = CAST(t.s AS DOUBLE) T
        ROUND(AVG(t.n), 6) AS mean_items_per_order, MAX(t.n) AS max_items_per_order
 FROM o LEFT JOIN (SELECT order_id, COUNT(*) AS n, SUM(sale_price) AS s FROM oi GROUP BY 1) t ON t.order_id = o.order_id"""
 
-STAMPS_CTE = """st AS (SELECT o.*, f.shipped_at, CAST(NULL AS TIMESTAMP) AS delivered_at, CAST(NULL AS TIMESTAMP) AS returned_at
-       FROM o LEFT JOIN (SELECT order_id, MIN(created_at) AS shipped_at FROM oi GROUP BY 1) f
-       ON f.order_id = o.order_id)"""
+def later_sql(since: str, step: str, key: str = "order_id") -> str:
+    drawn = f"CAST('0x' || substr(md5('{step}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
+    return f"{since} + to_seconds({drawn} % {LONGEST[step] * 86_400 + 1})"
+
+
+STAMPS_CTE = f"""st0 AS (SELECT o.*, f.shipped_at FROM o LEFT JOIN (SELECT order_id, MIN(created_at) AS shipped_at FROM oi GROUP BY 1) f
+         ON f.order_id = o.order_id),
+st1 AS (SELECT *, CASE WHEN status IN ('Complete', 'Returned') THEN {later_sql('shipped_at', 'delivered')} END AS delivered_at FROM st0),
+st AS (SELECT *, CASE WHEN status = 'Returned' THEN {later_sql('delivered_at', 'returned')} END AS returned_at FROM st1)"""
 
 
 @register("status_consistency")
 def status_consistency(spark, d):
     """Six status / timestamp rules."""
-    return H.status_consistency(H.order_stamps(_star(spark, d)))
+    return H.status_consistency(order_stamps(_star(spark, d)))
 
 
 ORACLE["status_consistency"] = with_("o", "oi", extra=STAMPS_CTE) + "\nUNION ALL\n".join(
@@ -376,21 +383,24 @@ ORACLE["status_consistency"] = with_("o", "oi", extra=STAMPS_CTE) + "\nUNION ALL
 
 @register("gap_profile")
 def gap_profile(spark, d):
-    """Created -> shipped gap in days."""
-    return H.gap_profile(_star(spark, d))
+    """Created -> shipped -> delivered -> returned gaps in days."""
+    return H.gap_profile(_star(spark, d), order_stamps(_star(spark, d)))
 
 
-ORACLE["gap_profile"] = with_("o", "oi") + """
-SELECT 'created -> shipped' AS gap, SUM(CASE WHEN days < 0 THEN 1 ELSE 0 END) AS negative, ROUND(MAX(days), 6) AS max_days,
+ORACLE["gap_profile"] = with_("o", "oi", extra=STAMPS_CTE) + """
+SELECT gap, SUM(CASE WHEN days < 0 THEN 1 ELSE 0 END) AS negative, ROUND(MAX(days), 6) AS max_days,
        ROUND(quantile_cont(days, 0.5), 6) AS median_days, ROUND(quantile_cont(days, 0.95), 6) AS p95_days
-FROM (SELECT (epoch_us(oi.created_at) - epoch_us(o.created_at)) / 86400e6 AS days
-      FROM oi JOIN o ON o.order_id = oi.order_id) t"""
+FROM (SELECT 'created -> shipped' AS gap, (epoch_us(oi.created_at) - epoch_us(o.created_at)) / 86400e6 AS days
+      FROM oi JOIN o ON o.order_id = oi.order_id
+      UNION ALL SELECT 'shipped -> delivered', (epoch_us(delivered_at) - epoch_us(shipped_at)) / 86400e6 FROM st
+      UNION ALL SELECT 'delivered -> returned', (epoch_us(returned_at) - epoch_us(delivered_at)) / 86400e6 FROM st) t
+WHERE days IS NOT NULL GROUP BY gap"""
 
 
 @register("after_cutoff")
 def after_cutoff(spark, d):
     """Stamps at or after the cutoff."""
-    return H.after_cutoff(H.order_stamps(_star(spark, d)), FIXTURE_TODAY)
+    return H.after_cutoff(order_stamps(_star(spark, d)), FIXTURE_TODAY)
 
 
 ORACLE["after_cutoff"] = with_("o", "oi", extra=STAMPS_CTE) + f"""
@@ -402,25 +412,34 @@ FROM st"""
 
 @register("item_order_agreement")
 def item_order_agreement(spark, d):
-    """Item stamps against their order's."""
-    return H.item_order_agreement(_star(spark, d))
+    """Item status and stamps against their order's (the stored status letters; the order's ship time is
+    its first item's)."""
+    star = _star(spark, d)
+    letters = star.raw["orders"].select(F.col("o_orderkey").alias("order_id"), F.col("o_orderstatus").alias("status"))
+    orders = order_stamps(star).drop("status").join(letters, "order_id")
+    return H.item_order_agreement(star.order_items.withColumn("status", F.col("line_status")), orders)
 
 
-ORACLE["item_order_agreement"] = with_("o", "oi") + """
-SELECT ROUND(100 * AVG(CASE WHEN oi.created_at = o.created_at THEN 1 ELSE 0 END), 6) AS pct_created_equal,
-       ROUND(100 * AVG(CASE WHEN strftime(oi.created_at, '%Y-%m') = strftime(o.created_at, '%Y-%m') THEN 1 ELSE 0 END), 6)
-           AS pct_same_month
-FROM oi JOIN o ON o.order_id = oi.order_id"""
+ORACLE["item_order_agreement"] = with_("o", "oi", extra=STAMPS_CTE) + """
+SELECT ROUND(100 * AVG(CASE WHEN oi.line_status = r.o_orderstatus THEN 1 ELSE 0 END), 6) AS pct_status_equal,
+       ROUND(100 * AVG(CASE WHEN oi.created_at = st.created_at THEN 1 ELSE 0 END), 6) AS pct_created_equal,
+       ROUND(100 * AVG(CASE WHEN strftime(oi.created_at, '%Y-%m') = strftime(st.created_at, '%Y-%m') THEN 1 ELSE 0 END), 6)
+           AS pct_same_month,
+       ROUND(100 * AVG(CASE WHEN oi.created_at IS NOT DISTINCT FROM st.shipped_at THEN 1 ELSE 0 END), 6) AS pct_shipped_equal
+FROM oi JOIN st ON st.order_id = oi.order_id JOIN orders r ON r.o_orderkey = oi.order_id"""
 
 
 @register("inventory_counts")
 def inventory_counts(spark, d):
-    """Products and products referenced by items."""
+    """Products, those sold, and those referenced by items."""
     return H.inventory_counts(_star(spark, d))
 
 
-ORACLE["inventory_counts"] = with_("oi", "p") + """
-SELECT (SELECT COUNT(*) FROM p) AS products, (SELECT COUNT(DISTINCT product_id) FROM oi) AS referenced"""
+ORACLE["inventory_counts"] = with_("o", "oi", "p") + """
+SELECT (SELECT COUNT(*) FROM p) AS products,
+       (SELECT COUNT(DISTINCT product_id) FROM oi JOIN o ON o.order_id = oi.order_id
+         WHERE COALESCE(o.status NOT IN ('Cancelled', 'Returned'), true)) AS sold,
+       (SELECT COUNT(DISTINCT product_id) FROM oi) AS referenced"""
 
 
 @register("cost_agreement")
@@ -492,3 +511,6 @@ def centre_list(spark, d):
 
 
 ORACLE["centre_list"] = with_("dc") + "SELECT name, region, COUNT(*) AS suppliers FROM dc GROUP BY 1, 2"
+
+
+ORACLE["null_profile"] = _null_oracle()

@@ -360,18 +360,3 @@ SELECT g.month, g.segment, ROUND(g.returned, 6) AS returned, ROUND(o.others_max,
 FROM g JOIN pl ON pl.segment = g.segment
 LEFT JOIN (SELECT g2.month, MAX(g2.returned) AS others_max FROM g g2 WHERE g2.segment NOT IN (SELECT segment FROM pl)
            GROUP BY 1) o ON o.month = g.month"""
-
-
-# ---------------------------------------------------------------- J8 (control)
-@register("what_if_control")
-def what_if_control(spark, d):
-    """An edited copy with no edit gives identical monthly totals."""
-    k = kpi(spark, d)
-    ctrl = KPI(spark, d, star=J.EditedStar(k.star))
-    a = I.long_form(k.monthly, ["month"], list(MEASURES4), "base")
-    b = I.long_form(ctrl.monthly, ["month"], list(MEASURES4), "scenario")
-    return a.join(b, ["month", "measure"], "full").withColumn("ok", I.close(F.col("base"), F.col("scenario")))
-
-
-ORACLE["what_if_control"] = with_("monthly", extra=f"bl AS ({_long('monthly', MEASURES4, 'base')})") + """
-SELECT month, measure, ROUND(base, 6) AS base, ROUND(base, 6) AS scenario, true AS ok FROM bl"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from kpilens.operators import whatif as J
+from kpilens.operators.stamps import flipped_items, flipped_orders
+from kpilens.plans.q_profile import STAMPS_CTE, later_sql
 from kpilens.plans.registry import kpi, periods, register
 from kpilens.plans.sql_base import ts, with_
 
@@ -99,6 +101,43 @@ SELECT (SELECT COUNT(*) FROM picked) AS orders,
            AS revenue_moved_out_of_net"""
 
 
+def _flip_picks(spark, d):
+    return J.sample_exact(_candidates(spark, d), "order_id", FLIP_RATE, by=["month"])
+
+
+@register("what_if_flip_orders")
+def what_if_flip_orders(spark, d):
+    """The edited orders table: the picked ones Returned, every stamp they lacked filled along a monotone chain."""
+    return flipped_orders(kpi(spark, d).star, _flip_picks(spark, d)).select(
+        "order_id", "user_id", "status", "created_at", "shipped_at", "delivered_at", "returned_at", "edited")
+
+
+@register("what_if_flip_items")
+def what_if_flip_items(spark, d):
+    """The edited items table: status and later stamps follow the order's."""
+    star = kpi(spark, d).star
+    return flipped_items(star, flipped_orders(star, _flip_picks(spark, d))).select(
+        "order_id", "line_number", "product_id", "sale_price", "status", "shipped_at", "delivered_at", "returned_at", "edited")
+
+
+FLIPPED_SQL = SAMPLE_SQL + ",\n" + STAMPS_CTE + f""",
+fl0 AS (SELECT st.*, st.order_id IN (SELECT order_id FROM picked) AS edited FROM st),
+fl1 AS (SELECT * REPLACE (CASE WHEN edited THEN COALESCE(shipped_at, {later_sql('created_at', 'shipped')}) ELSE shipped_at END AS shipped_at)
+        FROM fl0),
+fl2 AS (SELECT * REPLACE (CASE WHEN edited THEN COALESCE(delivered_at, {later_sql('shipped_at', 'delivered')}) ELSE delivered_at END
+                          AS delivered_at) FROM fl1),
+fl AS (SELECT * REPLACE (CASE WHEN edited THEN COALESCE(returned_at, {later_sql('delivered_at', 'returned')}) ELSE returned_at END
+                         AS returned_at, CASE WHEN edited THEN 'Returned' ELSE status END AS status) FROM fl2)"""
+
+ORACLE["what_if_flip_orders"] = with_("fact", "per", extra=FLIPPED_SQL) + f"""
+SELECT order_id, user_id, status, {ts('created_at')} AS created_at, {ts('shipped_at')} AS shipped_at,
+       {ts('delivered_at')} AS delivered_at, {ts('returned_at')} AS returned_at, edited FROM fl"""
+ORACLE["what_if_flip_items"] = with_("fact", "per", extra=FLIPPED_SQL) + f"""
+SELECT oi.order_id, oi.line_number, oi.product_id, ROUND(CAST(oi.sale_price AS DOUBLE), 6) AS sale_price, fl.status,
+       {ts('oi.created_at')} AS shipped_at, {ts('fl.delivered_at')} AS delivered_at, {ts('fl.returned_at')} AS returned_at, fl.edited
+FROM oi LEFT JOIN fl ON fl.order_id = oi.order_id"""
+
+
 @register("what_if_drop")
 def what_if_drop(spark, d):
     """Last month's orders of one source removed with their items."""

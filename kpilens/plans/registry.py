@@ -66,7 +66,7 @@ def periods(spark: SparkSession, sf_dir: str) -> dict[str, list[str]]:
 
 def queries() -> dict[str, Query]:
     # importing the query modules fills REGISTRY
-    from kpilens.plans import q_core, q_explain, q_funnel, q_profile, q_reconcile, q_snapshot, q_whatif, q_grading  # noqa: F401
+    from kpilens.plans import q_constraints, q_core, q_explain, q_funnel, q_profile, q_reconcile, q_snapshot, q_whatif, q_grading  # noqa: F401
     return dict(REGISTRY)
 
 
