@@ -14,7 +14,8 @@ block at the edge document by document (the first one that would pass the budget
 
 Edge cases: a null source is a source of its own; a source without any token is read once; null
 and empty texts have 0 tokens and follow their block; repeated rows are emitted each; an empty
-table gives an empty result; a column of the input with a clashing name is not touched.
+table gives an empty result; input columns of any name come back as they were (inside, they have names of their
+own); if one is called `mix`, the plan's struct is called `mix_` (and so on until the name is free).
 """
 
 from __future__ import annotations
@@ -106,7 +107,12 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         block_tokens: int = 1 << 18) -> DataFrame:
     """Rows of `docs` as often as their source's budget reads them, plus `mix`, a struct of
     (n_tokens, weight, epoch, block_rank, order_key): sort by these three to read the mixture."""
-    d = docs.withColumn("__n", word_count(F.col(text_col)))
+    given = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
+    plan_col = "mix"
+    while plan_col in given:
+        plan_col += "_"
+    id_col, text_col, source_col = given[id_col], given[text_col], given[source_col]
+    d = docs.toDF(*given.values()).withColumn("__n", word_count(F.col(text_col)))
     light = stored(d.select(F.col(source_col).alias("source"), F.col(id_col).alias("id"), F.col("__n").alias("n_tokens")), "tokens")
     totals = source_totals(light)
     exponent = temperature(totals, target_entropy, max_repeat, budget)
@@ -146,7 +152,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     out = out.withColumn("__key", _hash(F.lit(SEED), F.col("epoch"), F.col(id_col)))
     rows = out.where(F.col("__key") <= F.col("limit"))
     mixed = F.struct(F.col("__n").alias("n_tokens"), F.col("weight"), F.col("epoch"), F.col("block_rank"), F.col("__key").alias("order_key"))
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns if c != "mix"], mixed.alias("mix"))
+    return rows.select(*[F.col(inner).alias(c) for c, inner in given.items()], mixed.alias(plan_col))
 
 
 def _same_source(rows: DataFrame, plan: DataFrame) -> DataFrame:

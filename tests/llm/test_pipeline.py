@@ -13,7 +13,7 @@ from tests.llm.test_operators import WORD, brute_components, brute_lines, brute_
 
 def test_every_operator_is_registered():
     names = set(se.queries())
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_stages_against_brute_force(spark):
@@ -63,3 +63,23 @@ def test_pipeline_on_an_empty_table_and_extra_columns(spark):
         docs = stored(stage(spark, docs, SF_SMALL), "test")
         assert docs.count() == 0 and docs.columns[-2:] == ["kept", "mix"]
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF_SMALL).count() == 0
+
+
+#: Names the stages use themselves, as columns of the documents.
+TAKEN = ["weight", "epoch", "limit", "block_rank", "mix", "mix_", "room", "edge", "block", "full", "rest", "blocks", "n_tokens", "id", "k", "keep",
+         "n_lines", "n_removed", "component_id", "n_words", "base_failed", "quality", "a.b"]
+
+
+def test_pipeline_with_columns_of_taken_names(spark):
+    docs = table(spark, SF_SMALL, "documents").where("doc_id < 120")
+    extra = docs.select("*", *[F.concat(F.lit(c + ":"), F.col("doc_id").cast("string")).alias(c) for c in TAKEN])
+    rows = {}
+    for name, frame in (("plain", docs), ("extra", extra)):
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            frame = stored(stage(spark, frame, SF_SMALL), "test")
+            if name == "extra":
+                assert frame.columns == extra.columns
+                assert frame.where(" or ".join(f"`{c}` is distinct from concat('{c}:', doc_id)" for c in TAKEN)).count() == 0
+        rows[name] = sorted(map(tuple, frame.select(*docs.columns).collect()), key=repr)
+        rows[name, "packed"] = corpus_pipeline.STAGES[-1][1](spark, frame, SF_SMALL).count()
+    assert rows["plain"] == rows["extra"] and rows["plain", "packed"] == rows["extra", "packed"]
