@@ -7,7 +7,8 @@ With BENCH_MATERIALIZE=1 (default) the item fact is first built once from the so
 tables and written partitioned by month (`KPI.materialize`, the way a KPI service at
 scale serves many questions from one snapshot); that build is timed as its own entry
 (`materialize_fact`) and is part of the total. BENCH_MATERIALIZE=0 builds the fact
-from the source tables inside every query.
+from the source tables inside every query. The segment cube is built and timed the same way
+(`segment_cube`); the frozen truth the graders read is what `truth_document` times.
 """
 
 from __future__ import annotations
@@ -54,6 +55,11 @@ def main() -> None:
         t0 = time.perf_counter()
         kpi(spark, sf_dir).materialize()
         times["materialize_fact"] = round(time.perf_counter() - t0, 3)
+    t0 = time.perf_counter()
+    kpi(spark, sf_dir).__dict__.pop("cube", None)
+    kpi(spark, sf_dir).cube.count()        # built anew: what the monthly series, drivers and reports read
+    times["segment_cube"] = round(time.perf_counter() - t0, 3)
+    kpi(spark, sf_dir).__dict__.pop("monthly", None)
     times.update({n: round(run(n), 3) for n in names})
     sf = Path(sf_dir).name.replace("sf", "")
     print(json.dumps({"metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec",

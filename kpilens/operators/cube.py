@@ -6,7 +6,7 @@ orders are counted once each, by an aggregate over (month, status, order), and s
 one month and one status. Sums are DECIMAL, so everything read from the cube equals what the fact gives.
 
 A cube is as long as months x segments x statuses, whatever the fact's size. It is mergeable (`merge`), single
-months can be replaced (`replace_months`), and it is stored partitioned by month, so period filters prune.
+months can be replaced (`replace_months`), and it is stored sorted by month, so period filters skip what they do not need.
 Contributions, drivers, leakage and the monthly series are all read from it; the readers return the same
 columns as their counterparts over the fact (`explain`, `funnel`, `metrics`), which remain as the second path.
 """
@@ -55,11 +55,14 @@ def replace_months(cube: DataFrame, fact: DataFrame, months: list[str]) -> DataF
 
 
 def store(cube: DataFrame, path: str | None = None) -> DataFrame:
-    """Write a cube partitioned by month (default: under the cluster's shared checkpoint folder), read it back."""
+    """Write a cube sorted by month (default: under the cluster's shared checkpoint folder), read it back. Range
+    partitions make few files, and month filters skip row groups by their statistics; a folder a month would be
+    hundreds of tiny files, each opened by every reader of the whole series."""
     spark = cube.sparkSession
     path = path or f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpilens-cube-{uuid.uuid4().hex}"
-    cube.repartitionByRange("month").write.mode("overwrite").partitionBy("month").parquet(path)
-    return spark.read.schema(cube.schema).parquet(path).select(*cube.columns)
+    (cube.repartitionByRange("month", "dimension", "segment").sortWithinPartitions("month", "dimension", "segment")
+         .write.mode("overwrite").parquet(path))
+    return spark.read.schema(cube.schema).parquet(path)
 
 
 # ---------------------------------------------------------------- readers
