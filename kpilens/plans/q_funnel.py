@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from kpilens.operators import cube as C
 from kpilens.operators import funnel as G
 from kpilens.plans.registry import kpi, periods, register
 from kpilens.plans.sql_base import TODAY_MONTH, ts, with_
+from kpilens.session import ensure_checkpoint_dir
+from kpilens.streaming.exact_sessions import sessionize_exact
+from kpilens.streaming.sessions import read_events_stream, start_sessions_sink
 
 ORACLE: dict[str, str] = {}
 
@@ -26,6 +31,27 @@ SELECT session_id, user_id, traffic_source, browser, {ts('started_at')} AS start
        added_to_cart, purchased, period FROM sess"""
 
 
+@register("sessions_stream_exact")
+def sessions_stream_exact(spark, d):
+    """B7 as a stream: the events replayed with the batch rule (gap > 6 h); the sessions the watermark has closed."""
+    out = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpilens-sessions-{uuid.uuid4().hex}"
+    stream = read_events_stream(spark, f"{d.rstrip('/')}/events.parquet")
+    start_sessions_sink(sessionize_exact(stream), out).awaitTermination()
+    return spark.read.parquet(out)
+
+
+ORACLE["sessions_stream_exact"] = with_("evs", extra="""
+runs AS (SELECT user_id, session_no, arg_min(CAST(json_extract_string(props, '$.k') AS BIGINT), (ts, event_id)) AS k,
+                MIN(ts) AS started_at, MAX(ts) AS last_at, COUNT(*) AS n_events, bool_or(event_type = 'view') AS saw_product,
+                bool_or(event_type = 'click') AS added_to_cart, bool_or(event_type = 'purchase') AS purchased
+         FROM evs WHERE ts IS NOT NULL GROUP BY 1, 2)""") + f"""
+SELECT user_id AS raw_user_id, CASE WHEN user_id % 10 <> 0 THEN user_id END AS user_id, 'S' || CAST(k % 5 AS VARCHAR) AS traffic_source,
+       'B' || CAST(k % 4 AS VARCHAR) AS browser, {ts('started_at')} AS started_at, n_events, saw_product, added_to_cart, purchased,
+       strftime(date_trunc('week', started_at), '%Y-%m-%d') AS period
+FROM runs WHERE epoch_us(last_at) + CAST(21600000000 AS BIGINT)
+              < (SELECT (epoch_us(MAX(ts)) // 1000 - 86400000) * 1000 FROM events)"""
+
+
 def _rates(where: str, key: str) -> str:
     return f"""SELECT {key} AS segment, COUNT(*) AS sessions,
        ROUND(AVG(CAST(added_to_cart AS INT)), 6) AS cart_rate, ROUND(AVG(CAST(purchased AS INT)), 6) AS purchase_rate
