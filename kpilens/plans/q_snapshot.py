@@ -14,6 +14,10 @@ from kpilens.sources import snapshot as S
 from kpilens.sources.tables import SCHEMAS
 
 ORACLE: dict[str, str] = {}
+#: Fixture mapping for B3 / B4: the events' first day is read as 1995-01-01, where the orders begin, and the cut is made early
+#: enough that neither branch holds every row.
+OPENING_CUTOFF = "1995-01-03"
+OPENING_SHIFT_DAYS = 10592
 REQUIRED_EVENT_TYPES = ["view", "click", "purchase"]
 
 
@@ -141,6 +145,34 @@ WHERE id IN (SELECT product_id FROM oi WHERE order_id IN
              (SELECT order_id FROM o WHERE created_at < TIMESTAMP '{TODAY} 00:00:00'))"""
 
 
+@register("snapshot_users_opening")
+def snapshot_users_opening(spark, d):
+    """Users first seen before an early cutoff or owning an order from before it (existence join)."""
+    u = S.opening_users(kpi(spark, d).star, OPENING_CUTOFF, OPENING_SHIFT_DAYS)
+    return u.select("id", "name", "country", "traffic_source", "created_at")
+
+
+ORACLE["snapshot_users_opening"] = with_("o", "u", extra=f"""
+seen AS (SELECT user_id, MIN(ts) - INTERVAL {OPENING_SHIFT_DAYS} DAY AS created_at FROM events GROUP BY 1)""") + f"""
+SELECT id, name, country, traffic_source, {ts('created_at')} AS created_at FROM u LEFT JOIN seen ON user_id = id
+WHERE created_at < TIMESTAMP '{OPENING_CUTOFF} 00:00:00'
+   OR id IN (SELECT user_id FROM o WHERE created_at < TIMESTAMP '{OPENING_CUTOFF} 00:00:00')"""
+
+
+@register("snapshot_inventory_opening")
+def snapshot_inventory_opening(spark, d):
+    """Products first stamped before an early cutoff or referenced by an item of an order from before it."""
+    return S.opening_inventory(kpi(spark, d).star, OPENING_CUTOFF).select("id", "category", "brand", "department", "created_at")
+
+
+ORACLE["snapshot_inventory_opening"] = with_("o", "oi", "p", extra=f"""
+stamped AS (SELECT product_id, MIN(created_at) AS created_at FROM oi GROUP BY 1)""") + f"""
+SELECT id, category, brand, department, {ts('created_at')} AS created_at FROM p LEFT JOIN stamped ON product_id = id
+WHERE created_at < TIMESTAMP '{OPENING_CUTOFF} 00:00:00'
+   OR id IN (SELECT product_id FROM oi WHERE order_id IN
+             (SELECT order_id FROM o WHERE o.created_at < TIMESTAMP '{OPENING_CUTOFF} 00:00:00'))"""
+
+
 @register("required_values_check")
 def required_values_check(spark, d):
     """The event types the funnel flags need are present."""

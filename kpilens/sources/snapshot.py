@@ -173,6 +173,39 @@ def snapshot_products(star: Star, cutoff: str) -> DataFrame:
     return star.products.join(used, "id", "left_semi")
 
 
+def users_with_time(star: Star, shift_days: int) -> DataFrame:
+    """Users with the time they were first seen: their first event, `shift_days` days earlier (the events start long
+    after the orders); NULL without events. One row per user, from a partial aggregate."""
+    first = star.events.groupBy(F.col("user_id").alias("id")).agg(F.min("ts").alias("_first"))
+    when = F.col("_first") - F.make_dt_interval(F.lit(shift_days))
+    return star.users.drop("created_at").join(first, "id", "left").withColumn("created_at", when).drop("_first")
+
+
+def products_with_time(star: Star) -> DataFrame:
+    """Products with the time their first item was stamped (they stand for inventory); NULL if none was."""
+    first = star.order_items.groupBy(F.col("product_id").alias("id")).agg(F.min("created_at").alias("created_at"))
+    return star.products.join(first, "id", "left")
+
+
+def created_or_referenced(entity: DataFrame, cutoff: str, refs: DataFrame, key: str = "id") -> DataFrame:
+    """`created_at < cutoff OR key IN (refs)`. A row of either kind stays once, however often it is referenced; a NULL
+    time or key fails its own branch only. Planned as an existence join; `refs` is its single column."""
+    ref = refs.columns[0]
+    held = refs.select(F.col(ref).alias("_ref"))
+    found = held.where(F.col("_ref") == F.col(key).outer()).exists()
+    return entity.where(before("created_at", cutoff) | found)
+
+
+def opening_users(star: Star, cutoff: str, shift_days: int) -> DataFrame:
+    """B3 with both branches: users first seen before the cutoff, or owning an order created before it."""
+    return created_or_referenced(users_with_time(star, shift_days), cutoff, snapshot_orders(star, cutoff).select("user_id"))
+
+
+def opening_inventory(star: Star, cutoff: str) -> DataFrame:
+    """B4 with both branches: products first stamped before the cutoff, or referenced by an item of a kept order."""
+    return created_or_referenced(products_with_time(star), cutoff, snapshot_items(star, cutoff).select("product_id"))
+
+
 # ---------------------------------------------------------------- B5 / B6 / B8
 def required_values(df: DataFrame, column: str, required: list[str], spark: SparkSession) -> DataFrame:
     """Is every required value present? One row per required value with its count."""

@@ -1,6 +1,7 @@
 """What is published is what is verified; a changed row, table or column shows."""
 
 import uuid
+from datetime import datetime
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -69,3 +70,29 @@ def test_empty_table(spark, tables):
     path = S.publish_snapshot({"labels": tables["labels"].limit(0)}, new_path(spark))
     got = S.verify_snapshot(S.read_manifest(spark, path), S.read_snapshot(spark, path, {"labels": SCHEMAS["labels"]})).first()
     assert (got.manifest_rows, got.loaded_rows, got.ok) == (0, 0, True)
+
+
+def test_created_or_referenced_takes_both_branches_and_nulls(spark):
+    rows = [(1, "2000-01-01 00:00:00"), (2, "2000-01-02 00:00:00"), (3, None), (4, None), (5, "1999-12-31 23:59:59"),
+            (None, "1999-01-01 00:00:00"), (None, None), (3, None)]
+    entity = spark.createDataFrame(rows, "id long, at string").selectExpr("id", "cast(at as timestamp_ntz) as created_at")
+    refs = spark.createDataFrame([(2,), (2,), (3,), (None,), (9,)], "ref long")
+    got = S.created_or_referenced(entity, "2000-01-01", refs)
+    assert sorted(((r.id, r.created_at) for r in got.collect()), key=repr) == sorted(
+        ((r.id, r.created_at) for r in entity.where("id in (2, 3) or created_at < timestamp_ntz'2000-01-01 00:00:00'").collect()), key=repr)
+    assert S.created_or_referenced(entity, "2000-01-01", refs.limit(0)).count() == 2
+
+
+def test_opening_snapshot_branches_select_alone_and_use_an_existence_join(spark):
+    from kpilens.plans.q_snapshot import OPENING_CUTOFF as cut, OPENING_SHIFT_DAYS as days
+    star = Star(spark, "/root/testdata/sf0.01")
+    owners = {r[0] for r in S.snapshot_orders(star, cut).select("user_id").distinct().collect()}
+    used = {r[0] for r in S.snapshot_items(star, cut).select("product_id").distinct().collect()}
+    limit = datetime.fromisoformat(cut)
+    for got, all_rows, refs in ((S.opening_users(star, cut, days), S.users_with_time(star, days), owners),
+                                (S.opening_inventory(star, cut), S.products_with_time(star), used)):
+        assert "ExistenceJoin" in got._jdf.queryExecution().optimizedPlan().toString()
+        early = {r.id for r in all_rows.collect() if r.created_at is not None and r.created_at < limit}
+        kept = [r.id for r in got.collect()]
+        assert len(kept) == len(set(kept)) and set(kept) == early | refs
+        assert early - refs and refs - early and len(kept) < all_rows.count()
