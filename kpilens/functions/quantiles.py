@@ -3,25 +3,23 @@ selection, without collecting a group's values in one task.
 
 `percentile` keeps every value of a group in one aggregation buffer, and a global quantile is one
 group: at scale that is the whole column in one task. Here a column becomes (value, count) cells by
-one partial aggregate, and every later step reads those cells:
-  1. per range (at first: per group): 64 approximate quantiles of its distinct values as split
-     points, taken by a mergeable sketch. They divide the *values that are there*, so neither an
-     outlier nor a skewed spread leaves a full bucket; their error only moves the borders.
-  2. exact counts per bucket; the cumulative counts over the <= 65 bucket rows locate the bucket
-     that holds each wanted rank.
-  3. the cells of those buckets alone are split once more, so a bucket holds about 1/4096 of the
-     distinct values, whatever their number.
-  4. a cumulative count inside the bucket gives the value at the rank.
-Nothing is run while planning and no step is chosen by the number of rows; a hot value is one cell.
+one partial aggregate; the cells are sorted by range once and stored under the shared folder, each with
+the number of its range, and every later step reads the stored cells:
+  1. exact counts per (group, range), one row each; their running sum locates the range that holds
+     each wanted rank.
+  2. a cumulative count inside those ranges alone gives the value at the rank.
+Ranges are as many as `spark.sql.shuffle.partitions` and cut by sampled cells, so a task holds a share of the
+distinct values whatever their spread; a hot value is one cell, and a hot group is many ranges.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SPLITS = 64
-LEVELS = 2
+from kpilens.session import ensure_checkpoint_dir
 
 
 def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
@@ -30,36 +28,29 @@ def _values(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
 
 
 def _cells(df: DataFrame, value: str | Column, by: list[str]) -> DataFrame:
-    return _values(df, value, by).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
-
-
-def _match(cells: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
-    """Cells with the columns of their range's row (one row in all if there are no keys)."""
-    return cells.join(few, keys) if keys else cells.crossJoin(few)
+    """Stored rows (by..., _v, _c, _p): each distinct value with its count and the number of its range, in order."""
+    spark = df.sparkSession
+    cells = _values(df, value, by).groupBy(*by, "_v").agg(F.count(F.lit(1)).alias("_c"))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    placed = cells.repartitionByRange(ranges, *by, "_v").withColumn("_p", F.spark_partition_id())
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/kpilens-cells-{uuid.uuid4().hex}"
+    placed.write.parquet(path)
+    return spark.read.schema(placed.schema).parquet(path)
 
 
 def _ranks_in_cells(cells: DataFrame, ranks: DataFrame, by: list[str]) -> DataFrame:
     """The cells at 0-based `_k` of each group, for the (by..., _k) rows of `ranks`."""
-    keys, wanted = list(by), ranks.select(*by, "_k").distinct().withColumn("_off", F.lit(0).cast("long"))
-    for level in range(LEVELS):
-        points = [i / SPLITS for i in range(1, SPLITS)]
-        borders = cells.groupBy(*keys).agg(F.percentile_approx("_v", points, 50 * SPLITS).alias("_s"))
-        # the bucket of a value: how many of the split points lie below it
-        below = F.size(F.filter("_s", lambda border: border < F.col("_v")))
-        name = f"_b{level}"
-        placed = _match(cells, borders, keys).withColumn(name, below).drop("_s")
-        sizes = placed.groupBy(*keys, name).agg(F.sum("_c").alias("_n"))
-        w = Window.partitionBy(*keys).orderBy(name).rowsBetween(Window.unboundedPreceding, 0)   # <= 64 rows
-        sizes = sizes.withColumn("_end", F.sum("_n").over(w)).withColumn("_start", F.col("_end") - F.col("_n"))
-        k = F.col("_k") - F.col("_off")
-        wanted = (_match(wanted, sizes, keys).where((F.col("_start") <= k) & (k < F.col("_end")))
-                  .withColumn("_off", F.col("_off") + F.col("_start")).drop("_n", "_end", "_start"))
-        keys = keys + [name]
-        cells = placed.join(wanted.select(*keys).distinct(), keys)
-    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)   # about 1/4096 of the cells
-    cells = cells.withColumn("_end", F.sum("_c").over(w))
-    k = F.col("_k") - F.col("_off")
-    return (cells.join(wanted, keys).where((F.col("_end") - F.col("_c") <= k) & (k < F.col("_end")))
+    sizes = cells.groupBy(*by, "_p").agg(F.sum("_c").alias("_n"))
+    w = Window.partitionBy(*by).orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)     # a row per range
+    sizes = sizes.withColumn("_end", F.sum("_n").over(w)).withColumn("_start", F.col("_end") - F.col("_n"))
+    wanted = ranks.select(*by, "_k").distinct()
+    wanted = wanted.join(sizes, by) if by else wanted.crossJoin(sizes)                      # no group: a row per range
+    wanted = wanted.where((F.col("_start") <= F.col("_k")) & (F.col("_k") < F.col("_end"))).select(*by, "_p", "_k", "_start")
+    keys = [*by, "_p"]
+    w = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)   # one range of a group
+    hit = cells.join(wanted.select(*keys).distinct(), keys, "left_semi").withColumn("_upto", F.sum("_c").over(w))
+    k = F.col("_k") - F.col("_start")
+    return (hit.join(wanted, keys).where((F.col("_upto") - F.col("_c") <= k) & (k < F.col("_upto")))
             .select(*by, "_k", "_v"))
 
 
