@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kpilens.llm.common import HAS_WORD, stored, words
+from kpilens.llm.common import HAS_WORD, stored
 
 BUCKETS = 1 << 16
 HASH_BITS = 53                     # word hash in the low bits of the sort key, rarity rank above
@@ -34,9 +34,18 @@ BROADCAST_DOCS = 100_000           # the plausible lines' documents are broadcas
 KEY = ["id", "k"]
 
 
+def line_words(line: Column) -> Column:
+    """`words` of a text without line breaks: split at single spaces, after the rarer separators became spaces in the
+    lines that have any, since a pattern costs several times as much as a plain split."""
+    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\v")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\r"))
+    plain = F.when(odd, F.translate(line, "\t\v\f\r", "    ")).otherwise(line)
+    return F.array_remove(F.split(F.coalesce(plain, F.lit("")), " "), "")
+
+
 def word_ranks(texts: DataFrame, text_col: str) -> Column:
     """Array literal: rarity rank of each hash bucket, from the word counts of all texts."""
-    got = (texts.select(F.explode(words(F.col(text_col))).alias("w"))
+    lines = texts.select(F.explode(F.split(text_col, "\n")).alias("s"))
+    got = (lines.select(F.explode(line_words(F.col("s"))).alias("w"))
            .groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).count().collect())
     rank = [0] * BUCKETS
     for r in got:
@@ -60,7 +69,7 @@ def _line_rows(docs: DataFrame, numbers: str) -> DataFrame:
     """(id, k, line, words) of the lines whose numbers are in the array column `numbers`."""
     d = docs.withColumn("lines", F.split("text", "\n"))
     pick = F.transform(F.col(numbers), lambda i: F.struct(i.alias("line"), F.get(F.col("lines"), i).alias("s")))
-    return d.select(*KEY, F.explode(pick).alias("p")).select(*KEY, "p.line", words(F.col("p.s")).alias("ws"))
+    return d.select(*KEY, F.explode(pick).alias("p")).select(*KEY, "p.line", line_words(F.col("p.s")).alias("ws"))
 
 
 def _entries(lines: DataFrame, ranks: Column, percent: int, carry: tuple[str, ...]) -> DataFrame:
@@ -70,9 +79,13 @@ def _entries(lines: DataFrame, ranks: Column, percent: int, carry: tuple[str, ..
     low = F.aggregate(keys, F.lit(0).cast("long"), lambda acc, x: acc.bitwiseXOR(
         F.call_function("shiftleft", F.lit(1).cast("long"), x.bitwiseAND(F.lit(63)).cast("int"))))
     prefix = F.slice(keys, F.lit(1), n - F.ceil(n * F.lit(percent) / 100).cast("int") + 1)
-    # no filter on the keys here: it would be pushed below and compute them a second time
-    d = lines.withColumn("keys", _ordered(F.col("ws"), ranks))
-    return d.select(*KEY, "line", n.alias("n"), low.alias("par"), F.posexplode(prefix).alias("pos", "tok"), *carry)
+    # size and sketch stand before the explode (beside it they would be computed for each prefix word instead of each line)
+    # and are never null (else the join infers a filter on them, which is pushed below and computes the keys a second time)
+    d = lines.withColumn("keys", _ordered(F.col("ws"), ranks)).withColumns(
+        {"n": F.coalesce(n, F.lit(0)), "par": F.coalesce(low, F.lit(0).cast("long"))})
+    # columns in the order they have below: another order adds a projection to one side of the self-join, and its exchange
+    # is no longer shared
+    return d.select(*KEY, "line", *carry, "n", "par", F.posexplode(prefix).alias("pos", "tok"))
 
 
 def _pairwise(entries: DataFrame, extra, percent: int) -> DataFrame:
@@ -111,8 +124,8 @@ def removed_and_kept(docs: DataFrame, id_col: str, text_col: str, percent: int)
     plausible = stored(plausible, "plausible")
     few = F.broadcast(plausible) if plausible.count() <= BROADCAST_DOCS else plausible
 
-    full = _entries(_line_rows(base.join(few, KEY), "check"), ranks, percent, ("ws",))
-    full = full.withColumn("ws", F.array_distinct("ws"))
+    checked = _line_rows(base.join(few, KEY), "check").withColumn("ws", F.array_distinct("ws"))
+    full = _entries(checked, ranks, percent, ("ws",))
     common = F.size(F.array_intersect("a.ws", "b.ws"))
     close = 100 * common >= percent * (F.size("a.ws") + F.size("b.ws") - common)
     gone = (_pairwise(full, _earlier() & close, percent).select(*KEY, "line").distinct()
