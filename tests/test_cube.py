@@ -81,3 +81,27 @@ def test_empty_fact(fact):
 def test_unknown_dimension(cube):
     with pytest.raises(ValueError, match="dimension"):
         C.leakage_by_dim(cube, "2001-03", "planet")
+
+
+def test_no_group_per_order_and_exact_sums_of_large_amounts(spark, fact):
+    assert "order_key" not in C.build(fact)._jdf.queryExecution().optimizedPlan().toString()
+    most = Decimal("9999999999999999.99")
+    few = fact.limit(1).drop("order_id", "sale_price", "net_sale_price", "profit")
+    money = [F.lit(most).cast("decimal(18,2)").alias("sale_price"), F.lit(-most).cast("decimal(18,2)").alias("net_sale_price"),
+             (F.lit(most).cast("decimal(18,2)") - F.lit(-most).cast("decimal(18,2)")).alias("profit")]
+    many = few.crossJoin(spark.range(1000).select(F.nullif(F.col("id") % 10, F.lit(0)).alias("order_id"))).select("*", *money)
+    r = C.build(many).filter(F.col("dimension") == C.ALL).first()
+    assert (r.sale_price, r.net_sale_price, r.profit) == (1000 * most, -1000 * most, 2000 * most)
+    assert (r.items, r.orders) == (1000, 9)                                            # a null order is none
+
+
+def test_months_in_scope(spark):
+    from datetime import datetime
+
+    from tests.frames import FakeStar
+    at = [datetime(2001, m, 5) for m in range(1, 9)]
+    orders = [(1, 1, "Complete", at[0], 0.0), (2, 1, "Complete", at[1], 0.0), (3, 1, "Complete", at[2], 0.0),
+              (4, 1, "Complete", at[2], 0.0), (5, 1, "Complete", at[2], 0.0), (None, 1, "Complete", at[3], 0.0), (9, 1, "Complete", at[7], 0.0)]
+    items = [(o, 1, 5, 1, Decimal("9.99"), 1.0, "F", at[0], at[0]) for o in (1, 4, None, 9)]
+    star = FakeStar(spark, orders, items)
+    assert E.months_in_scope(star) == ["2001-01", "2001-03"]         # 03 by its middle order only; 02 and 04 without items; 08 is open
