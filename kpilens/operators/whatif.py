@@ -18,7 +18,7 @@ from kpilens.config import LOST_STATUSES
 from kpilens.functions.columns import epoch_micros, fact_months, money, month_range
 from kpilens.functions.quantiles import values_at_ranks
 from kpilens.operators.sessions import split_by_gap
-from kpilens.session import ensure_checkpoint_dir
+from kpilens.session import ensure_checkpoint_dir, kept
 from kpilens.sources.tables import Star
 
 DAY = 86400
@@ -146,18 +146,20 @@ def drop_orders(star: Star, picked: DataFrame, sessions: DataFrame | None = None
     item -> session matches of the dropped items) the purchase session that produced each item.
     Report: rows before and after, the dropped items' revenue, and with matches the sessions removed
     and the dropped items no session was found for."""
-    ids = picked.select("order_id").distinct()
+    ids = kept(picked.select("order_id").distinct(), "dropped-orders")
     new_orders = star.orders.join(ids, "order_id", "left_anti")
     new_items = star.order_items.join(ids, "order_id", "left_anti")
-    gone = star.order_items.join(ids, "order_id", "left_semi")
     new_sessions = None
     if sessions is not None and matches is not None:
         new_sessions = sessions.join(matches.select("session_id").distinct(), "session_id", "left_anti")
-    report = (star.orders.agg(F.count(F.lit(1)).alias("orders_before"))
-              .crossJoin(new_orders.agg(F.count(F.lit(1)).alias("orders_after")))
-              .crossJoin(star.order_items.agg(F.count(F.lit(1)).alias("items_before")))
-              .crossJoin(new_items.agg(F.count(F.lit(1)).alias("items_after")))
-              .crossJoin(gone.agg(F.coalesce(money(F.sum("sale_price")), F.lit(0.0)).alias("revenue_removed"))))
+    # one pass a table: a row is either dropped or stays
+    mark = ids.withColumn("_gone", F.lit(True))
+    gone, n = F.col("_gone"), F.count(F.lit(1))
+    heads = star.orders.select("order_id").join(mark, "order_id", "left")
+    lines = star.order_items.select("order_id", "sale_price").join(mark, "order_id", "left")
+    report = (heads.agg(n.alias("orders_before"), F.count_if(gone.isNull()).alias("orders_after"))
+              .crossJoin(lines.agg(n.alias("items_before"), F.count_if(gone.isNull()).alias("items_after"),
+                                   F.coalesce(money(F.sum(F.when(gone, F.col("sale_price")))), F.lit(0.0)).alias("revenue_removed"))))
     if new_sessions is not None:
         report = report.crossJoin(matches.agg(F.count(F.lit(1)).alias("sessions_removed")))      # one per matched item
         report = report.withColumn("items_without_session", F.col("items_before") - F.col("items_after") - F.col("sessions_removed"))
@@ -228,6 +230,7 @@ def nearest_session_1to1(items: DataFrame, sessions: DataFrame, before_days: int
     streamed in order past a set of the sessions still in reach: memory does not grow with a run,
     and no item is paired with more than two sessions. Rows without a user match nothing."""
     reach = F.expr(f"INTERVAL '{after_days}' DAY")
+    sessions = sessions.join(items.select("user_id").distinct(), "user_id", "left_semi")       # no item, no match
     item_type = items.schema["item_id"].dataType
     no_item, no_session = F.lit(None).cast(item_type), F.lit(None).cast("string")
     line = (sessions.select("user_id", (F.col("started_at") - reach).alias("at"), no_item.alias("item"), "session_id")

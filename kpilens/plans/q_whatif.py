@@ -9,6 +9,7 @@ from kpilens.operators.stamps import flipped_items, flipped_orders
 from kpilens.plans.q_profile import STAMPS_CTE, later_sql
 from kpilens.plans.registry import kpi, periods, register
 from kpilens.plans.sql_base import ts, with_
+from kpilens.session import kept
 
 ORACLE: dict[str, str] = {}
 
@@ -188,10 +189,11 @@ gone AS (SELECT concat_ws('|', oi.order_id, line_number, product_id, supplier_id
 
 def _drop_cascade(spark, d):
     k, p = kpi(spark, d), periods(spark, d)
-    picked = J.orders_of_source(k.star, p["last_month"][0], SURGE_SOURCE)
-    o = k.star.orders.join(picked.select("order_id"), "order_id", "left_semi").select("order_id", "user_id")
+    picked = kept(J.orders_of_source(k.star, p["last_month"][0], SURGE_SOURCE), "picked-orders")
+    o = kept(k.star.orders.join(picked.select("order_id"), "order_id", "left_semi").select("order_id", "user_id"), "dropped-heads")
     items = (k.star.order_items.join(o, "order_id")
              .select(J.item_key().alias("item_id"), "user_id", (F.col("created_at") + F.expr(SESSION_SHIFT)).alias("ts")))
+    items = kept(items, "dropped-items")
     sessions = purchase_sessions(spark, d)
     return J.drop_orders(k.star, picked, sessions, J.nearest_session_1to1(items, sessions))
 

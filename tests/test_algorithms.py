@@ -225,3 +225,19 @@ def test_surge_multipliers_and_sample_rates(spark):
     assert ids.distinct().count() == ids.count() == star.orders.count() + n + round(n / 2)
     with pytest.raises(ValueError, match="between 0 and 1"):
         J.sample_exact(pool, "order_id", 1.5)
+
+
+def test_drop_report_is_one_pass_a_table(spark):
+    from decimal import Decimal
+
+    from kpilens.operators.whatif import drop_orders
+    from tests.frames import FakeStar
+    t0 = datetime(2024, 1, 10, 12)
+    orders = [(o, 7, "Complete", t0, 0.0) for o in (1, 1, 2, None)]
+    items = [(o, 1, 5, 1, p, 1.0, "F", t0, t0) for o, p in [(1, Decimal("9.99"))] * 2 + [(1, None), (2, Decimal(5)), (None, Decimal(7))]]
+    report = drop_orders(FakeStar(spark, orders, items), spark.createDataFrame([(1,), (1,), (None,)], "order_id long"))[1]
+    plan = report._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "LeftSemi" not in plan
+    assert tuple(report.first()) == (4, 2, 5, 2, 19.98)
+    none = drop_orders(FakeStar(spark, orders, items), spark.createDataFrame([], "order_id long"))[1]
+    assert tuple(none.first()) == (4, 4, 5, 5, 0.0)
