@@ -79,7 +79,7 @@ def manifest_check(spark, d):
 @register("source_against_manifest")
 def source_against_manifest(spark, d):
     """The source tables, cut anew, still are what the published manifest states."""
-    return S.verify_snapshot(S.read_manifest(spark, published(spark, d)), S.cut_tables(kpi(spark, d).star, FIXTURE_TODAY))
+    return S.verify_snapshot(S.read_manifest(spark, published(spark, d)), S.cut_manifest(kpi(spark, d).star, FIXTURE_TODAY))
 
 
 _CUT = {

@@ -54,7 +54,8 @@ def write_snapshot(df: DataFrame, path: str, key: str, partitions: int | None =
     and the checksum of what was written, observed in the same pass."""
     d = df.repartitionByRange(partitions, key) if partitions else df.repartitionByRange(key)
     seen = Observation()
-    d = d.sortWithinPartitions(key).observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_hash(df)).alias("checksum"))
+    d = stored_form(d.sortWithinPartitions(key))                        # text only behind the exchange: it is wider
+    d = d.observe(seen, F.count(F.lit(1)).alias("rows"), F.sum(row_hash(d)).alias("checksum"))
     d.write.mode("errorifexists").parquet(path)
     return seen.get["rows"], int(seen.get["checksum"] or 0)
 
@@ -67,8 +68,7 @@ def publish_snapshot(tables: dict[str, DataFrame], path: str) -> str:
     rows = []
     for name, df in tables.items():
         cols = scalar_columns(df)
-        flat = stored_form(df)
-        n, checksum = write_snapshot(flat, f"{path}/data/{name}", cols[0])
+        n, checksum = write_snapshot(df.select(*cols), f"{path}/data/{name}", cols[0])
         rows.append((name, n, ",".join(cols), Decimal(checksum)))
     spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("errorifexists").json(f"{path}/manifest")     # a row a table
     return path
@@ -96,10 +96,11 @@ def read_snapshot(spark: SparkSession, path: str, schemas: dict[str, T.StructTyp
     return out
 
 
-def verify_snapshot(manifest: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
-    """Each table of the manifest against what is there now: rows, columns and checksum; a table that is
-    missing on either side is not ok."""
-    now = table_manifest(tables).select("table_name", F.col("rows").alias("loaded_rows"), F.col("columns").alias("_columns"),
+def verify_snapshot(manifest: DataFrame, tables: dict[str, DataFrame] | DataFrame) -> DataFrame:
+    """Each table of the manifest against what is there now (the tables, or their manifest): rows, columns and checksum; a
+    table that is missing on either side is not ok."""
+    found = tables if isinstance(tables, DataFrame) else table_manifest(tables)
+    now = found.select("table_name", F.col("rows").alias("loaded_rows"), F.col("columns").alias("_columns"),
                                         F.coalesce("checksum", F.lit(0)).cast("decimal(38,0)").alias("loaded_checksum"))
     j = manifest.select("table_name", F.col("rows").alias("manifest_rows"), "columns", F.col("checksum").alias("manifest_checksum"))
     ok = ((F.col("manifest_rows") == F.col("loaded_rows")) & (F.col("columns") == F.col("_columns"))
@@ -112,13 +113,28 @@ def verify_snapshot(manifest: DataFrame, tables: dict[str, DataFrame]) -> DataFr
 def cut_tables(star: Star, cutoff: str) -> dict[str, DataFrame]:
     """The source tables as the snapshot keeps them: orders before the cutoff (B1), their items (B2), the customers
     who own one (B3), the parts an item refers to (B4), all else whole."""
-    raw = dict(star.raw)
-    raw["orders"] = raw["orders"].filter(before("o_orderdate", cutoff))
-    raw["lineitem"] = raw["lineitem"].join(raw["orders"].select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi") \
-                                     .select(*raw["lineitem"].columns)
-    raw["customer"] = raw["customer"].join(raw["orders"].select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
-    raw["part"] = raw["part"].join(raw["lineitem"].select(F.col("l_partkey").alias("p_partkey")), "p_partkey", "left_semi")
-    return raw
+    return _references_kept(dict(star.raw, orders=star.raw["orders"].filter(before("o_orderdate", cutoff))))
+
+
+def _references_kept(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with the cut of `orders` carried on along the keys; whatever other columns they have."""
+    t = dict(tables)
+    t["lineitem"] = t["lineitem"].join(t["orders"].select(F.col("o_orderkey").alias("l_orderkey")), "l_orderkey", "left_semi") \
+                                 .select(*t["lineitem"].columns)
+    t["customer"] = t["customer"].join(t["orders"].select(F.col("o_custkey").alias("c_custkey")), "c_custkey", "left_semi")
+    t["part"] = t["part"].join(t["lineitem"].select(F.col("l_partkey").alias("p_partkey")).distinct(), "p_partkey", "left_semi")
+    return t
+
+
+CUT_KEYS = ("o_orderkey", "o_custkey", "l_orderkey", "l_partkey", "c_custkey", "p_partkey")
+
+
+def cut_manifest(star: Star, cutoff: str) -> DataFrame:
+    """`table_manifest` of `cut_tables`: every row is hashed where it is read, so keys and hashes, not rows, go through the joins."""
+    whole = dict(star.raw, orders=star.raw["orders"].filter(before("o_orderdate", cutoff)))
+    narrow = {name: df.select(*[c for c in CUT_KEYS if c in df.columns], row_hash(df).alias("_hash")) for name, df in whole.items()}
+    return reduce(DataFrame.unionByName, [_manifest_row(name, df, F.col("_hash"), scalar_columns(whole[name]))
+                                          for name, df in _references_kept(narrow).items()])
 
 
 def canonical(c: str, dt: T.DataType) -> Column:
@@ -141,10 +157,12 @@ def row_hash(df: DataFrame) -> Column:
 def table_manifest(tables: dict[str, DataFrame]) -> DataFrame:
     """Rows, column list and an order-free content checksum per table: the sum of the rows'
     hashes, so it is a plain aggregate with partial combine."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row_hash(df)).alias("checksum"))
-               .select(F.lit(name).alias("table_name"), "rows", F.lit(",".join(scalar_columns(df))).alias("columns"), "checksum")
-             for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    return reduce(DataFrame.unionByName, [_manifest_row(name, df, row_hash(df), scalar_columns(df)) for name, df in tables.items()])
+
+
+def _manifest_row(name: str, df: DataFrame, row: Column, columns: list[str]) -> DataFrame:
+    return (df.agg(F.count(F.lit(1)).alias("rows"), F.sum(row).alias("checksum"))
+              .select(F.lit(name).alias("table_name"), "rows", F.lit(",".join(columns)).alias("columns"), "checksum"))
 
 
 # ---------------------------------------------------------------- B1-B4

@@ -96,3 +96,14 @@ def test_opening_snapshot_branches_select_alone_and_use_an_existence_join(spark)
         kept = [r.id for r in got.collect()]
         assert len(kept) == len(set(kept)) and set(kept) == early | refs
         assert early - refs and refs - early and len(kept) < all_rows.count()
+
+
+def test_cut_manifest_hashes_before_the_joins(spark, path, tables):
+    star = Star(spark, SF_SMALL)
+    now = S.cut_manifest(star, "2001-07-01")
+    rows = S.verify_snapshot(S.read_manifest(spark, path), now).collect()
+    assert len(rows) == 14 and all(r.ok for r in rows)
+    want = {tuple(r) for r in S.table_manifest(tables).collect()}
+    assert {tuple(r) for r in now.collect()} == want
+    joined = [line for line in now._jdf.queryExecution().sparkPlan().toString().splitlines() if "Exchange" in line or "Join" in line]
+    assert joined and not any("l_extendedprice" in line for line in joined)
