@@ -103,3 +103,16 @@ def test_intervals_merge_like_events_in_any_order():
             pdf = pd.DataFrame(ev[i:i + 4], columns=["us", "event_id", "k"]).assign(event_type="view")
             held = merge_intervals(held + _intervals(pdf, gap), gap)
         assert [(s[0], s[1], s[2], s[3], s[4]) for s in held] == [(r[0][0], r[-1][0], r[0][1], r[0][2], len(r)) for r in want]
+
+
+def test_users_share_a_group_but_not_their_sessions(spark):
+    from kpilens.streaming.exact_sessions import GROUPS, STATE, _by_user
+    big = (1 << 62) + 1                                                              # not exact in a double
+    rows = pd.DataFrame([(big, False, 0, 1.0, 3, "view"), (0, True, 5, None, 4, "click"), (0, False, 5, 2.0, 5, "view"),
+                         (big - 1, False, 1, 3.0, 6, "view"), (big, False, 100, 4.0, 7, "purchase"), (big, False, 7, 5.0, 8, "click")],
+                        columns=["user", "anon", "us", "event_id", "k", "event_type"])
+    got = _by_user(rows, 10)
+    assert {w: [s[:5] for s in parts] for w, parts in got.items()} == {
+        (big, False): [(0, 7, 1, 3, 2), (100, 100, 4, 7, 1)], (big - 1, False): [(1, 1, 3, 6, 1)],
+        (0, False): [(5, 5, 2, 5, 1)], (0, True): [(5, 5, None, 4, 1)]}
+    assert STATE.startswith("user ") and GROUPS == 4096
