@@ -33,7 +33,8 @@ def usable(rows: DataFrame, id_col: str, vector_col: str, label: Column) -> Data
 
 
 def _floor_div(x: Column, by: int) -> Column:
-    return ((x - F.pmod(x, F.lit(by))) / by).cast("long")
+    """floor(x / by) of a whole-number decimal."""
+    return ((x - F.pmod(x, F.lit(by))) / by).cast("decimal(38,0)")
 
 
 def mine(rows: DataFrame, anchor: Column, low: int = 30, high: int = 90, n_positives: int = 5, n_negatives: int = 10) -> DataFrame:
@@ -49,8 +50,8 @@ def mine(rows: DataFrame, anchor: Column, low: int = 30, high: int = 90, n_posit
     free = anchors.withColumns({"lo": F.array(F.lit(-most)), "hi": F.array(F.lit(most))})
     positives = stored(gnat.ranked(index.search(free, n_positives, True, 1), free, n_positives).drop("window"), "positives")
 
-    p = F.col("score")
-    spans = F.struct((F.col("rank") - 1).alias("window"), (-_floor_div(-low * p, 100)).alias("lo"), _floor_div(high * p, 100).alias("hi"))
+    p = F.col("score").cast("decimal(20,0)")               # a score may be close to the largest long
+    spans = F.struct((F.col("rank") - 1).alias("window"), (-_floor_div(-low * p, 100)).cast("long").alias("lo"), _floor_div(high * p, 100).cast("long").alias("hi"))
     per = positives.groupBy(F.col("query").alias("id")).agg(F.sort_array(F.collect_list(spans)).alias("w"))
     def padded(c, fill):
         return F.transform(F.sequence(F.lit(0), F.lit(n_positives - 1)), lambda i: F.coalesce(F.get(F.col("w"), i)[c], F.lit(fill).cast("long")))
