@@ -34,18 +34,21 @@ BROADCAST_DOCS = 100_000           # the plausible lines' documents are broadcas
 KEY = ["id", "k"]
 
 
+def plain(text: Column) -> Column:
+    """The text with the rarer separators (not the line break) as spaces: asked once for a text, not for each of its lines."""
+    odd = F.contains(text, F.lit("\t")) | F.contains(text, F.lit("\v")) | F.contains(text, F.lit("\f")) | F.contains(text, F.lit("\r"))
+    return F.when(odd, F.translate(text, "\t\v\f\r", "    ")).otherwise(text)
+
+
 def line_words(line: Column) -> Column:
-    """`words` of a text without line breaks: split at single spaces, after the rarer separators became spaces in the
-    lines that have any, since a pattern costs several times as much as a plain split."""
-    odd = F.contains(line, F.lit("\t")) | F.contains(line, F.lit("\v")) | F.contains(line, F.lit("\f")) | F.contains(line, F.lit("\r"))
-    plain = F.when(odd, F.translate(line, "\t\v\f\r", "    ")).otherwise(line)
-    return F.array_remove(F.split(F.coalesce(plain, F.lit("")), " "), "")
+    """`words` of a line of a plain text: split at single spaces, since a pattern costs several times as much."""
+    return F.array_remove(F.split(F.coalesce(line, F.lit("")), " "), "")
 
 
 def word_ranks(texts: DataFrame, text_col: str) -> Column:
     """Array literal: rarity rank of each hash bucket, from the word counts of all texts."""
-    lines = texts.select(F.explode(F.split(text_col, "\n")).alias("s"))
-    got = (lines.select(F.explode(line_words(F.col("s"))).alias("w"))
+    lines = texts.select(F.explode(F.split(plain(F.col(text_col)), "\n")).alias("s"))
+    got = (lines.select(F.explode(F.split("s", " ")).alias("w")).where("w <> ''")
            .groupBy(F.xxhash64("w").bitwiseAND(F.lit(BUCKETS - 1)).cast("int").alias("b")).count().collect())
     rank = [0] * BUCKETS
     for r in got:
@@ -67,7 +70,7 @@ def _ordered(ws: Column, ranks: Column) -> Column:
 
 def _line_rows(docs: DataFrame, numbers: str) -> DataFrame:
     """(id, k, line, words) of the lines whose numbers are in the array column `numbers`."""
-    d = docs.withColumn("lines", F.split("text", "\n"))
+    d = docs.withColumn("lines", F.split(plain(F.col("text")), "\n"))
     pick = F.transform(F.col(numbers), lambda i: F.struct(i.alias("line"), F.get(F.col("lines"), i).alias("s")))
     return d.select(*KEY, F.explode(pick).alias("p")).select(*KEY, "p.line", line_words(F.col("p.s")).alias("ws"))
 
@@ -124,10 +127,13 @@ def removed_and_kept(docs: DataFrame, id_col: str, text_col: str, percent: int)
     plausible = stored(plausible, "plausible")
     few = F.broadcast(plausible) if plausible.count() <= BROADCAST_DOCS else plausible
 
-    checked = _line_rows(base.join(few, KEY), "check").withColumn("ws", F.array_distinct("ws"))
-    full = _entries(checked, ranks, percent, ("ws",))
-    common = F.size(F.array_intersect("a.ws", "b.ws"))
-    close = 100 * common >= percent * (F.size("a.ws") + F.size("b.ws") - common)
+    # the words go along as one string, several times smaller than an array of strings; pairs that pass the filters split it.
+    # The Jaccard test is written with the intersection once, since a join condition computes it as often as it stands there
+    checked = (_line_rows(base.join(few, KEY), "check").withColumn("ws", F.array_distinct("ws"))
+               .withColumns({"words": F.array_join("ws", " "), "m": F.size("ws").cast("long")}))
+    full = _entries(checked, ranks, percent, ("words", "m"))
+    common = F.size(F.array_intersect(F.split("a.words", " "), F.split("b.words", " "))).cast("long")
+    close = (100 + percent) * common >= percent * (F.col("a.m") + F.col("b.m"))
     gone = (_pairwise(full, _earlier() & close, percent).select(*KEY, "line").distinct()
             .groupBy(*KEY).agg(F.collect_list("line").alias("gone")))
     return (firsts.join(gone, KEY, "left")

@@ -374,6 +374,19 @@ def test_line_dedup(spark, percent):
     assert got == want
 
 
+def test_line_dedup_shuffles_words_as_one_string(spark, monkeypatch):
+    """The entries of the join that verifies carry their line's words once as a string, not an array of strings each."""
+    words = [f"w{i}é" for i in range(20)]
+    seps = ["\t", "  ", "\v ", "\r", "\f", " "]
+    rows = [(i, "\n".join([sep.join(words[:-1] + [f"x{i}"]) + sep, sep + sep.join(words[i:]) + " y" * i, "", sep]))
+            for i, sep in enumerate(seps)]
+    seen, pairwise = [], line_dedup._pairwise
+    monkeypatch.setattr(line_dedup, "_pairwise", lambda entries, *args: seen.append(dict(entries.dtypes)) or pairwise(entries, *args))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_lines(rows, 90)
+    assert len(seen) == 2 and not any(kind.startswith("array") for kinds in seen for kind in kinds.values())
+
+
 def test_line_dedup_odd_rows(spark, odd, empty):
     out = line_dedup.dedup_lines(odd)
     assert out.columns == odd.columns + ["n_lines", "n_removed"]
